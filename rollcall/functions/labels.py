@@ -152,10 +152,14 @@ def record_note(is_moe, params, context, modality_list, gpqa, swe, price_in, pri
     )
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """Text with fixed decimals, half to even; null stays null."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", F.bround(x, digits)))
+
+
 def score_text(x: Column | str) -> Column:
     """Fraction or percent to ``x.x%``; a dash for null."""
-    pct = F.bround(percent_scale(x), 1)
-    return F.coalesce(F.concat(F.format_number(pct, "0.0"), F.lit("%")), F.lit(S.DASH))
+    return F.coalesce(F.concat(fixed(percent_scale(x), 1), F.lit("%")), F.lit(S.DASH))
 
 
 def rating_text(x: Column | str) -> Column:
@@ -163,17 +167,17 @@ def rating_text(x: Column | str) -> Column:
 
 
 def win_rate_text(x: Column | str) -> Column:
-    return F.coalesce(F.concat(F.format_number(F.bround(as_col(x), 1), "0.0"), F.lit("%")), F.lit(S.DASH))
+    return F.coalesce(F.concat(fixed(as_col(x), 1), F.lit("%")), F.lit(S.DASH))
 
 
 def price_text(x: Column | str) -> Column:
     """Two decimals; 0 counts as unknown."""
     x = F.nullif(as_col(x), F.lit(0.0))
-    return F.coalesce(F.concat(F.lit("$"), F.format_number(F.bround(x, 2), "0.00")), F.lit(S.DASH))
+    return F.coalesce(F.concat(F.lit("$"), fixed(x, 2)), F.lit(S.DASH))
 
 
 def thousands(x: Column | str) -> Column:
-    return F.coalesce(F.format_number(F.nullif(as_col(x), F.lit(0)), "#,##0"), F.lit(S.DASH))
+    return F.coalesce(F.format_number(F.nullif(as_col(x), F.lit(0)), 0), F.lit(S.DASH))
 
 
 def coverage_grade(pct: Column | str, good: float = 90, fair: float = 50) -> Column:
@@ -226,3 +230,8 @@ def flag_country(x: Column | str) -> Column:
     x = as_col(x)
     chain = reduce(lambda acc, kv: acc.when(x.contains(kv[0]), kv[1]), S.FLAG_COUNTRIES.items(), F)
     return chain.otherwise("")
+
+
+def price_or_dash(x: Column | str) -> Column:
+    """Price as it is, behind a dollar sign; a dash for null."""
+    return F.coalesce(F.concat(F.lit("$"), as_col(x).cast("string")), F.lit(S.DASH))

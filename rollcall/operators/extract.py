@@ -18,15 +18,9 @@ def payload_text(html: Column | str) -> Column:
     return F.replace(quoted, F.lit("\\\\"), F.lit("\\"))
 
 
-def payload_tail(payload: Column, keys: list[str] = S.PAYLOAD_KEYS) -> Column:
-    """Text from the array bracket that follows the best key present.
-
-    The order of the keys decides, not their place in the text.
-    """
-    at = F.coalesce(*[F.nullif(F.instr(payload, f'"{k}":'), F.lit(0)) for k in keys])
-    from_key = F.substring(payload, at, F.length(payload))
-    bracket = F.nullif(F.instr(from_key, "["), F.lit(0))
-    return F.substring(from_key, bracket, F.length(from_key))
+def _from(text: Column, at: Column) -> Column:
+    """Text from a 1-based position on; null when there is no position."""
+    return F.substring(text, at, F.length(text))
 
 
 def _balanced(text: Column) -> Column:
@@ -53,22 +47,29 @@ def recover_objects(text: Column) -> Column:
     return F.when(F.size(parsed) > 0, parsed)
 
 
-def payload_records(html: Column | str, keys: list[str] = S.PAYLOAD_KEYS) -> Column:
-    """Array of records of one page; broken arrays give their readable objects.
+def extract_embedded(pages: DataFrame, page: str, html: str = "html", keys: list[str] = S.PAYLOAD_KEYS) -> DataFrame:
+    """One row per embedded record: page, position in the array, open record.
 
-    The JSON reader stops after the first value, so brackets need no counting;
-    only a page whose array does not parse is scanned for its end.
+    The order of the keys decides which array is read, not their place in the
+    text. The JSON reader stops after the first value, so brackets need no
+    counting; only a page whose array does not parse is scanned for its end,
+    and gives its readable objects.
     """
-    tail = payload_tail(payload_text(html), keys)
-    parsed = F.from_json(tail, S.RECORDS)
-    return F.coalesce(parsed, recover_objects(_balanced(tail)))
-
-
-def extract_embedded(pages: DataFrame, page: str, html: str = "html", keys: list[str] = S.PAYLOAD_KEYS) -> DataFrame:
-    """One row per embedded record: page, position in the array, open record."""
-    records = payload_records(html, keys)
-    return pages.select(page, F.posexplode(records).alias("pos", "record")).filter(
-        F.col("record").isNotNull()
+    wanted = F.coalesce(*[F.nullif(F.instr("_payload", f'"{k}":'), F.lit(0)) for k in keys])
+    bracket = F.nullif(F.instr("_tail", "["), F.lit(0))
+    # one column per step, so that no step is evaluated again inside a later one
+    arrays = (
+        pages.select(page, payload_text(html).alias("_payload"))
+        .filter(F.length("_payload") > 0)
+        .withColumn("_tail", _from(F.col("_payload"), wanted))
+        .withColumn("_array", _from(F.col("_tail"), bracket))
+        .withColumn("_parsed", F.from_json("_array", S.RECORDS))
+    )
+    broken = F.when(F.col("_parsed").isNull(), recover_objects(_balanced(F.col("_array"))))
+    return (
+        arrays.select(page, F.coalesce("_parsed", broken).alias("_records"))
+        .select(page, F.posexplode("_records").alias("pos", "record"))
+        .filter(F.col("record").isNotNull())
     )
 
 

@@ -12,34 +12,42 @@ from rollcall.operators.dedupe import drop_blank, first_wins
 MIN_LEN = 5  # containment needs more than four characters on both sides
 
 
-def _grams(text: Column, n: int) -> Column:
-    """Distinct n-character runs; linear in the length of the text."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - (n - 1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(chars, i, n))))
+def _pieces(df: DataFrame, key: str, units: Column, n: int) -> DataFrame:
+    """One row per key and distinct run of n units, as ``(key, piece)`` hashes.
+
+    The units are a column of their own, so the text is split once per row and
+    not once per run; the work is linear in the length of the text.
+    """
+    cut = df.select(key, units.alias("_u"))
+    starts = F.sequence(F.lit(1), F.size("_u") - (n - 1))
+    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("_u", i, n)))
+    return cut.filter(F.size("_u") >= n).select(key, F.explode(F.array_distinct(runs)).alias("piece"))
 
 
-def _words(text: Column) -> Column:
-    return F.split(text, r"\s+")
+def _grams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    return _pieces(df, key, F.filter(F.split(text, ""), lambda c: c != ""), n)
 
 
-def _runs(words: Column, n: int) -> Column:
-    """Hashes of the distinct runs of n words."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, n))))
+def _word_runs(df: DataFrame, key: str, text: str, n: int, inner: bool = False) -> DataFrame:
+    """Runs of n words; ``inner`` leaves out the first and the last word."""
+    words = F.split(text, r"\s+")
+    if inner:
+        df = df.select(key, words.alias("_w")).filter(F.size("_w") >= n + 2)
+        words = F.slice("_w", F.lit(2), F.size("_w") - 2)
+    return _pieces(df, key, words, n)
 
 
-def _rarest(exploded: DataFrame, key: str, piece: str) -> DataFrame:
+def _rarest(pieces: DataFrame, key: str) -> DataFrame:
     """Per key, the piece that the fewest keys share.
 
     Openings or phrases common to very many entries are never the anchor of an
     entry that has anything of its own, so no join group below grows with them.
     """
-    freq = exploded.groupBy(piece).agg(F.count("*").alias("_freq"))
+    freq = pieces.groupBy("piece").agg(F.count("*").alias("_freq"))
     return (
-        exploded.join(freq, piece)
+        pieces.join(freq, "piece")
         .groupBy(key)
-        .agg(F.min_by(piece, F.struct("_freq", piece)).alias(piece))
+        .agg(F.min_by("piece", F.struct("_freq", "piece")).alias("piece"))
     )
 
 
@@ -52,11 +60,9 @@ def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN)
     """
     longs = longs.filter(F.length("long") >= min_len).distinct()
     shorts = shorts.filter(F.length("short") >= min_len).distinct()
-    anchors = _rarest(
-        shorts.select("short", F.explode(_grams(F.col("short"), min_len)).alias("g")), "short", "g"
-    )
-    pieces = longs.select("long", F.explode(_grams(F.col("long"), min_len)).alias("g"))
-    return pieces.join(anchors, "g").filter(F.col("long").contains(F.col("short"))).select("long", "short")
+    anchors = _rarest(_grams(shorts, "short", "short", min_len), "short")
+    pairs = _grams(longs, "long", "long", min_len).join(anchors, "piece")
+    return pairs.filter(F.col("long").contains(F.col("short"))).select("long", "short")
 
 
 def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
@@ -86,7 +92,7 @@ def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN)
 
 def passages_in_texts(
     texts: DataFrame, passages: DataFrame, text_id: str, passage_id: str,
-    text: str = "text", passage: str = "passage", run: int = 3, min_len: int = MIN_LEN,
+    text: str = "text", passage: str = "text", run: int = 3, min_len: int = MIN_LEN,
 ) -> DataFrame:
     """All (text, passage) id pairs where the whole text contains the passage.
 
@@ -96,33 +102,23 @@ def passages_in_texts(
     Passages with fewer words are found through character runs in the same way.
     Equal passages are matched once.
     """
-    passages = passages.filter(F.length(passage) >= min_len)
-    same = passages.select(passage_id, passage, F.xxhash64(passage).alias("_p"))
-    unique = first_wins(same, ["_p", passage], [passage_id]).select(
-        F.col(passage_id).alias("_uid"), "_p", passage
-    )
-    words = unique.select("_uid", passage, _words(F.col(passage)).alias("_w"))
-    long_enough = F.size("_w") >= run + 2
-    inner = F.slice(F.col("_w"), 2, F.size("_w") - 2)
-    long_anchors = _rarest(
-        words.filter(long_enough).select("_uid", F.explode(_runs(inner, run)).alias("h")), "_uid", "h"
-    )
-    text_runs = texts.select(text_id, F.explode(_runs(_words(F.col(text)), run)).alias("h"))
-    found = text_runs.join(long_anchors, "h").select(text_id, "_uid")
-    short = words.filter(~long_enough)
+    entries = passages.select(passage_id, F.col(passage).alias("_text"), F.xxhash64(passage).alias("_hash"))
+    entries = entries.filter(F.length("_text") >= min_len)
+    unique = first_wins(entries, ["_hash", "_text"], [passage_id]).withColumnRenamed(passage_id, "_uid")
+    anchors = _rarest(_word_runs(unique, "_uid", "_text", run, inner=True), "_uid")
+    found = _word_runs(texts, text_id, text, run).join(anchors, "piece").select(text_id, "_uid")
+    short = unique.filter(F.size(F.split("_text", r"\s+")) < run + 2)
     if not short.isEmpty():
-        short_anchors = _rarest(
-            short.select("_uid", F.explode(_grams(F.col(passage), min_len)).alias("h")), "_uid", "h"
-        )
-        text_grams = texts.select(text_id, F.explode(_grams(F.col(text), min_len)).alias("h"))
-        found = found.unionByName(text_grams.join(short_anchors, "h").select(text_id, "_uid"))
+        anchors = _rarest(_grams(short, "_uid", "_text", min_len), "_uid")
+        close = _grams(texts, text_id, text, min_len).join(anchors, "piece")
+        found = found.unionByName(close.select(text_id, "_uid"))
     held = (
-        found.join(texts.select(text_id, text), text_id)
-        .join(unique.select("_uid", passage), "_uid")
-        .filter(F.col(text).contains(F.col(passage)))
+        found.join(texts.select(text_id, F.col(text).alias("_whole")), text_id)
+        .join(unique.select("_uid", "_text"), "_uid")
+        .filter(F.col("_whole").contains(F.col("_text")))
         .select(text_id, "_uid")
     )
-    copies = same.join(unique, ["_p", passage]).select(passage_id, "_uid")
+    copies = entries.join(unique, ["_hash", "_text"]).select(passage_id, "_uid")
     return held.join(copies, "_uid").select(text_id, passage_id)
 
 

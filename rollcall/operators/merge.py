@@ -6,32 +6,38 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall import schema as S
 
 Sources = list[tuple[str, DataFrame]]
 
 
-def _stack(sources: Sources) -> DataFrame:
+def stack_sources(sources: Sources) -> DataFrame:
+    """All sources in one frame with their priority in ``_prio``."""
     tagged = [df.withColumn("_prio", F.lit(i)) for i, (_, df) in enumerate(sources)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return concat_rows(*tagged)
 
 
-def _source_list(sources: Sources, counts: list[str]) -> Column:
-    """How often each source held the entity, in priority order; one entry per source."""
-    entries = [
-        F.struct(F.lit(tag).alias("source"), F.col(c).alias("n"))
-        for (tag, _), c in zip(sources, counts)
-    ]
-    return F.filter(F.array(*entries), lambda e: e["n"] > 0)
+def with_priority(df: DataFrame, source: str, tags: list[str]) -> DataFrame:
+    """Priority by position of the source tag; rows of other sources are dropped."""
+    order = F.array_position(F.array(*[F.lit(t) for t in tags]), F.col(source))
+    return df.withColumn("_prio", (order - 1).cast("int")).filter("_prio >= 0")
 
 
 def concat_rows(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def merge_sources(
-    sources: Sources,
+def _source_list(tags: list[str]) -> Column:
+    """How often each source held the entity, in priority order; one entry per source."""
+    entries = [F.struct(F.lit(t).alias("source"), F.col(f"_n{i}").alias("n")) for i, t in enumerate(tags)]
+    return F.filter(F.array(*entries), lambda e: e["n"] > 0)
+
+
+def merge_records(
+    stacked: DataFrame,
+    tags: list[str],
     key: str,
     fields: list[str],
     pos: str = "pos",
@@ -40,19 +46,20 @@ def merge_sources(
 ) -> DataFrame:
     """One row per key: every field from the first source that has a value.
 
-    ``sources`` is in priority order; ``pos`` orders the rows of one source. The
-    sentinel counts as absent. With ``base='last'`` the last row of the first
-    source is taken as it is, sentinels included, and later sources only fill
-    what it lacks. One aggregation with map-side combine; nothing is collected
-    per key, so a hot key stays cheap.
+    ``stacked`` holds all sources with ``_prio`` 0 for the best one, in the order
+    of ``tags``; ``pos`` orders the rows of one source. The sentinel counts as
+    absent. With ``base='last'`` the last row of the first source is taken as it
+    is, sentinels included, and later sources only fill what it lacks. It is one
+    aggregation with map-side combine; nothing is collected per key, so a hot
+    key stays cheap.
     """
-    stacked = _stack(sources).filter(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
+    stacked = stacked.filter(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
     place = F.struct("_prio", pos)
     is_base = F.col("_prio") == 0
 
     def present(field: str) -> Column:
         c = F.col(field)
-        text = isinstance(stacked.schema[field].dataType, S.T.StringType)
+        text = stacked.schema[field].dataType == T.StringType()
         return (c.isNotNull() & (c != sentinel)) if text else c.isNotNull()
 
     aggs = []
@@ -61,13 +68,11 @@ def merge_sources(
         aggs.append(F.min_by(f, F.when(ok, place)).alias(f"_m_{f}"))
     if base == "last":
         aggs.append(F.max_by(F.struct(*fields), F.when(is_base, F.col(pos))).alias("_base"))
-    counts = []
-    for i, _ in enumerate(sources):
-        n = F.count_if(F.col("_prio") == i)
-        if base == "last" and i == 0:
-            n = F.max(F.when(is_base, 1).otherwise(0)).cast("bigint")
+    for i, _ in enumerate(tags):
+        # an overwritten base row leaves no trace in the source list
+        once = base == "last" and i == 0
+        n = F.max(is_base.cast("bigint")) if once else F.count_if(F.col("_prio") == i)
         aggs.append(n.alias(f"_n{i}"))
-        counts.append(f"_n{i}")
     aggs.append(F.min(place).alias("_first"))
     merged = stacked.groupBy(key).agg(*aggs)
     pick = lambda f: (
@@ -76,35 +81,42 @@ def merge_sources(
     return merged.select(
         key,
         *[pick(f).alias(f) for f in fields],
-        _source_list(sources, counts).alias("sources"),
-        F.col("_first._prio").alias("first_source"),
-        F.col(f"_first.{pos}").alias("first_pos"),
+        _source_list(tags).alias("sources"),
+        F.col("_first").alias("first_seen"),
     )
 
 
+def merge_sources(sources: Sources, key: str, fields: list[str], **options) -> DataFrame:
+    """:func:`merge_records` over separate frames in priority order."""
+    return merge_records(stack_sources(sources), [t for t, _ in sources], key, fields, **options)
+
+
 def merge_open_records(
-    sources: Sources, key: str = "model_id", record: str = "record", pos: str = "pos",
-    sentinel: str = S.SENTINEL,
+    stacked: DataFrame, tags: list[str], key: str = "model_id", record: str = "record",
+    pos: str = "pos", sentinel: str = S.SENTINEL,
 ) -> DataFrame:
     """Same merge for records with an open set of fields, held as map<string,string>.
 
     A field that is present with null in every source stays present with null.
     """
-    stacked = _stack(sources).withColumn(key, F.col(record)[key])
+    stacked = stacked.withColumn(key, F.col(record)[key])
     stacked = stacked.filter(F.coalesce(F.col(key), F.lit("")) != "")
     cells = stacked.select(key, "_prio", pos, F.explode(record).alias("field", "value"))
     # a null value keeps its key, the sentinel does not
     cells = cells.filter(~F.col("value").eqNullSafe(F.lit(sentinel)))
     place = F.struct("_prio", pos)
+    has_value = F.col("value").isNotNull()
+    is_key = F.col("field") == key
     per_field = cells.groupBy(key, "field").agg(
-        F.min_by("value", F.when(F.col("value").isNotNull(), place)).alias("value")
-    )
-    # bounded by the number of distinct field names
-    records = per_field.groupBy(key).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias(record)
+        F.min_by("value", F.when(has_value, place)).alias("value"),
+        # every record holds its key, so the key field counts the records
+        *[F.count_if(is_key & (F.col("_prio") == i)).alias(f"_n{i}") for i, _ in enumerate(tags)],
+        F.min(F.when(is_key, place)).alias("_first"),
     )
-    seen = stacked.groupBy(key).agg(
-        *[F.count_if(F.col("_prio") == i).alias(f"_n{i}") for i, _ in enumerate(sources)]
+    # one entry per distinct field name of the entity
+    merged = per_field.groupBy(key).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias(record),
+        *[F.max(f"_n{i}").alias(f"_n{i}") for i, _ in enumerate(tags)],
+        F.min("_first").alias("first_seen"),
     )
-    names = [f"_n{i}" for i, _ in enumerate(sources)]
-    return records.join(seen, key).select(key, record, _source_list(sources, names).alias("sources"))
+    return merged.select(key, record, _source_list(tags).alias("sources"), "first_seen")

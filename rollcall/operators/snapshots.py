@@ -12,18 +12,20 @@ from rollcall.operators.dedupe import drop_blank, first_wins
 ADDED, KEPT, MISSING = "added", "kept", "missing"
 
 
-def diff_snapshots(new: DataFrame, old: DataFrame, key: Column | str = "name") -> DataFrame:
-    """Every distinct trimmed key with its status; null keys out.
+def _row_counts(new: DataFrame, old: DataFrame, key: Column | str) -> DataFrame:
+    """Rows per trimmed key on either side; one shuffle with map-side combine."""
+    side = lambda df, n, o: df.select(
+        exact_key(key).alias("key"), F.lit(n).alias("_n"), F.lit(o).alias("_o")
+    )
+    both = side(new, 1, 0).unionByName(side(old, 0, 1))
+    return both.groupBy("key").agg(F.sum("_n").alias("n_new"), F.sum("_o").alias("n_old"))
 
-    One shuffle: both sides are stacked and grouped, with map-side combine.
-    """
-    side = lambda df, is_new: df.select(
-        exact_key(key).alias("key"), F.lit(is_new).alias("_new")
-    ).filter(F.col("key").isNotNull())
-    both = side(new, True).unionByName(side(old, False))
-    in_new, in_old = F.bool_or("_new"), F.bool_or(~F.col("_new"))
-    return both.groupBy("key").agg(
-        F.when(in_new & in_old, KEPT).when(in_new, ADDED).otherwise(MISSING).alias("status")
+
+def diff_snapshots(new: DataFrame, old: DataFrame, key: Column | str = "name") -> DataFrame:
+    """Every distinct trimmed key with its status; null keys out."""
+    in_new, in_old = F.col("n_new") > 0, F.col("n_old") > 0
+    return _row_counts(new, old, key).filter(F.col("key").isNotNull()).select(
+        "key", F.when(in_new & in_old, KEPT).when(in_new, ADDED).otherwise(MISSING).alias("status")
     )
 
 
@@ -37,6 +39,19 @@ def diff_counts(diff: DataFrame) -> DataFrame:
     )
 
 
+def run_metrics(run_date: str, new: DataFrame, old: DataFrame, key: str = "name") -> DataFrame:
+    """One log row: rows before and after, names added and missing, column count."""
+    named = F.col("key").isNotNull()
+    return _row_counts(new, old, key).agg(
+        F.lit(run_date).alias("run_date"),
+        F.coalesce(F.sum("n_old"), F.lit(0)).alias("before"),
+        F.coalesce(F.sum("n_new"), F.lit(0)).alias("after"),
+        F.count_if(named & (F.col("n_old") == 0)).alias("added"),
+        F.count_if(named & (F.col("n_new") == 0)).alias("missing"),
+        F.lit(len(new.columns)).cast("bigint").alias("columns"),
+    )
+
+
 def is_new_row(flag: Column | str, words: list[str] = S.NEW_FLAGS) -> Column:
     c = F.col(flag) if isinstance(flag, str) else flag
     return F.coalesce(F.lower(exact_key(c)).isin(words), F.lit(False))
@@ -68,13 +83,3 @@ def sync_only_new(
     fresh = rows.join(names(only), "_key", "left_anti").drop("_key")
     return only.unionByName(fresh, allowMissingColumns=True)
 
-
-def run_metrics(run_date: str, new: DataFrame, old: DataFrame, key: str = "name") -> DataFrame:
-    """One log row: rows before and after, added, missing, column count."""
-    rows = new.agg(F.count("*").alias("after")).crossJoin(old.agg(F.count("*").alias("before")))
-    counts = diff_counts(diff_snapshots(new, old, key)).select("added", "missing")
-    # three one-row frames side by side
-    return rows.crossJoin(counts).select(
-        F.lit(run_date).alias("run_date"), "before", "after", "added", "missing",
-        F.lit(len(new.columns)).cast("bigint").alias("columns"),
-    )

@@ -11,14 +11,23 @@ from rollcall import schema as S
 from rollcall.functions.text import strip
 
 
-def dim_counts(df: DataFrame, dims: list[str]) -> DataFrame:
-    """Rows per value of several dimensions in one pass; nulls are not counted."""
-    pairs = F.array(*[F.struct(F.lit(d).alias("dim"), strip(F.col(d)).alias("value")) for d in dims])
+def dim_counts(df: DataFrame, dims: list[str], new: Column | None = None, first: str | None = None) -> DataFrame:
+    """Rows per value of several dimensions in one pass; nulls are not counted.
+
+    With ``new`` the new rows are counted once more under ``new_<dim>``. ``first``
+    adds the earliest position of every value, to break ties by appearance.
+    """
+    value = lambda d: strip(F.col(d))
+    pairs = [F.struct(F.lit(d).alias("dim"), value(d).alias("value")) for d in dims]
+    if new is not None:
+        pairs += [F.struct(F.lit(f"new_{d}").alias("dim"), F.when(new, value(d)).alias("value")) for d in dims]
+    extra = [F.min("_pos").alias("first")] if first else []
+    at = [F.col(first).alias("_pos")] if first else []
     return (
-        df.select(F.inline(pairs))
+        df.select(*at, F.inline(F.array(*pairs)))
         .filter(F.col("value").isNotNull())
         .groupBy("dim", "value")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), *extra)
     )
 
 

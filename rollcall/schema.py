@@ -6,7 +6,11 @@ from pyspark.sql import types as T
 
 
 def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Struct of simple types; needs no running session."""
+    out = T.StructType()
+    for part in spec.split(","):
+        out.add(*part.split())
+    return out
 
 
 CATALOG = _fields(
@@ -47,15 +51,21 @@ MENTION_TO_CATALOG = {
     "brief": "note",
 }
 
-VERDICT = _fields(
-    "model_name string, should_remove boolean, corrections map<string,string>, "
-    "confidence string, importance string, importance_reason string, "
-    "issues array<string>, notes string"
+VERDICT = (
+    _fields("model_name string, should_remove boolean")
+    .add("corrections", T.MapType(T.StringType(), T.StringType()))
+    .add("confidence", "string")
+    .add("importance", "string")
+    .add("importance_reason", "string")
+    .add("issues", T.ArrayType(T.StringType()))
+    .add("notes", "string")
 )
 
-REGISTRY = _fields(
-    "repo_id string, params_total long, tags array<string>, pipeline_tag string, "
-    "login_required boolean"
+REGISTRY = (
+    _fields("repo_id string, params_total long")
+    .add("tags", T.ArrayType(T.StringType()))
+    .add("pipeline_tag", "string")
+    .add("login_required", "boolean")
 )
 
 # ---- fixed values: they are data, and results depend on them as written ----
