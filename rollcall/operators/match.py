@@ -137,21 +137,19 @@ def loose_index(records: DataFrame, names: list[str], pos: str, payload: list[st
 
 
 def match_records(mentions: DataFrame, name: str, index: DataFrame) -> DataFrame:
-    """Attach the index record by exact loose key, else by containment; null when none."""
+    """Attach the index record by exact loose key, else by containment; null when none.
+
+    Only distinct keys are matched; the mentions are joined once at the end.
+    """
     keyed = mentions.withColumn("key", loose_key(name))
-    exact = index.select(F.col("index_key").alias("key"), F.col("index_record").alias("_exact"))
-    keyed = keyed.join(exact, "key", "left")
-    missed = keyed.filter(F.col("_exact").isNull() & (F.length("key") >= MIN_LEN)).select("key")
-    close = (
-        containment_match(missed, index)
-        .join(index.select("index_key", "index_record"), "index_key")
-        .select("key", F.col("index_record").alias("_close"))
-    )
-    return (
-        keyed.join(close, "key", "left")
-        .withColumn("matched", F.coalesce("_exact", "_close"))
-        .drop("key", "_exact", "_close")
+    records = index.select("index_key", F.col("index_record").alias("matched"))
+    keys = keyed.select("key").distinct().join(
+        records.withColumnRenamed("index_key", "key"), "key", "left"
     )
+    missed = keys.filter(F.col("matched").isNull()).select("key")
+    close = containment_match(missed, index).join(records, "index_key").select("key", "matched")
+    found = keys.filter(F.col("matched").isNotNull()).unionByName(close)
+    return keyed.join(found, "key", "left").drop("key")
 
 
 def cross_verify(
@@ -181,20 +179,20 @@ def cross_verify(
 
 def split_tracked(mentions: DataFrame, catalog: DataFrame, name: str = "model_name", known: str = "name") -> DataFrame:
     """Flag every mention as tracked when its key is known or contained either way."""
-    names = drop_blank(catalog.select(plain_key(known).alias("index_key")), F.col("index_key"))
-    names = names.distinct()
+    names = catalog.select(plain_key(known).alias("index_key")).distinct()
+    names = drop_blank(names, F.col("index_key"))
     keyed = mentions.withColumn("key", plain_key(name))
-    exact = names.select(F.col("index_key").alias("key"), F.lit(True).alias("_exact"))
-    keyed = keyed.join(exact, "key", "left")
-    missed = keyed.filter(F.col("_exact").isNull() & (F.length("key") >= MIN_LEN)).select("key")
+    keys = keyed.select("key").distinct()
+    exact = names.withColumnRenamed("index_key", "key")
+    missed = keys.join(exact, "key", "left_anti")
     # any partner will do, so all entries share one position
-    close = containment_match(missed, names.withColumn("index_pos", F.lit(0))).select(
-        "key", F.lit(True).alias("_close")
-    )
+    close = containment_match(missed, names.withColumn("index_pos", F.lit(0))).select("key")
+    # a key is in one of the two only
+    found = keys.join(exact, "key", "left_semi").unionByName(close).withColumn("_hit", F.lit(True))
     return (
-        keyed.join(close, "key", "left")
-        .withColumn("tracked", F.coalesce("_exact", "_close", F.lit(False)))
-        .drop("key", "_exact", "_close")
+        keyed.join(found, "key", "left")
+        .withColumn("tracked", F.coalesce("_hit", F.lit(False)))
+        .drop("key", "_hit")
     )
 
 
