@@ -9,6 +9,7 @@ from rollcall import schema as S
 from rollcall.functions import labels
 from rollcall.functions.text import append_text
 from rollcall.operators.dedupe import first_wins
+from rollcall.operators.rows import posexplode_rows
 
 
 def enrich_by_candidates(
@@ -28,9 +29,10 @@ def enrich_by_candidates(
     Other rows pass unchanged. ``matched_id`` tells which entry was used.
     """
     org = F.col(org_id) if org_id else F.lit("")
-    candidates = rows.filter(F.col("openness") == S.OPEN).select(
-        row_id, F.posexplode(labels.candidate_ids(name, company, org)).alias("_pos", "repo_id")
+    ids = rows.filter(F.col("openness") == S.OPEN).select(
+        row_id, labels.candidate_ids(name, company, org).alias("_ids")
     )
+    candidates = posexplode_rows(ids, "_ids", "_pos", "repo_id")
     known = first_wins(registry, ["repo_id"], ["repo_id"])
     hit = (
         candidates.join(known, "repo_id")

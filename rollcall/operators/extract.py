@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions.text import as_col
+from rollcall.operators.rows import posexplode_rows
 
 _MAP = "map<string,string>"
 
@@ -60,17 +61,13 @@ def extract_embedded(pages: DataFrame, page: str, html: str = "html", keys: list
     # one column per step, so that no step is evaluated again inside a later one
     arrays = (
         pages.select(page, payload_text(html).alias("_payload"))
-        .filter(F.length("_payload") > 0)
         .withColumn("_tail", _from(F.col("_payload"), wanted))
         .withColumn("_array", _from(F.col("_tail"), bracket))
         .withColumn("_parsed", F.from_json("_array", S.RECORDS))
     )
     broken = F.when(F.col("_parsed").isNull(), recover_objects(_balanced(F.col("_array"))))
-    return (
-        arrays.select(page, F.coalesce("_parsed", broken).alias("_records"))
-        .select(page, F.posexplode("_records").alias("pos", "record"))
-        .filter(F.col("record").isNotNull())
-    )
+    found = arrays.select(page, F.coalesce("_parsed", broken).alias("_records"))
+    return posexplode_rows(found, "_records", "pos", "record")
 
 
 def reply_content(response: Column | str) -> Column:
@@ -106,7 +103,8 @@ def entity_name(record: Column, keys: list[str] = S.REPLY_NAME_KEYS) -> Column:
 def ingest_replies(replies: DataFrame, keep: list[str], content: Column | str) -> DataFrame:
     """Mentions out of reply texts, with their position in the reply; nameless out."""
     m = F.col("record")
-    rows = replies.select(*keep, F.posexplode(reply_objects(content)).alias("pos", "record"))
+    objects = replies.select(*keep, reply_objects(content).alias("_o"))
+    rows = posexplode_rows(objects, "_o", "pos", "record")
     return (
         rows.withColumn("model_name", entity_name(m))
         .filter(F.coalesce(F.col("model_name"), F.lit("")) != "")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import labels
 from rollcall.functions.text import blank_to_null, fold_key, loose_key, plain_key
 from rollcall.operators.dedupe import drop_blank, first_wins
+from rollcall.operators.rows import explode_rows
 
 MIN_LEN = 5  # containment needs more than four characters on both sides
 
@@ -19,9 +20,9 @@ def _pieces(df: DataFrame, key: str, units: Column, n: int) -> DataFrame:
     not once per run; the work is linear in the length of the text.
     """
     cut = df.select(key, units.alias("_u"))
-    starts = F.sequence(F.lit(1), F.size("_u") - (n - 1))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("_u", i, n)))
-    return cut.filter(F.size("_u") >= n).select(key, F.explode(F.array_distinct(runs)).alias("piece"))
+    starts = F.when(F.size("_u") >= n, F.sequence(F.lit(1), F.size("_u") - (n - 1)))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice("_u", i, n))))
+    return explode_rows(cut.select(key, runs.alias("_r")), "_r", "piece")
 
 
 def _grams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -32,8 +33,8 @@ def _word_runs(df: DataFrame, key: str, text: str, n: int, inner: bool = False)
     """Runs of n words; ``inner`` leaves out the first and the last word."""
     words = F.split(text, r"\s+")
     if inner:
-        df = df.select(key, words.alias("_w")).filter(F.size("_w") >= n + 2)
-        words = F.slice("_w", F.lit(2), F.size("_w") - 2)
+        df = df.select(key, words.alias("_w"))
+        words = F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 2, F.lit(0)))
     return _pieces(df, key, words, n)
 
 
@@ -128,7 +129,7 @@ def loose_index(records: DataFrame, names: list[str], pos: str, payload: list[st
     A key seen more than once keeps its first position and its last record.
     """
     keyed = records.select(
-        pos, *payload, F.posexplode(F.array(*[loose_key(n) for n in names])).alias("_k", "index_key")
+        pos, *payload, F.posexplode_outer(F.array(*[loose_key(n) for n in names])).alias("_k", "index_key")
     ).filter(F.coalesce(F.col("index_key"), F.lit("")) != "")
     place = F.struct(pos, "_k")
     return keyed.groupBy("index_key").agg(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rollcall import schema as S
 from rollcall.functions.labels import flag_country
 from rollcall.functions.text import any_contains, strip
+from rollcall.operators.rows import inline_rows
 
 _MONTHS = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
 _DATE_LINE = rf"^{_MONTHS}\s+\d{{1,2}},\s+\d{{4}}$"
@@ -79,7 +80,7 @@ def parse_rank_blocks(files: DataFrame, layout: str, file: str = "file", text: s
             F.coalesce(F.get(licenses, F.lit(0)), F.lit("")).alias("license"),
         )
 
-    return cut.select(file, F.inline(F.transform("_s", block)))
+    return inline_rows(cut.select(file, F.transform("_s", block).alias("_b")), "_b", "line")
 
 
 def parse_logo_blocks(files: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
@@ -99,7 +100,7 @@ def parse_logo_blocks(files: DataFrame, file: str = "file", text: str = "text")
             F.slice(lines, s["a"] + 1, F.least(s["b"] - s["a"], F.lit(10))).alias("block"),
         ),
     )
-    blocks = cut.select(file, F.inline(F.when(F.size("_s") > 0, spans)))
+    blocks = inline_rows(cut.select(file, F.when(F.size("_s") > 0, spans).alias("_b")), "_b", "line")
     tail = F.slice("block", F.lit(4), F.lit(7))
     is_month = lambda line: line.rlike(_RELEASED)
     b = (
@@ -217,7 +218,8 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
         )
 
     spans = F.arrays_zip(F.col("_s").alias("a"), ends.alias("b"))
-    return cut.select(file, F.inline(F.when(F.size("_s") > 0, F.transform(spans, block))))
+    found = cut.select(file, F.when(F.size("_s") > 0, F.transform(spans, block)).alias("_b"))
+    return inline_rows(found, "_b", "line")
 
 
 def classify_raw(files: DataFrame, text: str = "text") -> DataFrame:

@@ -52,14 +52,14 @@ def upsert_fill(
     the name, so a name that many rows share is no hot key. ``change`` tells
     what happened: ``insert``, a comma list of filled columns, or nothing.
     """
+    pairs = {**fields, "release_date": "released_at"}
+    pairs = {src: target for src, target in pairs.items() if target in catalog.columns}
     last = catalog.groupBy(plain_key(name).alias("_key")).agg(F.max(row_id).alias(row_id))
     sided = incoming.join(last, "_key", "left")
-    sources = [*fields, "release_date"]
     patch = sided.filter(F.col(row_id).isNotNull()).select(
-        row_id, *[F.col(c).alias(f"_new_{c}") for c in sources]
+        row_id, *[F.col(c).alias(f"_new_{c}") for c in pairs]
     )
-    tokens = {**{t: S.BLANK_FILL for t in fields.values()}, "released_at": S.BLANK_DATE}
-    pairs = {**fields, "release_date": "released_at"}
+    tokens = {t: S.BLANK_DATE if t == "released_at" else S.BLANK_FILL for t in pairs.values()}
     wide = catalog.join(patch, row_id, "left")
     will = {
         target: is_blank(target, tokens[target]) & blank_to_null(f"_new_{src}").isNotNull()

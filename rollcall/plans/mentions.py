@@ -14,6 +14,7 @@ from rollcall.operators.extract import ingest_replies, reply_content
 from rollcall.operators.match import cross_verify, split_tracked
 from rollcall.operators.stats import mention_lists
 from rollcall.operators.upsert import upsert_fill, usable_mentions
+from rollcall.session import materialize
 
 
 class MentionRun(NamedTuple):
@@ -47,9 +48,10 @@ def mention_run(
         answered.select(*heads, reply_content("response").alias("content")),
         ["file", "seq", "source_article", "source_date"], "content",
     )
-    mentions = split_tracked(found, catalog)
+    # parsed replies and the usable rest feed several results each
+    mentions = materialize(split_tracked(materialize(found, "replies"), catalog), "mentions")
     lists = mention_lists(kept.select("file", "seq", "title"), mentions, "file")
     first = first_mention(mentions.filter(~F.col("tracked")), plain_key("model_name"), ["file", "pos"])
     checked = cross_verify(first.drop("mention_key"), records, base_url)
-    usable = usable_mentions(checked, ["file", "pos"], since, until, date_fallback)
+    usable = materialize(usable_mentions(checked, ["file", "pos"], since, until, date_fallback), "usable")
     return MentionRun(lists, mentions, upsert_fill(catalog, usable, created_at=created_at))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "rollcall", cores: int | str = 8, memory: str = "8g") -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(app: str = "rollcall", cores: int | str = 8, memory: str = "8g
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -43,3 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder, for results used more than once.
+
+    Later stages read it with pruned columns and known size, and a lost executor
+    costs a re-read instead of the whole lineage.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

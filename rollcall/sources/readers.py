@@ -10,6 +10,7 @@ from rollcall import schema as S
 from rollcall.functions.dates import title_date
 from rollcall.functions.text import as_col, strip
 from rollcall.operators.dedupe import first_wins
+from rollcall.operators.rows import explode_rows, posexplode_rows
 
 
 def read_catalog(
@@ -40,7 +41,7 @@ def whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parse_records(files: DataFrame, text: str = "text") -> DataFrame:
     """JSON arrays of open objects, one row per object with its position."""
-    return files.select("file", F.posexplode(F.from_json(text, S.RECORDS)).alias("pos", "record"))
+    return posexplode_rows(files.select("file", F.from_json(text, S.RECORDS).alias("_r")), "_r", "pos", "record")
 
 
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -58,7 +59,7 @@ def arena_entries(text: Column | str) -> Column:
 
 
 def parse_arena(files: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    return files.select(*keep, F.inline(arena_entries(text)))
+    return explode_rows(files.select(*keep, arena_entries(text).alias("_e")), "_e", "_x").select(*keep, "_x.*")
 
 
 def read_arena(spark: SparkSession, path: str, categories: DataFrame) -> DataFrame:
