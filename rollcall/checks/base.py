@@ -21,8 +21,15 @@ def check(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread`` is for queries that work long on every row.
+
+    A table of one small file is one task. It is spread over the cores then; a
+    table with enough splits is left as it is.
+    """
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def geography(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,7 +86,7 @@ catalog as (
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """All documents as articles; the source number gives the day in the title."""
     day = (F.lit(20240101) + F.substring("source", 4, 9).cast("int")).cast("string")
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", spread=True).select(
         F.col("doc_id"),
         F.concat(F.lit("doc"), "doc_id").alias("file"),
         F.col("doc_id").cast("int").alias("seq"),

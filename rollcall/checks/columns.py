@@ -289,7 +289,7 @@ def sparse_records(spark, sf):
     """,
 )
 def dict_contains(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", spread=True).select(
         "doc_id", X.any_contains("text", ["ention", "ierung", "miento"]).alias("any_word"),
         X.any_word(F.lower("text"), ["the", "les", "der"]).alias("whole_word"),
     )
@@ -304,7 +304,7 @@ def dict_contains(spark, sf):
     """,
 )
 def doc_summary(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.summary("text").alias("summary"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", X.summary("text").alias("summary"))
 
 
 @check(
@@ -316,6 +316,6 @@ def doc_summary(spark, sf):
     """,
 )
 def clip_texts(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", spread=True).select(
         "doc_id", X.clip("text", 80, "...").alias("short"), X.clip("text", 8000, "").alias("request")
     )

@@ -31,7 +31,7 @@ def embedded_payload(spark, sf):
     ]
     second = [F.lit('_id":"q'), F.col("page_id"), F.lit('","name":"'), host, F.lit('"}],"more":[1]}')]
     html = F.concat("html", _script(*first), F.lit("<p>"), _script(*second), F.lit("</body>"))
-    pages = table(spark, sf, "pages").withColumn("full", html)
+    pages = table(spark, sf, "pages", spread=True).withColumn("full", html)
     r = F.col("record")
     return X.extract_embedded(pages, "page_id", "full").select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), r["model_id"].alias("model_id"),
@@ -62,7 +62,7 @@ def payload_recovery(spark, sf):
         .otherwise(F.concat(F.lit("["), a, F.lit(",{oops}"), outside))
     )
     html = _script(F.lit('{"initialData":'), array)
-    pages = table(spark, sf, "events").select("event_id", html.alias("html"))
+    pages = table(spark, sf, "events", spread=True).select("event_id", html.alias("html"))
     r = F.col("record")
     return X.extract_embedded(pages, "event_id").select(
         "event_id", r["model_id"].alias("model_id"), r["k"].alias("k")
@@ -71,7 +71,7 @@ def payload_recovery(spark, sf):
 
 def _replies(spark, sf):
     """One reply per turn: its text around an array, the name under varying keys."""
-    talk = table(spark, sf, "conversations")
+    talk = table(spark, sf, "conversations", spread=True)
     key = F.when(F.col("role") == "user", "name").when(F.col("role") == "system", "modelName").otherwise("model_name")
     item = F.concat(
         F.lit('{"'), key, F.lit('": "'), F.col("role"), F.lit(" "), F.col("turn"), F.lit('", "size": "'),
@@ -121,7 +121,7 @@ def reply_ingest(spark, sf):
     """,
 )
 def mention_lists(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", "text")
     m = docs.select("doc_id", F.posexplode(names_in("text")).alias("pos", "model_name")).withColumn(
         "tracked", F.length("model_name") > 8
     )
@@ -148,7 +148,7 @@ def rank_blocks(spark, sf):
         F.concat(F.lit(" Proprietary ("), "p_type", F.lit(")")), F.lit("end"),
         F.col("p_partkey").cast("string"), "p_brand", F.upper("p_name"), "p_brand", F.lit("12"), F.lit("end"),
     )
-    files = table(spark, sf, "part").select("p_partkey", text.alias("text"))
+    files = table(spark, sf, "part", spread=True).select("p_partkey", text.alias("text"))
     return R.parse_rank_blocks(files, "seven", "p_partkey").select(
         "p_partkey", F.col("line").cast("bigint").alias("line"), "rank", "model", "company", "code_arena", "chat_arena",
         "gpqa", "swe_bench", "license",
@@ -167,7 +167,7 @@ def rank_blocks_short(spark, sf):
         "\n", F.lit("Rank\tModel"), F.lit("1"), "p_brand", "p_name", "p_brand",
         F.concat_ws("\t", "p_type", F.col("p_size").cast("string")), F.lit("Open Source"),
     )
-    files = table(spark, sf, "part").select("p_partkey", text.alias("text"))
+    files = table(spark, sf, "part", spread=True).select("p_partkey", text.alias("text"))
     three = R.parse_rank_blocks(files, "three", "p_partkey").select(
         F.lit("three").alias("layout"), "p_partkey", "model", F.col("image_gen").alias("score"),
         F.col("image_edit").alias("second"), "license",
@@ -206,7 +206,7 @@ def logo_blocks(spark, sf):
         F.lit("Apr. 2025"), F.col("c_mktsegment"),
         F.lit("x logo"), F.concat(F.lit("second "), "c_name"), F.lit("Closed"),
     )
-    files = table(spark, sf, "customer").select("c_custkey", text.alias("text"))
+    files = table(spark, sf, "customer", spread=True).select("c_custkey", text.alias("text"))
     return R.parse_logo_blocks(files, "c_custkey").drop("line")
 
 
@@ -237,7 +237,7 @@ def timeline_fill(spark, sf):
         F.lit("Jan 1, 1990"), F.lit("· 1 release"),
         *block(F.lit("Old Co"), F.concat(F.lit("last "), key), "Mini", F.lit("Open Source")), F.lit("GPQA: 88.5"),
     )
-    files = table(spark, sf, "orders").select("o_orderkey", text.alias("text"))
+    files = table(spark, sf, "orders", spread=True).select("o_orderkey", text.alias("text"))
     return R.parse_timeline(files, "o_orderkey").drop("line")
 
 
@@ -263,7 +263,7 @@ def classify_docs(spark, sf):
     head = F.when(lang == "en", _HEADS["en"]).when(lang == "fr", _HEADS["fr"]).when(lang == "de", _HEADS["de"]).otherwise(_HEADS["es"])
     plain = F.col("source").isin("src1", "src2")
     head = F.when(plain & (lang == "en"), "Code Arena\nChat Arena\n").when(~plain & (lang == "fr"), F.concat(head, F.lit("Deepgram "))).otherwise(head)
-    files = table(spark, sf, "documents").select("doc_id", F.concat(head, F.col("text")).alias("text"))
+    files = table(spark, sf, "documents", spread=True).select("doc_id", F.concat(head, F.col("text")).alias("text"))
     return R.classify_raw(files).select("doc_id", "kind")
 
 
@@ -281,5 +281,5 @@ def classify_docs(spark, sf):
     """,
 )
 def mine_lines(spark, sf):
-    found = R.mine_names(table(spark, sf, "documents"), "doc_id")
+    found = R.mine_names(table(spark, sf, "documents", spread=True), "doc_id")
     return found.select("doc_id", F.array_join("names", "\n").alias("names"), "total")

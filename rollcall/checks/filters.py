@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rollcall.checks.base import CATALOG_SQL, catalog, check, table
@@ -6,6 +7,7 @@ from rollcall.functions.text import is_blank
 from rollcall.operators import dedupe
 from rollcall.operators import rank as K
 from rollcall.operators.snapshots import is_new_row
+from rollcall.session import materialize
 
 
 def _dated(spark, sf):
@@ -103,7 +105,7 @@ def first_wins(spark, sf):
     "select min(doc_id) as doc_id, md5(text) as body_md5 from documents group by text",
 )
 def body_md5_dedupe(spark, sf):
-    kept = dedupe.dedupe_bodies(table(spark, sf, "documents").select("doc_id", "text"), "text", "doc_id")
+    kept = dedupe.dedupe_bodies(table(spark, sf, "documents", spread=True).select("doc_id", "text"), "text", "doc_id")
     return kept.select("doc_id", F.md5("text").alias("body_md5"))
 
 
@@ -118,7 +120,7 @@ def body_md5_dedupe(spark, sf):
 )
 def body_dedupe_order(spark, sf):
     """The filter before the dedupe, and after it."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", "text", "lang", "source")
     keep = (F.col("lang") == "en") & (F.col("source") != "src1")
     before = dedupe.dedupe_bodies(docs, "text", "doc_id", keep).select("doc_id", F.lit(True).alias("filter_first"))
     after = dedupe.dedupe_bodies(docs, "text", "doc_id", keep, dedupe_first=True)
@@ -134,16 +136,15 @@ def sort_dates(spark, sf):
     """The sorted rows, each with its place in the output."""
     clean = F.when(F.col("day") != "soon", F.col("day"))
     ordered = K.by_date_desc(_dated(spark, sf).select("o_orderkey", "day", clean.alias("sort_day")), "sort_day", "o_orderkey")
-    # the place is read off the sorted partitions: rows before a partition plus the place inside it
-    part = ordered.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
-    sizes = part.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
-    from pyspark.sql import Window
-
-    before = sizes.withColumn(
-        "_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # the place is read off the written files: rows in earlier files plus the row's own index
+    written = materialize(ordered, "sorted")
+    rows = written.select("o_orderkey", "day", "_metadata.file_name", "_metadata.row_index")
+    before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("file_name").agg(F.count("*").alias("n")).select(
+        "file_name", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
     )
-    return part.join(F.broadcast(before), "_p").select(
-        "o_orderkey", "day", (F.col("_i") - F.col("_first") + F.col("_before") + 1).alias("place")
+    return rows.join(sizes, "file_name").select(
+        "o_orderkey", "day", (F.col("before") + F.col("row_index") + 1).alias("place")
     )
 
 
@@ -230,6 +231,6 @@ def first_mention(spark, sf):
     from rollcall.checks.base import names_in
     from rollcall.functions.text import plain_key
 
-    m = table(spark, sf, "documents").select("doc_id", F.posexplode(names_in("text")).alias("pos", "name"))
+    m = table(spark, sf, "documents", spread=True).select("doc_id", F.posexplode(names_in("text")).alias("pos", "name"))
     first = dedupe.first_mention(m, plain_key("name"), ["doc_id", "pos"])
     return first.select("mention_key", "doc_id", F.col("pos").cast("bigint").alias("pos"))

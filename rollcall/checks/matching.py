@@ -49,7 +49,7 @@ def cross_verify_exact(spark, sf):
 )
 def containment_match(spark, sf):
     """First passage that each whole document contains."""
-    pairs = M.passages_in_texts(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id")
+    pairs = M.passages_in_texts(table(spark, sf, "documents", spread=True), table(spark, sf, "benchmark"), "doc_id", "item_id")
     return pairs.groupBy("doc_id").agg(F.min("item_id").alias("item_id"))
 
 
@@ -59,7 +59,7 @@ def containment_match(spark, sf):
 )
 def containment_pairs(spark, sf):
     return M.passages_in_texts(
-        table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id"
+        table(spark, sf, "documents", spread=True), table(spark, sf, "benchmark"), "doc_id", "item_id"
     )
 
 
@@ -113,7 +113,7 @@ def tracked_split(spark, sf):
     "select doc_id, exists (select 1 from benchmark b where contains(d.text, b.text)) as tracked from documents d",
 )
 def tracked_documents(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", "text")
     pairs = M.passages_in_texts(docs, table(spark, sf, "benchmark"), "doc_id", "item_id")
     return M.containment_flag(docs, pairs, "doc_id").select("doc_id", "tracked")
 

@@ -58,7 +58,7 @@ def missing_check(spark, sf):
 def extract_fill(spark, sf):
     """Share of the articles that have a result."""
     done = table(spark, sf, "labels").select("doc_id", F.lit("yes").alias("extracted"))
-    docs = table(spark, sf, "documents").select("doc_id").join(done, "doc_id", "left")
+    docs = table(spark, sf, "documents", spread=True).select("doc_id").join(done, "doc_id", "left")
     return A.coverage(docs, ["extracted"], "text").select("field", "filled", "total", "pct_floor")
 
 
@@ -95,7 +95,7 @@ def date_resolution(spark, sf):
 )
 def coverage(spark, sf):
     text = F.when(F.col("quality") == 1, "  ").when(F.col("toxic") == 1, "nan").when(F.col("quality").isNotNull(), "x")
-    docs = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
+    docs = table(spark, sf, "documents", spread=True).select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     docs = docs.select("doc_id", text.alias("t"))
     modes = ["not_null", "text", "text_not_nan"]
     parts = [A.coverage(docs, ["t"], m).select(F.lit(m).alias("mode"), "total", "filled") for m in modes]

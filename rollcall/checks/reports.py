@@ -67,7 +67,7 @@ def kpis(spark, sf):
 
 @check("source_counts", "select source, count(*) as n from documents group by source")
 def source_counts(spark, sf):
-    return A.source_counts(table(spark, sf, "documents"), "source")
+    return A.source_counts(table(spark, sf, "documents", spread=True), "source")
 
 
 def arena(spark, sf):

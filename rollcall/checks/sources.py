@@ -66,7 +66,7 @@ def article_split(spark, sf):
         F.lit("标题: "), "role", F.lit(" 2024011"), "turn", F.lit("\n链接: http://example.com/"), "turn",
         F.lit("\n序号: "), "conv_id", F.lit("\n" + "=" * 80 + "\n\n"), "text",
     )
-    files = table(spark, sf, "conversations").select(
+    files = table(spark, sf, "conversations", spread=True).select(
         F.concat_ws("_", "conv_id", "turn").alias("file"), content.alias("text")
     )
     return R.parse_articles(files).withColumn("seq", F.col("seq").cast("bigint"))
@@ -81,7 +81,7 @@ def article_split(spark, sf):
     """,
 )
 def page_fallback(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", spread=True)
     fresh = pages.select("page_id", F.when(F.col("url").startswith("https"), F.col("html")).alias("html"))
     older = pages.select("page_id", F.concat(F.lit("old "), "html").alias("html"))
     return R.pages_with_fallback(fresh, older, "page_id").select(
@@ -222,14 +222,14 @@ def article_index_sync(spark, sf):
 def seq_from_max(spark, sf):
     from rollcall.operators.rank import number_rows
 
-    return number_rows(table(spark, sf, "documents").select("doc_id"), "doc_id", start=1000)
+    return number_rows(table(spark, sf, "documents", spread=True).select("doc_id"), "doc_id", start=1000)
 
 
 @check("batches", "select doc_id, (row_number() over (order by doc_id) - 1) // 20 as batch from documents")
 def batches(spark, sf):
     from rollcall.operators.rank import batches as in_batches
 
-    return in_batches(table(spark, sf, "documents").select("doc_id"), "doc_id", 20)
+    return in_batches(table(spark, sf, "documents", spread=True).select("doc_id"), "doc_id", 20)
 
 
 @check(
@@ -245,7 +245,7 @@ def batches(spark, sf):
     """,
 )
 def article_persist(spark, sf):
-    talk = table(spark, sf, "conversations")
+    talk = table(spark, sf, "conversations", spread=True)
     body = F.when(F.col("role") == "system", "").when(
         F.col("turn") == 2, F.concat(F.lit("[爬取失败] "), "text")
     ).otherwise(F.col("text"))
@@ -271,7 +271,7 @@ def usable_articles(spark, sf):
         .when(F.col("turn") == 1, F.concat(F.lit("[内容过短]"), "text"))
         .otherwise(F.col("text"))
     )
-    rows = table(spark, sf, "conversations").withColumn("body", body)
+    rows = table(spark, sf, "conversations", spread=True).withColumn("body", body)
     return W.usable_articles(rows).select("conv_id", "turn")
 
 

@@ -96,7 +96,7 @@ def reviewed_rows(spark, sf):
     """All documents as catalog rows; the label of a document is its verdict."""
     n = F.col("n_chars")
     blank = [F.lit(None).cast("string").alias(c) for c in S.CATALOG_COLUMNS if c not in ("name", "company", "size", "note", "is_new", "verification")]
-    docs = table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents", spread=True).select(
         F.col("doc_id").alias("row_id"),
         F.concat(F.lit(" Doc "), "doc_id").alias("name"),
         F.when(n < 1500, "未知").otherwise(F.col("source")).alias("company"),

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 
-# every character a Unicode strip removes, not only the plain space
-_SPACE = r"[\s\x1c-\x1f]"
+# fixed values: the white space characters of Unicode, with the four information separators
+SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _BRACKETED = r"[(（].*?[)）]"
 
 
@@ -20,7 +23,8 @@ def as_col(x: Column | str) -> Column:
 
 
 def strip(x: Column | str) -> Column:
-    return F.regexp_replace(as_col(x), rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    """Outer white space off, not only the plain space; looks at the two ends only."""
+    return F.btrim(as_col(x), F.lit(SPACE))
 
 
 def exact_key(x: Column | str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.session import broadcast_if_small
+
 
 def first_wins(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -26,14 +28,26 @@ def dedupe_bodies(
 ) -> DataFrame:
     """Exact-body duplicates out, first file name wins.
 
-    ``where`` is applied before the dedupe, so a copy outside the window cannot
-    hide one inside it; ``dedupe_first`` turns that around.
+    ``order`` is unique. ``where`` is applied before the dedupe, so a copy
+    outside the window cannot hide one inside it; ``dedupe_first`` turns that
+    around. Only hashes are grouped: one row per repeated body says which copy
+    stays, and the bodies themselves are not shuffled for it unless those rows
+    are too many to broadcast.
     """
     if where is not None and not dedupe_first:
         articles = articles.filter(where)
-    kept = first_wins(
-        articles.withColumn("_md5", F.md5(F.encode(body, "UTF-8"))), ["_md5"], [order]
-    ).drop("_md5")
+    hashed = articles.withColumn("_md5", F.md5(F.encode(body, "UTF-8")))
+    repeated = (
+        hashed.groupBy("_md5")
+        .agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+        .filter("_n > 1")
+        .drop("_n")
+    )
+    kept = (
+        hashed.join(broadcast_if_small(repeated, "repeated-bodies"), "_md5", "left")
+        .filter(F.col("_first").isNull() | (F.col("_first") == F.col(order)))
+        .drop("_md5", "_first")
+    )
     return kept.filter(where) if where is not None and dedupe_first else kept
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from rollcall import schema as S
 from rollcall.functions import labels
 from rollcall.functions.text import append_text
-from rollcall.operators.dedupe import first_wins
 from rollcall.operators.rows import posexplode_rows
+from rollcall.session import broadcast_if_small
 
 
 def enrich_by_candidates(
@@ -24,6 +24,7 @@ def enrich_by_candidates(
 ) -> DataFrame:
     """Check open rows against the registry; the first candidate that exists decides.
 
+    ``registry`` has one row per ``repo_id``, ``rows`` one per ``row_id``.
     A blank size is filled from the registry and the verification text replaced.
     An entry that needs a login also ends the search, and only adds a remark.
     Other rows pass unchanged. ``matched_id`` tells which entry was used.
@@ -32,10 +33,9 @@ def enrich_by_candidates(
     ids = rows.filter(F.col("openness") == S.OPEN).select(
         row_id, labels.candidate_ids(name, company, org).alias("_ids")
     )
-    candidates = posexplode_rows(ids, "_ids", "_pos", "repo_id")
-    known = first_wins(registry, ["repo_id"], ["repo_id"])
+    candidates = broadcast_if_small(posexplode_rows(ids, "_ids", "_pos", "repo_id"), "candidates")
     hit = (
-        candidates.join(known, "repo_id")
+        registry.join(candidates, "repo_id")
         .groupBy(row_id)
         .agg(F.min_by(F.struct(*registry.columns), "_pos").alias("_hit"))
     )

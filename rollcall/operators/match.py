@@ -9,19 +9,20 @@ from rollcall.functions import labels
 from rollcall.functions.text import blank_to_null, fold_key, loose_key, plain_key
 from rollcall.operators.dedupe import drop_blank, first_wins
 from rollcall.operators.rows import explode_rows
+from rollcall.session import broadcast_if_small, materialize
 
 MIN_LEN = 5  # containment needs more than four characters on both sides
 
 
 def _pieces(df: DataFrame, key: str, units: Column, n: int) -> DataFrame:
-    """One row per key and distinct run of n units, as ``(key, piece)`` hashes.
+    """One row per key and run of n units, as ``(key, piece)`` hashes; runs may repeat.
 
     The units are a column of their own, so the text is split once per row and
     not once per run; the work is linear in the length of the text.
     """
     cut = df.select(key, units.alias("_u"))
     starts = F.when(F.size("_u") >= n, F.sequence(F.lit(1), F.size("_u") - (n - 1)))
-    runs = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice("_u", i, n))))
+    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("_u", i, n)))
     return explode_rows(cut.select(key, runs.alias("_r")), "_r", "piece")
 
 
@@ -52,6 +53,16 @@ def _rarest(pieces: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _hold(pieces: DataFrame, anchors: DataFrame, key: str, entry: str) -> DataFrame:
+    """Distinct (key, entry) pairs whose pieces meet.
+
+    There is one anchor row per entry but a piece for every few characters of
+    text: when the anchors are small the pieces never leave their task.
+    """
+    anchors = broadcast_if_small(anchors, "anchors")
+    return pieces.join(anchors, "piece").select(key, entry).distinct()
+
+
 def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
     """Distinct (long, short) name pairs where ``long`` contains ``short``.
 
@@ -62,8 +73,8 @@ def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN)
     longs = longs.filter(F.length("long") >= min_len).distinct()
     shorts = shorts.filter(F.length("short") >= min_len).distinct()
     anchors = _rarest(_grams(shorts, "short", "short", min_len), "short")
-    pairs = _grams(longs, "long", "long", min_len).join(anchors, "piece")
-    return pairs.filter(F.col("long").contains(F.col("short"))).select("long", "short")
+    pairs = _hold(_grams(longs, "long", "long", min_len), anchors, "long", "short")
+    return pairs.filter(F.col("long").contains(F.col("short")))
 
 
 def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
@@ -74,17 +85,20 @@ def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN)
     grams, and the winner is a partial aggregate, so neither a name contained in
     a large part of the index nor its mirror image gathers in one task.
     """
-    keys = left.select("key").distinct()
-    entries = index.select("index_key")
+    # both sides are read several times below
+    keys = materialize(left.select("key").distinct().filter(F.length("key") >= min_len), "keys")
+    if keys.isEmpty():
+        return keys.join(index.select("index_key", "index_pos"), F.lit(False))
+    index = materialize(index.select("index_key", "index_pos").filter(F.length("index_key") >= min_len), "index")
     inside = contained_names(
-        keys.select(F.col("key").alias("long")), entries.select(F.col("index_key").alias("short")), min_len
+        keys.select(F.col("key").alias("long")), index.select(F.col("index_key").alias("short")), min_len
     ).select(F.col("long").alias("key"), F.col("short").alias("index_key"))
     around = contained_names(
-        entries.select(F.col("index_key").alias("long")), keys.select(F.col("key").alias("short")), min_len
+        index.select(F.col("index_key").alias("long")), keys.select(F.col("key").alias("short")), min_len
     ).select(F.col("short").alias("key"), F.col("long").alias("index_key"))
     return (
         inside.unionByName(around)
-        .join(index.select("index_key", "index_pos"), "index_key")
+        .join(index, "index_key")
         .groupBy("key")
         .agg(F.min_by(F.struct("index_key", "index_pos"), "index_pos").alias("_hit"))
         .select("key", "_hit.index_key", "_hit.index_pos")
@@ -107,15 +121,16 @@ def passages_in_texts(
     entries = entries.filter(F.length("_text") >= min_len)
     unique = first_wins(entries, ["_hash", "_text"], [passage_id]).withColumnRenamed(passage_id, "_uid")
     anchors = _rarest(_word_runs(unique, "_uid", "_text", run, inner=True), "_uid")
-    found = _word_runs(texts, text_id, text, run).join(anchors, "piece").select(text_id, "_uid")
+    found = _hold(_word_runs(texts, text_id, text, run), anchors, text_id, "_uid")
     short = unique.filter(F.size(F.split("_text", r"\s+")) < run + 2)
     if not short.isEmpty():
         anchors = _rarest(_grams(short, "_uid", "_text", min_len), "_uid")
-        close = _grams(texts, text_id, text, min_len).join(anchors, "piece")
-        found = found.unionByName(close.select(text_id, "_uid"))
+        found = found.unionByName(_hold(_grams(texts, text_id, text, min_len), anchors, text_id, "_uid"))
+    # candidates with their passage; the texts are read again but not shuffled for a few pairs
+    pairs = broadcast_if_small(found.join(unique.select("_uid", "_text"), "_uid"), "candidates")
     held = (
-        found.join(texts.select(text_id, F.col(text).alias("_whole")), text_id)
-        .join(unique.select("_uid", "_text"), "_uid")
+        texts.select(text_id, F.col(text).alias("_whole"))
+        .join(pairs, text_id)
         .filter(F.col("_whole").contains(F.col("_text")))
         .select(text_id, "_uid")
     )
@@ -143,13 +158,15 @@ def match_records(mentions: DataFrame, name: str, index: DataFrame) -> DataFrame
     Only distinct keys are matched; the mentions are joined once at the end.
     """
     keyed = mentions.withColumn("key", loose_key(name))
+    index = materialize(index, "records")
     records = index.select("index_key", F.col("index_record").alias("matched"))
     keys = keyed.select("key").distinct().join(
         records.withColumnRenamed("index_key", "key"), "key", "left"
     )
+    keys = materialize(keys, "matched")
     missed = keys.filter(F.col("matched").isNull()).select("key")
     close = containment_match(missed, index).join(records, "index_key").select("key", "matched")
-    found = keys.filter(F.col("matched").isNotNull()).unionByName(close)
+    found = broadcast_if_small(keys.filter(F.col("matched").isNotNull()).unionByName(close), "found")
     return keyed.join(found, "key", "left").drop("key")
 
 
@@ -181,15 +198,16 @@ def cross_verify(
 def split_tracked(mentions: DataFrame, catalog: DataFrame, name: str = "model_name", known: str = "name") -> DataFrame:
     """Flag every mention as tracked when its key is known or contained either way."""
     names = catalog.select(plain_key(known).alias("index_key")).distinct()
-    names = drop_blank(names, F.col("index_key"))
+    names = materialize(drop_blank(names, F.col("index_key")), "names")
     keyed = mentions.withColumn("key", plain_key(name))
-    keys = keyed.select("key").distinct()
-    exact = names.withColumnRenamed("index_key", "key")
-    missed = keys.join(exact, "key", "left_anti")
+    exact = names.select(F.col("index_key").alias("key"), F.lit(True).alias("_exact"))
+    keys = materialize(keyed.select("key").distinct().join(exact, "key", "left"), "tracked")
+    missed = keys.filter(F.col("_exact").isNull()).select("key")
     # any partner will do, so all entries share one position
     close = containment_match(missed, names.withColumn("index_pos", F.lit(0))).select("key")
     # a key is in one of the two only
-    found = keys.join(exact, "key", "left_semi").unionByName(close).withColumn("_hit", F.lit(True))
+    found = keys.filter("_exact").select("key").unionByName(close).withColumn("_hit", F.lit(True))
+    found = broadcast_if_small(found, "found")
     return (
         keyed.join(found, "key", "left")
         .withColumn("tracked", F.coalesce("_hit", F.lit(False)))
@@ -200,7 +218,8 @@ def split_tracked(mentions: DataFrame, catalog: DataFrame, name: str = "model_na
 def new_only(rows: DataFrame, catalog: DataFrame, order: list[str], name: str = "name") -> DataFrame:
     """First row of every unknown name; blank names out."""
     keyed = drop_blank(rows.withColumn("_key", fold_key(name)), F.col("_key"))
-    known = catalog.select(fold_key(name).alias("_key"))
+    # distinct first, so that a name many rows share is no hot key of the join
+    known = catalog.select(fold_key(name).alias("_key")).distinct()
     return first_wins(keyed, ["_key"], order).join(known, "_key", "left_anti").drop("_key")
 
 

@@ -183,13 +183,14 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
         F.transform(
             lines,
             lambda line, i: F.when(
-                (i > F.get(F.col("_d"), F.lit(0)))
+                # the release type two lines on decides for nearly all lines, so it comes first
+                _at(lines, i + 2).isin(S.RELEASE_TYPES)
+                & (_at(lines, i + 1) != "")
+                & (i > F.get(F.col("_d"), F.lit(0)))
                 & (line != "")
                 & ~line.rlike("^[·•]")
                 & ~line.contains("GPQA:")
-                & ~is_date(line)
-                & (_at(lines, i + 1) != "")
-                & _at(lines, i + 2).isin(S.RELEASE_TYPES),
+                & ~is_date(line),
                 i,
             ),
         ),

@@ -10,6 +10,7 @@ from rollcall.functions.text import (
     append_text, blank_to_null, fold_key, is_blank, sparse_json, with_importance,
 )
 from rollcall.operators.rank import batches
+from rollcall.session import broadcast_if_small
 
 REVIEW_COLUMNS = [
     "name", "company", "region", "openness", "size", "type", "reasoning", "task_type",
@@ -52,7 +53,7 @@ def apply_review(
     cells stay as they are unless ``overwrite`` is set.
     """
     fillable = fillable or [c for c in catalog.columns if c in S.CATALOG_COLUMNS and c != "name"]
-    known = last_verdicts(verdicts, order)
+    known = broadcast_if_small(last_verdicts(verdicts, order), "verdicts")
     rows = catalog.withColumn("_key", fold_key("name")).join(known, "_key", "left")
     v = lambda f: F.col("verdict")[f]
     remove = F.coalesce(v("should_remove"), F.lit(False))

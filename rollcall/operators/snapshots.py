@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall import schema as S
 from rollcall.functions.text import exact_key
 from rollcall.operators.dedupe import drop_blank, first_wins
+from rollcall.session import broadcast_if_small
 
 ADDED, KEPT, MISSING = "added", "kept", "missing"
 
@@ -70,16 +71,15 @@ def sync_only_new(
     New are names the previous snapshot lacks; on a first run, rows flagged New.
     Blank names and repeats inside the batch are dropped, stored names skipped.
     """
-    rows = first_wins(
-        drop_blank(updated.withColumn("_key", exact_key(key)), F.col("_key")), ["_key"], order
-    )
-    names = lambda df: df.select(exact_key(key).alias("_key"))
-    if previous is not None:
-        rows = rows.join(names(previous), "_key", "left_anti")
-    else:
-        rows = rows.filter(is_new_row(flag, ["new"]))
-    if only is None:
-        return rows.drop("_key")
-    fresh = rows.join(names(only), "_key", "left_anti").drop("_key")
-    return only.unionByName(fresh, allowMissingColumns=True)
-
+    names = lambda df: df.select(exact_key(key).alias("_key")).distinct()
+    # which names are new is found on the names alone; rows move only for those
+    if previous is None:
+        updated = updated.filter(is_new_row(flag, ["new"]))
+    fresh = drop_blank(names(updated), F.col("_key"))
+    for known in (previous, only):
+        if known is not None:
+            fresh = fresh.join(names(known), "_key", "left_anti")
+    rows = updated.withColumn("_key", exact_key(key))
+    rows = rows.join(broadcast_if_small(fresh, "new-names"), "_key", "left_semi")
+    rows = first_wins(rows, ["_key"], order).drop("_key")
+    return rows if only is None else only.unionByName(rows, allowMissingColumns=True)

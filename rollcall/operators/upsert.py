@@ -9,6 +9,7 @@ from rollcall import schema as S
 from rollcall.functions.dates import dashed, date_int
 from rollcall.functions.text import blank_to_null, fill_blank, is_blank, is_product_name, plain_key
 from rollcall.operators.dedupe import drop_blank, first_wins
+from rollcall.session import broadcast_if_small, materialize
 
 
 def usable_mentions(
@@ -54,11 +55,18 @@ def upsert_fill(
     """
     pairs = {**fields, "release_date": "released_at"}
     pairs = {src: target for src, target in pairs.items() if target in catalog.columns}
-    last = catalog.groupBy(plain_key(name).alias("_key")).agg(F.max(row_id).alias(row_id))
-    sided = incoming.join(last, "_key", "left")
+    wanted = broadcast_if_small(incoming.select("_key"), "incoming-keys")
+    last = (
+        catalog.select(plain_key(name).alias("_key"), row_id)
+        .join(wanted, "_key", "left_semi")
+        .groupBy("_key")
+        .agg(F.max(row_id).alias(row_id))
+    )
+    sided = materialize(incoming.join(last, "_key", "left"), "incoming")
     patch = sided.filter(F.col(row_id).isNotNull()).select(
         row_id, *[F.col(c).alias(f"_new_{c}") for c in pairs]
     )
+    patch = broadcast_if_small(patch, "patch")
     tokens = {t: S.BLANK_DATE if t == "released_at" else S.BLANK_FILL for t in pairs.values()}
     wide = catalog.join(patch, row_id, "left")
     will = {

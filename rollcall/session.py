@@ -7,6 +7,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+BROADCAST_ROWS = 5_000_000
+BROADCAST_BYTES = 128 << 20
 
 
 def local_session(app: str = "rollcall", cores: int | str = 8, memory: str = "8g") -> SparkSession:
@@ -55,3 +60,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
+    """The frame written out and measured, with a broadcast hint when it is small.
+
+    For the computed side of a join whose other side is a whole catalog or all
+    texts: known before the join starts, a small side spares the large one its
+    shuffle. A side above the limits is joined by shuffle as usual.
+    """
+    table = materialize(df, label)
+    rows = table.count()
+    if rows > BROADCAST_ROWS:
+        return table
+    size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(table) if size + 32 * rows <= BROADCAST_BYTES else table

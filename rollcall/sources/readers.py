@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from rollcall import schema as S
 from rollcall.functions.dates import title_date
 from rollcall.functions.text import as_col, strip
-from rollcall.operators.dedupe import first_wins
 from rollcall.operators.rows import explode_rows, posexplode_rows
 
 
@@ -98,14 +97,14 @@ def read_articles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages_with_fallback(primary: DataFrame, fallback: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Fresh page per key, else the older copy; ``origin`` tells which."""
-    fresh = primary.filter(F.col(html).isNotNull()).select(
-        key, html, F.lit("fresh").alias("origin"), F.lit(0).alias("_prio")
-    )
-    older = fallback.filter(F.col(html).isNotNull()).select(
-        key, html, F.lit("cached").alias("origin"), F.lit(1).alias("_prio")
-    )
-    return first_wins(fresh.unionByName(older), [key], ["_prio"]).drop("_prio")
+    """Fresh page per key, else the older copy; ``origin`` tells which.
+
+    Either side holds a key once. Only the older pages meet the keys of the
+    fresh ones; the fresh pages are passed on where they are.
+    """
+    fresh = primary.filter(F.col(html).isNotNull()).select(key, html, F.lit("fresh").alias("origin"))
+    older = fallback.filter(F.col(html).isNotNull()).select(key, html, F.lit("cached").alias("origin"))
+    return fresh.unionByName(older.join(fresh.select(key), key, "left_anti"))
 
 
 def read_pages(spark: SparkSession, primary: str, fallback: str) -> DataFrame:

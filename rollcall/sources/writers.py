@@ -68,7 +68,7 @@ def new_articles(articles: DataFrame, existing: DataFrame, key: str = "article_k
     """Usable articles whose sanitised key is not stored yet, each once."""
     name = F.concat_ws("_", F.lpad(F.col("seq").cast("string"), F.greatest(F.lit(2), F.length(F.col("seq").cast("string"))), F.lit("0")), safe_key("title"))
     keyed = first_wins(usable_articles(articles).withColumn(key, name), [key], ["seq"])
-    return keyed.join(existing.select(key), key, "left_anti")
+    return keyed.join(existing.select(key).distinct(), key, "left_anti")
 
 
 def sync_article_index(index: DataFrame, articles: DataFrame, order: str) -> DataFrame:
@@ -76,7 +76,7 @@ def sync_article_index(index: DataFrame, articles: DataFrame, order: str) -> Dat
 
     ``order`` is the unique ingest position of the articles.
     """
-    known = index.select("title").filter(F.col("title").isNotNull())
+    known = index.select("title").filter(F.col("title").isNotNull()).distinct()
     fresh = articles.join(known, "title", "left_anti")
     top = index.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
     numbered = number_rows(fresh, order, start=int(top), out="seq_new")
