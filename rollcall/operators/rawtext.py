@@ -172,8 +172,8 @@ def parse_logo_blocks(files: DataFrame, file: str = "file", text: str = "text")
 def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
     """Release blocks under date lines; a date holds until the next one.
 
-    A block is company, name, release type, licence and more lines, and ends
-    where the next block or date starts.
+    A block is company, name, release type, licence and three more lines, with
+    an optional score behind them, and ends where the next block or date starts.
     """
     lines = F.col("_l")
     is_date = lambda line: line.rlike(_DATE_LINE)
@@ -196,7 +196,8 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
         ),
         lambda i: i.isNotNull(),
     )
-    cut = cut.withColumn("_s", F.when(F.size("_d") > 0, _spaced(opens, 4)))
+    # company, model, type, licence, company again, dot and age: no block is shorter
+    cut = cut.withColumn("_s", F.when(F.size("_d") > 0, _spaced(opens, 7)))
     ends = F.concat(F.slice("_s", F.lit(2), F.greatest(F.size("_s") - 1, F.lit(0))), F.array(F.size("_l")))
 
     def block(s: Column) -> Column:

@@ -14,9 +14,11 @@ BROADCAST_ROWS = 5_000_000
 BROADCAST_BYTES = 128 << 20
 
 
-def local_session(app: str = "rollcall", cores: int | str = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    app: str = "rollcall", cores: int | str = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
     """Session for tests and the local bench; a cluster brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -26,8 +28,10 @@ def local_session(app: str = "rollcall", cores: int | str = 8, memory: str = "8g
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -35,16 +39,17 @@ def local_session(app: str = "rollcall", cores: int | str = 8, memory: str = "8g
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a fresh temporary folder.
+    Only a local master without that setting gets a fresh temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="rollcall-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

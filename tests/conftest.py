@@ -1,11 +1,15 @@
 import pytest
 
-from rollcall.session import local_session, shared_dir
+from rollcall.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("rollcall-tests", cores=4, memory="4g")
-    shared_dir(session)
+def shared(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared):
+    session = local_session("rollcall-tests", cores=4, memory="4g", shared=shared)
     yield session
     session.stop()
