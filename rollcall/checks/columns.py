@@ -284,7 +284,7 @@ def sparse_records(spark, sf):
     "dict_contains",
     r"""
     select doc_id, regexp_matches(text, 'ention|ierung|miento') as any_word,
-      regexp_matches(lower(text), '\b(the|les|der)\b') as whole_word
+      regexp_matches(lower(text), '(^|[^\pL\pM\pN_])(the|les|der)([^\pL\pM\pN_]|$)') as whole_word
     from documents
     """,
 )

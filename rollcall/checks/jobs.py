@@ -53,7 +53,7 @@ def _saved_pages(spark, sf):
     f as (select *, row_number() over (partition by lower(name) order by case when day = '' then null else day end desc nulls last, prio, p_partkey) as rn from w),
     k as (select * from f where rn = 1 and lower(name) not in (select lower(p_name || ' ' || p_partkey) from part where p_type = 'STANDARD')),
     n as (select *, case when p_type = 'PROMO' then '开源' when p_type = 'SMALL' then '未知' else '闭源' end as openness,
-      case when p_type = 'LARGE' then '' else '7B' end as size0, p_type = 'PROMO' and p_size < 20 as hit from k)
+      case when p_type = 'LARGE' then '' else '7B' end as size0, p_type = 'PROMO' and name in (select name from p where p_size < 20) as hit from k)
     select name, p_brand as company, case when p_size > 25 then '国内' else '国外' end as region, openness, size0 as size,
       case when p_type = 'LARGE' then '领域' else '基座' end as type,
       case when p_size > 40 or regexp_matches(lower(name), 'thinking|reason|o1|o3|o4|r1|r2') then 'thinking' else 'non-thinking' end as reasoning,
@@ -72,7 +72,7 @@ def collect_run(spark, sf):
         F.concat_ws(" ", "p_name", F.floor(F.col("p_partkey") / 2).cast("string")).alias("repo_id"),
         F.lit(9_000_000_000).alias("params_total"),
         F.array(F.lit("x")).alias("tags"), F.lit("").alias("pipeline_tag"), F.lit(False).alias("login_required"),
-    )
+    ).distinct()
     rows = C.collect(
         _saved_pages(spark, sf), TAGS, known, registry, 20240201, 20240531, "2024-06-01", BASE_URL
     )

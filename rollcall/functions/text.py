@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -83,9 +84,8 @@ def any_contains(x: Column | str, words: list[str]) -> Column:
 
 
 def any_word(x: Column | str, words: list[str]) -> Column:
-    import re
-
-    return as_col(x).rlike(r"\b(" + "|".join(re.escape(w) for w in words) + r")\b")
+    # (?U): letters of every script count as part of a word
+    return as_col(x).rlike(r"(?U)\b(" + "|".join(re.escape(w) for w in words) + r")\b")
 
 
 def clip(x: Column | str, n: int, mark: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import as_col
+from rollcall.session import broadcast_if_small
 
 
 def by_date_desc(df: DataFrame, day: Column | str, pos: str) -> DataFrame:
@@ -90,7 +91,7 @@ def share_of_max(counts: DataFrame, groups: list[str], value: str, out: str = "s
     The maxima are one row per group and come from a grouped aggregate, so a
     group with very many values is not pulled into one task.
     """
-    top = counts.groupBy(*groups).agg(F.max(value).alias("_max"))
+    top = broadcast_if_small(counts.groupBy(*groups).agg(F.max(value).alias("_max")), "maxima")
     return (
         counts.join(top, groups)
         .withColumn(out, F.when(F.col("_max") > 0, F.col(value) / F.col("_max")).otherwise(0.0))

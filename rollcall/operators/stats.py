@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,17 +147,21 @@ def digest_groups(df: DataFrame, company: str = "company") -> DataFrame:
     return df.groupBy(label.alias("company")).agg(F.count("*").alias("n"))
 
 
-def checks(rows: list[tuple[str, Column, Column]], df: DataFrame) -> DataFrame:
+def checks(rules: list[tuple[str, Column, Callable[[Column], Column]]], df: DataFrame) -> DataFrame:
     """One aggregate over ``df`` turned into rows (check, value, passed).
 
-    ``rows`` holds name, aggregate, and the condition on column ``value``.
+    A rule is a name, an aggregate, and the test its value has to pass.
     """
-    wide = df.agg(*[agg.cast("double").alias(f"_{i}") for i, (_, agg, _) in enumerate(rows)])
-    parts = [
-        wide.select(F.lit(name).alias("check"), F.col(f"_{i}").alias("value")).withColumn("passed", ok)
-        for i, (name, _, ok) in enumerate(rows)
+    wide = df.agg(*[agg.cast("double").alias(f"_{i}") for i, (_, agg, _) in enumerate(rules)])
+    cells = [
+        F.struct(
+            F.lit(name).alias("check"),
+            F.col(f"_{i}").alias("value"),
+            F.coalesce(test(F.col(f"_{i}")), F.lit(False)).alias("passed"),
+        )
+        for i, (name, _, test) in enumerate(rules)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return wide.select(F.inline(F.array(*cells)))
 
 
 def resolve_dates(candidates: DataFrame, entity: str, since: int, until: int) -> DataFrame:

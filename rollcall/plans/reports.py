@@ -14,6 +14,7 @@ from rollcall.functions.text import clip, importance_level, importance_reason, s
 from rollcall.operators import rank as K
 from rollcall.operators import stats as A
 from rollcall.operators.snapshots import diff_counts, diff_snapshots, is_new_row
+from rollcall.session import broadcast_if_small, materialize
 
 
 def tidy(df: DataFrame, section: str | Column, key: Column, metrics: dict[str, Column], rank: Column | None = None) -> DataFrame:
@@ -141,10 +142,9 @@ def update_tables(catalog: DataFrame, old: DataFrame, row_id: str = "row_id") ->
         {"filled": F.col("filled"), "total": F.col("total"), "grade": labels.coverage_grade("pct")},
     )
     counts = A.dim_counts(catalog, REPORT_DIMS, new=new, first=row_id)
-    counts = counts.filter(
-        F.col("dim").isin(*REPORT_DIMS, "new_company", "new_type")
-    )
-    shared = K.share_of_max(counts, ["dim"], "n")
+    counts = counts.filter(F.col("dim").isin(*REPORT_DIMS, "new_company", "new_type"))
+    # counted once, ranked several times
+    shared = K.share_of_max(materialize(counts, "counts"), ["dim"], "n")
     bars = {"n": F.col("n"), "bar": F.floor(F.col("share") * 30)}
     order = [F.col("n").desc(), F.col("first")]
     tops = [
@@ -165,6 +165,7 @@ def digest_rows(catalog: DataFrame, since: int, until: int) -> DataFrame:
     is listed under its own label.
     """
     rows = in_window(catalog, date_int("released_at"), since, until, keep_unknown=False)
+    rows = materialize(rows, "digest")
     text = lambda c: F.when(F.lower(strip(c)) == "nan", "").otherwise(F.coalesce(strip(c), F.lit("")))
     new = is_new_row("is_new")
     overview = A.kpis(rows, new=new)
@@ -186,9 +187,9 @@ def digest_rows(catalog: DataFrame, since: int, until: int) -> DataFrame:
     )
     label = F.coalesce(F.nullif(text("company"), F.lit("")), F.lit(S.UNKNOWN))
     sizes = A.digest_groups(rows.withColumn("company", F.nullif(text("company"), F.lit("")))).withColumnRenamed("n", "group_size")
-    listed = rows.withColumn("_label", label).join(
-        sizes.withColumnRenamed("company", "_label"), "_label"
-    )
+    # one company may hold very many rows; its size comes to them, not they to it
+    sizes = broadcast_if_small(sizes.withColumnRenamed("company", "_label"), "group-sizes")
+    listed = rows.withColumn("_label", label).join(sizes, "_label")
     shown = F.when(F.length(note) > 2, clip(without_importance(note), 80, "...")).otherwise("")
     all_rows = tidy(
         listed, "company", F.col("_label"),
@@ -214,7 +215,7 @@ def required_fill(catalog: DataFrame, required: list[str] = REQUIRED) -> DataFra
 
 def acceptance_tables(new: DataFrame, old: DataFrame, key: str = "name", required: list[str] = REQUIRED) -> DataFrame:
     """Counts before and after, coverage per column, and the quality checks."""
-    diff = diff_counts(diff_snapshots(new, old, key))
+    diff = materialize(diff_counts(diff_snapshots(new, old, key)), "diff")
     totals = tidy(diff, "diff", F.lit("all"), {c: F.col(c) for c in diff.columns})
     before = tidy(old.agg(F.count("*").alias("n")), "rows", F.lit("before"), {"n": F.col("n")})
     after = tidy(new.agg(F.count("*").alias("n")), "rows", F.lit("after"), {"n": F.col("n"), "columns": F.lit(len(new.columns))})
@@ -228,9 +229,9 @@ def acceptance_tables(new: DataFrame, old: DataFrame, key: str = "name", require
     )
     quality = A.checks(
         [
-            ("updated_not_empty", F.sum("new_total"), F.col("value") > 0),
-            ("names_grew", F.sum(F.col("new_total") - F.col("old_total")), F.col("value") > 0),
-            ("nothing_missing", F.sum("missing"), F.col("value") == 0),
+            ("updated_not_empty", F.sum("new_total"), lambda v: v > 0),
+            ("names_grew", F.sum(F.col("new_total") - F.col("old_total")), lambda v: v > 0),
+            ("nothing_missing", F.sum("missing"), lambda v: v == 0),
         ],
         diff,
     )

@@ -10,6 +10,7 @@ from rollcall.functions.dates import dotted
 from rollcall.functions.text import safe_key, summary
 from rollcall.operators.dedupe import first_wins
 from rollcall.operators.rank import number_rows
+from rollcall.session import materialize
 
 
 def append_catalog(existing: DataFrame, new: DataFrame, columns: list[str] = S.CATALOG_COLUMNS) -> DataFrame:
@@ -77,17 +78,15 @@ def sync_article_index(index: DataFrame, articles: DataFrame, order: str) -> Dat
     ``order`` is the unique ingest position of the articles.
     """
     known = index.select("title").filter(F.col("title").isNotNull()).distinct()
-    fresh = articles.join(known, "title", "left_anti")
+    # bodies shrink to their summaries before the rows are numbered
+    short = articles.select(
+        order, "title", summary("body").alias("summary"), "link", dotted("published").alias("published")
+    )
+    fresh = materialize(short.join(known, "title", "left_anti"), "new-titles")
     top = index.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-    numbered = number_rows(fresh, order, start=int(top), out="seq_new")
-    return numbered.select(
-        F.col("seq_new").alias("seq"),
-        "title",
-        summary("body").alias("summary"),
-        "link",
-        dotted("published").alias("published"),
-        F.lit("").alias("reads"),
-        F.lit("").alias("comments"),
+    return number_rows(fresh, order, start=int(top), out="_seq").select(
+        F.col("_seq").alias("seq"), "title", "summary", "link", "published",
+        F.lit("").alias("reads"), F.lit("").alias("comments"),
     )
 
 
