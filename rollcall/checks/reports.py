@@ -129,8 +129,8 @@ def flat(tables):
     with {ARENA_SQL},
     s as (select category, subcategory, count(*) as total, count(*) filter (coalesce(matches, 0) > 0) as active from arena group by all),
     r as (select *, row_number() over (partition by category, subcategory order by coalesce(rating, 0) desc, pos) as rn from arena where coalesce(matches, 0) > 0),
-    o as (select organization, count(*) as total, string_agg(distinct category, ', ' order by category) as cats from arena group by 1),
-    t as (select *, row_number() over (order by total desc, organization) as rn from o)
+    o as (select organization, count(*) as total, string_agg(distinct category, ', ' order by category) as cats, min(pos) as f from arena group by 1),
+    t as (select *, row_number() over (order by total desc, f) as rn from o)
     select 'overview' as section, cast(null as bigint) as rank, category || '/' || subcategory as key,
       'active=' || active || '; inactive=' || (total - active) || '; more=' || greatest(active - 30, 0) || '; total=' || total as metrics from s
     union all

@@ -39,18 +39,21 @@ def org_stats(df: DataFrame, org: str, is_open: Column, is_recent: Column) -> Da
     )
 
 
-def org_categories(df: DataFrame, org: str, category: str) -> DataFrame:
+def org_categories(df: DataFrame, org: str, category: str, first: str | None = None) -> DataFrame:
     """Records per organisation and the sorted list of its categories.
 
     Counted per (organisation, category) first, so the list is built from one
-    row per category and not from the records.
+    row per category and not from the records. ``first`` adds the earliest
+    position of every organisation, to break ties by appearance.
     """
+    at = [F.min(first).alias("_at")] if first else []
     pairs = df.groupBy(F.coalesce(F.col(org), F.lit("unknown")).alias(org), category).agg(
-        F.count("*").alias("_n")
+        F.count("*").alias("_n"), *at
     )
     return pairs.groupBy(org).agg(
         F.sum("_n").alias("total"),
         F.array_join(F.array_sort(F.collect_set(category)), ", ").alias("categories"),
+        *([F.min("_at").alias("first")] if first else []),
     )
 
 

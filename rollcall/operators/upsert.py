@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions.dates import dashed, date_int
-from rollcall.functions.text import blank_to_null, fill_blank, is_blank, is_product_name, plain_key
+from rollcall.functions.text import blank_to_null, fill_blank, is_blank, is_product_name, plain_key, strip
 from rollcall.operators.dedupe import drop_blank, first_wins
 from rollcall.session import broadcast_if_small, materialize
 
@@ -89,7 +89,7 @@ def upsert_fill(
     )
     fresh = sided.filter(F.col(row_id).isNull()).select(
         F.lit(None).cast(catalog.schema[row_id].dataType).alias(row_id),
-        F.col("model_name").alias(name),
+        strip("model_name").alias(name),
         *[F.coalesce(F.col(src), F.lit("")).alias(target) for src, target in pairs.items()],
         F.lit(created_at).alias("created_at"),
         F.lit("New").alias("is_new"),

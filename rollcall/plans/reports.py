@@ -105,8 +105,8 @@ def arena_tables(entries: DataFrame, top: int = 30, orgs: int = 20, pos: str = "
         },
         F.col("rank"),
     )
-    per_org = A.org_categories(entries, "organization", "category")
-    across = K.top_n(per_org, [F.col("total").desc(), F.col("organization")], orgs)
+    per_org = A.org_categories(entries, "organization", "category", first=pos)
+    across = K.top_n(per_org, [F.col("total").desc(), F.col("first")], orgs)
     org_rows = tidy(
         across, "organizations", F.col("organization"),
         {"total": F.col("total"), "categories": F.col("categories")}, F.col("rank"),

@@ -74,16 +74,20 @@ def parse_articles(files: DataFrame, file: str = "file", text: str = "text", min
     )
     head = F.slice("_l", 1, F.col("_r") - 1)
 
-    def header(prefix: str) -> Column:
+    def values(prefix: str) -> Column:
         found = F.filter(head, lambda line: line.startswith(prefix))
-        values = F.transform(found, lambda line: strip(F.replace(line, F.lit(prefix), F.lit(""))))
-        return F.coalesce(F.try_element_at(values, F.lit(-1)), F.lit(""))
+        return F.transform(found, lambda line: strip(F.substring(line, len(prefix) + 1, F.length(line))))
+
+    # a header line given twice counts as last written, an unreadable number not at all
+    last = lambda array: F.try_element_at(array, F.lit(-1))
+    header = lambda prefix: F.coalesce(last(values(prefix)), F.lit(""))
+    numbers = F.filter(F.transform(values(S.ARTICLE_SEQ), lambda v: v.try_cast("int")), lambda v: v.isNotNull())
 
     cut = files.withColumn("_l", lines).withColumn("_r", rule.cast("int")).filter(F.col("_r").isNotNull())
     body = strip(F.array_join(F.slice("_l", F.col("_r") + 1, F.size("_l")), "\n"))
     title = header(S.ARTICLE_TITLE)
     return cut.select(
-        F.coalesce(header(S.ARTICLE_SEQ).try_cast("int"), F.lit(0)).alias("seq"),
+        F.coalesce(last(numbers), F.lit(0)).alias("seq"),
         title.alias("title"),
         header(S.ARTICLE_LINK).alias("link"),
         title_date(title).alias("date_int"),

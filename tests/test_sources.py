@@ -13,7 +13,7 @@ def test_articles(spark, tmp_path):
     rule = "=" * 80
     body = "x" * 50
     made = {
-        "01.txt": f"标题: 速递 20260416 \n链接: http://a\n序号: 7\n{rule}\n\n  {body}\n序号: 9\n",
+        "01.txt": f"标题: 速递 标题: 20260416 \n链接: http://a\n序号: 7\n序号: x\n{rule}\n\n  {body}\n序号: 9\n",
         "02.txt": f"标题: no date\n序号: x\n{rule}\n{body}",
         "03.txt": f"标题: short 20260416\n{rule}\n{'x' * 49}  ",
         "04.txt": f"标题: no rule 20260416\n{body}",
@@ -23,7 +23,7 @@ def test_articles(spark, tmp_path):
     got = {r["file"]: r for r in R.read_articles(spark, str(tmp_path)).collect()}
     assert set(got) == {"01.txt", "02.txt"}
     a = got["01.txt"]
-    assert (a["seq"], a["title"], a["link"], a["date_int"]) == (7, "速递 20260416", "http://a", 20260416)
+    assert (a["seq"], a["title"], a["link"], a["date_int"]) == (7, "速递 标题: 20260416", "http://a", 20260416)
     assert a["body"] == body + "\n序号: 9"
     assert (got["02.txt"]["seq"], got["02.txt"]["date_int"], got["02.txt"]["link"]) == (0, 0, "")
 
