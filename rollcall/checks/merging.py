@@ -132,7 +132,9 @@ def merge_two_frames(spark, sf):
 
 
 def _sides(spark, sf):
-    rows = catalog(spark, sf).select("name", "balance", "is_new", "row_id")
+    rows = table(spark, sf, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_custkey").alias("row_id")
+    )
     new = rows.filter("balance >= 0")
     old = rows.filter("balance < 8000").withColumn("name", F.concat(F.lit(" "), "name", F.lit("\t")))
     return new, old

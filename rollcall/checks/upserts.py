@@ -10,7 +10,7 @@ from rollcall.operators.upsert import usable_mentions as usable
 def _incoming(spark, sf):
     """Every order brings a mention of its customer, some of them under a new name."""
     customers = table(spark, sf, "customer")
-    rows = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = table(spark, sf, "orders", spread=True).join(customers, F.col("o_custkey") == F.col("c_custkey"))
     fresh = F.col("c_acctbal") >= 9000
     blank = F.lit("")
     return rows.select(

@@ -10,8 +10,8 @@ from rollcall.functions.text import as_col, strip
 
 def date_int(x: Column | str) -> Column:
     """``2026-04-20 00:00:00`` or ``2026/4/20T..`` to an integer, null when unreadable."""
-    day = F.get(F.split(strip(as_col(x).cast("string")), "[ T]"), F.lit(0))
-    return F.left(F.regexp_replace(day, "[-/]", ""), F.lit(8)).try_cast("int")
+    day = F.substring_index(F.substring_index(strip(as_col(x).cast("string")), " ", 1), "T", 1)
+    return F.left(F.translate(day, "-/", ""), F.lit(8)).try_cast("int")
 
 
 def title_date(title: Column | str) -> Column:

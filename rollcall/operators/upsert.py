@@ -55,14 +55,15 @@ def upsert_fill(
     """
     pairs = {**fields, "release_date": "released_at"}
     pairs = {src: target for src, target in pairs.items() if target in catalog.columns}
-    wanted = broadcast_if_small(incoming.select("_key"), "incoming-keys")
+    # read three times below, and small next to the catalog
+    incoming = broadcast_if_small(incoming, "incoming")
     last = (
         catalog.select(plain_key(name).alias("_key"), row_id)
-        .join(wanted, "_key", "left_semi")
+        .join(incoming.select("_key"), "_key", "left_semi")
         .groupBy("_key")
         .agg(F.max(row_id).alias(row_id))
     )
-    sided = materialize(incoming.join(last, "_key", "left"), "incoming")
+    sided = materialize(incoming.join(last, "_key", "left"), "sided")
     patch = sided.filter(F.col(row_id).isNotNull()).select(
         row_id, *[F.col(c).alias(f"_new_{c}") for c in pairs]
     )

@@ -12,6 +12,7 @@ from rollcall.operators.enrich import enrich_by_candidates
 from rollcall.operators.extract import extract_embedded
 from rollcall.operators.match import new_only
 from rollcall.operators.merge import merge_open_records, with_priority
+from rollcall.session import materialize
 from rollcall.sources.writers import append_catalog
 
 
@@ -82,7 +83,7 @@ def collect(
     rows = in_window(rows, date_int("released_at"), since, until, keep_unknown=True)
     # newest first decides which of two equal names is kept
     newest = F.nullif(F.col("released_at"), F.lit("")).desc_nulls_last()
-    fresh = new_only(rows, catalog, [newest, F.col("first_seen")])
+    fresh = materialize(new_only(rows, catalog, [newest, F.col("first_seen")]), "fresh")
     return enrich_by_candidates(fresh, registry, row_id="model_id", org_id="organization_id")
 
 

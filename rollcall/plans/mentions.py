@@ -48,10 +48,10 @@ def mention_run(
         answered.select(*heads, reply_content("response").alias("content")),
         ["file", "seq", "source_article", "source_date"], "content",
     )
-    # parsed replies and the usable rest feed several results each
+    # parsed replies and split mentions feed several results each
     mentions = materialize(split_tracked(materialize(found, "replies"), catalog), "mentions")
     lists = mention_lists(kept.select("file", "seq", "title"), mentions, "file")
     first = first_mention(mentions.filter(~F.col("tracked")), plain_key("model_name"), ["file", "pos"])
     checked = cross_verify(first.drop("mention_key"), records, base_url)
-    usable = materialize(usable_mentions(checked, ["file", "pos"], since, until, date_fallback), "usable")
+    usable = usable_mentions(checked, ["file", "pos"], since, until, date_fallback)
     return MentionRun(lists, mentions, upsert_fill(catalog, usable, created_at=created_at))
