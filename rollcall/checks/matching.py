@@ -20,7 +20,7 @@ BASE_URL = "http://example.com/models"
 def cross_verify_exact(spark, sf):
     """Every order mentions its customer in another spelling."""
     customers = table(spark, sf, "customer")
-    mentions = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    mentions = table(spark, sf, "orders", spread=True).join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey",
         F.replace(F.upper("c_name"), F.lit("#"), F.lit(" _#-")).alias("model_name"),
         F.when(F.col("o_orderstatus") == "F", "7B").otherwise("").alias("size"),

@@ -11,7 +11,7 @@ def _held(spark, sf):
     """Every order as a record of its customer; its priority names the source."""
     price = F.col("o_totalprice")
     return M.with_priority(
-        table(spark, sf, "orders").select(
+        table(spark, sf, "orders", spread=True).select(
             F.when(price >= 5000, F.col("o_custkey").cast("string")).otherwise("").alias("model_id"),
             F.col("o_orderkey").alias("pos"),
             F.col("o_orderpriority"),
@@ -33,10 +33,9 @@ held as (
   from orders)"""
 
 _PLACE = "prio * 1000000000000 + pos"
-_SOURCES = ["url", "igh", "med", "not", "low"]
 
 
-def _flat(merged):
+def _flat():
     """Counts per source as text: ``1-URGENT:3,2-HIGH:1``."""
     entry = lambda e: F.concat(e["source"], F.lit(":"), e["n"].cast("string"))
     return F.array_join(F.transform("sources", entry), ",")
@@ -61,7 +60,7 @@ _SOURCE_TEXT = "array_to_string(list_filter([" + ", ".join(
 def priority_merge(spark, sf):
     merged = M.merge_records(_held(spark, sf), TAGS, "model_id", ["status", "price", "day"])
     return merged.select(
-        "model_id", "status", "price", "day", _flat(merged).alias("sources"),
+        "model_id", "status", "price", "day", _flat().alias("sources"),
         F.col("first_seen._prio").alias("first_source"), F.col("first_seen.pos").alias("first_pos"),
     )
 

@@ -17,12 +17,12 @@ MIN_LEN = 5  # containment needs more than four characters on both sides
 def _pieces(df: DataFrame, key: str, units: Column, n: int) -> DataFrame:
     """One row per key and run of n units, as ``(key, piece)`` hashes; runs may repeat.
 
-    The units are a column of their own, so the text is split once per row and
-    not once per run; the work is linear in the length of the text.
+    The hashed units are a column of their own, so the text is split once per
+    row and not once per run; the work is linear in the length of the text.
     """
-    cut = df.select(key, units.alias("_u"))
-    starts = F.when(F.size("_u") >= n, F.sequence(F.lit(1), F.size("_u") - (n - 1)))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("_u", i, n)))
+    cut = df.select(key, F.transform(units, lambda u: F.xxhash64(u)).alias("_u"))
+    starts = F.when(F.size("_u") >= n, F.sequence(F.lit(0), F.size("_u") - n))
+    runs = F.transform(starts, lambda i: F.xxhash64(*[F.get("_u", i + k) for k in range(n)]))
     return explode_rows(cut.select(key, runs.alias("_r")), "_r", "piece")
 
 
