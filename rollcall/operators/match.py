@@ -88,7 +88,7 @@ def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN)
     # both sides are read several times below
     keys = materialize(left.select("key").distinct().filter(F.length("key") >= min_len), "keys")
     if keys.isEmpty():
-        return keys.join(index.select("index_key", "index_pos"), F.lit(False))
+        return index.select(F.col("index_key").alias("key"), "index_key", "index_pos").filter(F.lit(False))
     index = materialize(index.select("index_key", "index_pos").filter(F.length("index_key") >= min_len), "index")
     inside = contained_names(
         keys.select(F.col("key").alias("long")), index.select(F.col("index_key").alias("short")), min_len
