@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, order_minhash
+from rollcall.llm import chat, mixing, order_minhash, packing, simhash, token_files
 from rollcall.llm.common import table
+from rollcall.llm.tokens import default_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,6 +78,11 @@ def mix_sources(spark, sf):
     )
 
 
+@query("op3_simhash_groups")
+def simhash_groups(spark, sf):
+    return simhash.near_groups(table(spark, sf, "documents"))
+
+
 @query("op4_order_minhash")
 def order_minhash_edits(spark, sf):
     return order_minhash.compare_edits(table(spark, sf, "documents"))
@@ -110,3 +116,16 @@ def chat_examples(spark, sf):
     )
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.examples(turns.unionByName(control)))
+
+
+@query("op9_token_files")
+def token_files_read_back(spark, sf):
+    files = token_files.write_token_files(
+        table(spark, sf, "documents"), token_files.token_folder(spark), default_path()
+    )
+    return token_files.read_token_files(files)
+
+
+@query("op10_packing")
+def packed_sequences(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), default_path())
