@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, order_minhash, packing, simhash, token_files
-from rollcall.llm.common import table
+from rollcall.llm import chat, mixing, order_minhash, packing, simhash, token_files, toxicity
+from rollcall.llm.common import held_out, table
 from rollcall.llm.tokens import default_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,16 @@ def mix_sources(spark, sf):
     )
 
 
+@query("op2_toxic_passages")
+def toxic_passages(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")))
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"),
+    )
+
+
 @query("op3_simhash_groups")
 def simhash_groups(spark, sf):
     return simhash.near_groups(table(spark, sf, "documents"))
