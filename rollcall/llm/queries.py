@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, order_minhash, packing, simhash, token_files, toxicity
+from rollcall.llm import chat, mixing, order_minhash, packing, pii, simhash, token_files, toxicity
 from rollcall.llm.common import held_out, table
 from rollcall.llm.tokens import default_path
 
@@ -128,6 +128,20 @@ def chat_examples(spark, sf):
     return chat.digests(chat.examples(turns.unionByName(control)))
 
 
+@query("op8_personal_data")
+def personal_data(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    count = lambda kind: F.size(
+        F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+    ).cast("bigint")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.joined(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op9_token_files")
 def token_files_read_back(spark, sf):
     files = token_files.write_token_files(
