@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, order_minhash, packing, pii, simhash, token_files, toxicity
+from rollcall.llm import chat, mixing, order_minhash, packing, pii, quality, simhash, token_files, toxicity
 from rollcall.llm.common import held_out, table
 from rollcall.llm.tokens import default_path
 
@@ -128,6 +128,15 @@ def chat_examples(spark, sf):
     return chat.digests(chat.examples(turns.unionByName(control)))
 
 
+@query("op7_quality")
+def quality_scores(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, sf, "labels"))).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query("op8_personal_data")
 def personal_data(spark, sf):
     docs = table(spark, sf, "documents")
