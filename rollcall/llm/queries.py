@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, order_minhash, packing, pii, quality, simhash, token_files, toxicity
+from rollcall.llm import chat, mixing, neighbours, order_minhash, packing, pii, quality, simhash, token_files, toxicity
 from rollcall.llm.common import held_out, table
 from rollcall.llm.tokens import default_path
 
@@ -128,6 +128,12 @@ def chat_examples(spark, sf):
     return chat.digests(chat.examples(turns.unionByName(control)))
 
 
+@query("op6_nearest_vectors")
+def nearest_vectors(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 @query("op7_quality")
 def quality_scores(spark, sf):
     docs = table(spark, sf, "documents")
