@@ -306,12 +306,20 @@ def drop_near_copies(docs: DataFrame, size: int = 5, words: int = 4, radius: int
     """
     groups = materialize(near_groups(docs, size, words, radius), "simhash-members")
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    repeated = groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1")
-    kept = docs.join(broadcast_if_small(gone, "simhash-gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = broadcast_if_small(repeated.select("_again"), "simhash-again")
-    if again.isEmpty():
-        return kept
-    single = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    return single.unionByName(
-        kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
+    repeated = (
+        groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count()
+        .filter(F.col("count") > 1).select("_again")
     )
+    names = docs.columns
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("bigint").alias("_id")
+    )
+    kept = rows.join(broadcast_if_small(gone, "simhash-gone"), F.col("_id") == F.col("_gone"), "left_anti")
+    again = broadcast_if_small(repeated, "simhash-again")
+    if not again.isEmpty():
+        one = kept.join(again, F.col("_id") == F.col("_again"), "left_semi").groupBy("_id").agg(
+            F.min_by("_row", F.xxhash64(F.coalesce("_row.text", F.lit("")))).alias("_row")
+        )
+        single = kept.join(again, F.col("_id") == F.col("_again"), "left_anti")
+        kept = single.select("_row").unionByName(one.select("_row"))
+    return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
