@@ -10,10 +10,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 import __spark_entry__ as entry  # noqa: E402
+from rollcall import checks  # noqa: E402
 from tools.verify import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = checks.QUERIES, checks.ORACLE
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
@@ -45,3 +46,5 @@ def test_flagship(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
