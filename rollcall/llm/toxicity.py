@@ -41,6 +41,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 VOCABULARY = 50_000
 PRIOR = 0.01  # size of the Dirichlet prior, as a part of all counts
 Z = 1.96
+LEAST = 1.0  # log-odds below this, however sure, are no evidence: a repeated word would add them up
 PENALTY = 0.1
 EVALUE = 0.01
 STEMS = (5, 4)
@@ -94,7 +95,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def word_scores(counts: DataFrame) -> DataFrame:
     """The significant words: word, score, z, and the counts.
 
-    ``score`` is the log-odds moved towards zero by ``Z`` standard errors.
+    ``score`` is the log-odds moved towards zero by ``Z`` standard errors; words with
+    less than ``LEAST`` left are no evidence.
     """
     total = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     t, c = float(total["t"] or 0), float(total["c"] or 0)
@@ -108,7 +110,7 @@ def word_scores(counts: DataFrame) -> DataFrame:
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     made = counts.select("word", "toxic", "clean", odds.alias("odds"), error.alias("error"))
     score = F.signum("odds") * (F.abs("odds") - Z * F.col("error"))
-    return made.filter(F.abs("odds") > Z * F.col("error")).select(
+    return made.filter(F.abs("odds") - Z * F.col("error") > LEAST).select(
         "word", "toxic", "clean", score.alias("score"), (F.abs("odds") / F.col("error")).alias("z")
     )
 
