@@ -89,6 +89,25 @@ def price(values: np.ndarray, limits: np.ndarray, capacity: int) -> np.ndarray:
     return counts
 
 
+def inverted(columns: list[np.ndarray]) -> np.ndarray:
+    """Inverse of a small matrix by Gauss-Jordan steps with row exchange.
+
+    Plain array operations: the threads of a linear algebra library don't always
+    survive the forks of a Spark driver.
+    """
+    a = np.stack(columns, axis=1).astype(float)
+    n = len(a)
+    a = np.concatenate([a, np.eye(n)], axis=1)
+    for i in range(n):
+        best = i + int(np.argmax(np.abs(a[i:, i])))
+        a[[i, best]] = a[[best, i]]
+        a[i] /= a[i, i]
+        factor = a[:, i].copy()
+        factor[i] = 0
+        a -= factor[:, None] * a[i]
+    return a[:, n:]
+
+
 def solve(demand: np.ndarray, capacity: int, rounds: int = 2000) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often the linear program uses them to cover the demand.
 
@@ -105,25 +124,24 @@ def solve(demand: np.ndarray, capacity: int, rounds: int = 2000) -> list[tuple[n
     limits = np.zeros_like(demand)
     limits[classes] = capacity
     for step in range(rounds):
-        use = inverse @ need
+        use = (inverse * need).sum(axis=1)
         duals = inverse.sum(axis=0)  # every sequence costs 1
         values = np.zeros(len(demand))
         values[classes] = np.maximum(duals, 0)
         column = price(values, limits, capacity)[classes]
-        if column @ duals <= 1 + 1e-9:
+        if (column * duals).sum() <= 1 + 1e-9:
             break
-        moved = inverse @ column
+        moved = (inverse * column).sum(axis=1)
         rise = moved > 1e-9
         ratio = np.where(rise, np.maximum(use, 0) / np.where(rise, moved, 1), np.inf)
         out = int(np.argmin(ratio))
         patterns[out] = column
         inverse[out] /= moved[out]
-        for i in range(m):
-            if i != out and moved[i]:
-                inverse[i] -= moved[i] * inverse[out]
+        moved[out] = 0
+        inverse -= moved[:, None] * inverse[out]
         if step % 100 == 99:  # keep rounding errors from piling up
-            inverse = np.linalg.inv(np.stack(patterns, axis=1).astype(float))
-    use = np.maximum(inverse @ need, 0)
+            inverse = inverted(patterns)
+    use = np.maximum((inverse * need).sum(axis=1), 0)
     whole = []
     for p, x in zip(patterns, use, strict=True):
         full = np.zeros(len(demand), dtype=np.int64)
@@ -135,13 +153,13 @@ def solve(demand: np.ndarray, capacity: int, rounds: int = 2000) -> list[tuple[n
 def plan(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
     """Patterns and whole numbers of sequences that take every piece of the histogram once."""
     left, made = demand.astype(np.int64).copy(), []
-    for pattern, x in sorted(solve(left, capacity), key=lambda p: -float(p[0] @ np.arange(1, len(left) + 1))):
+    sizes = np.arange(1, len(left) + 1)
+    for pattern, x in sorted(solve(left, capacity), key=lambda p: -int((p[0] * sizes).sum())):
         used = pattern > 0
         times = min(int(x + 1e-9), int((left[used] // pattern[used]).min())) if used.any() else 0
         if times:
             made.append((pattern, times))
             left -= times * pattern
-    sizes = np.arange(1, len(left) + 1, dtype=float)
     while left.any():
         # larger pieces count a little more, so that small ones are kept to fill gaps
         pattern = price(sizes + 1e-6 * sizes**2, left, capacity)
