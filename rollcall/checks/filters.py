@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 from rollcall.checks.base import CATALOG_SQL, catalog, check, table
 from rollcall.functions import dates as D
-from rollcall.functions.text import is_blank
 from rollcall.operators import dedupe
 from rollcall.operators import rank as K
+from rollcall.operators import stats as A
 from rollcall.operators.snapshots import is_new_row
 from rollcall.session import materialize
 
@@ -43,11 +43,12 @@ def window_drop_null(spark, sf):
 
 @check(
     "recent_months",
-    f"with {_DATED} select o_orderkey, day from dated where day <> 'soon' and day >= '2000-11-30'",
+    f"""with {_DATED} select o_orderkey, day from dated
+    where day <> 'soon' and cast(day as date) >= date '2001-02-28' - interval 3 month""",
 )
 def recent_months(spark, sf):
-    """Three months back from the last of February, across the year."""
-    return _dated(spark, sf).filter(D.recent("day", "2001-02-28", 3) & (F.col("day") >= "2000-11-30")).select("o_orderkey", "day")
+    """Three months back from the last of February, across the year: from 28 November on."""
+    return _dated(spark, sf).filter(D.recent("day", "2001-02-28", 3)).select("o_orderkey", "day")
 
 
 @check(
@@ -71,13 +72,7 @@ def new_flag(spark, sf):
     union all select 'no_website', row_id from catalog where website = ''""",
 )
 def gap_lists(spark, sf):
-    gaps = F.array(
-        F.when(F.col("company").isNull(), "no_company"),
-        F.when((F.col("openness") == "开源") & F.col("size").isNull(), "open_without_size"),
-        F.when(F.col("size").isNotNull(), "has_size"),
-        F.when(is_blank("website"), "no_website"),
-    )
-    return catalog(spark, sf).select(F.explode(gaps).alias("gap"), "row_id").filter("gap is not null")
+    return A.gap_lists(catalog(spark, sf), "row_id")
 
 
 @check(
@@ -86,7 +81,7 @@ def gap_lists(spark, sf):
 )
 def active_split(spark, sf):
     played = F.when(F.col("event_type") != "error", F.col("user_id"))
-    return table(spark, sf, "events").select("event_id", (F.coalesce(played, F.lit(0)) > 0).alias("active"))
+    return table(spark, sf, "events").select("event_id", A.is_active(played).alias("active"))
 
 
 @check(
@@ -136,14 +131,15 @@ def sort_dates(spark, sf):
     """The sorted rows, each with its place in the output."""
     clean = F.when(F.col("day") != "soon", F.col("day"))
     ordered = K.by_date_desc(_dated(spark, sf).select("o_orderkey", "day", clean.alias("sort_day")), "sort_day", "o_orderkey")
-    # the place is read off the written files: rows in earlier files plus the row's own index
+    # the place is read off the written files: rows in earlier parts plus the row's own index
     written = materialize(ordered, "sorted")
-    rows = written.select("o_orderkey", "day", "_metadata.file_name", "_metadata.row_index")
-    before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("file_name").agg(F.count("*").alias("n")).select(
-        "file_name", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part")
+    rows = written.select("o_orderkey", "day", number, "_metadata.row_index")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
     )
-    return rows.join(sizes, "file_name").select(
+    return rows.join(sizes, "part").select(
         "o_orderkey", "day", (F.col("before") + F.col("row_index") + 1).alias("place")
     )
 
@@ -155,7 +151,7 @@ def sort_dates(spark, sf):
 )
 def topk_filtered(spark, sf):
     """The best twenty open records with a score."""
-    part = table(spark, sf, "part").filter((F.col("p_size") > 10) & (F.coalesce("p_retailprice", F.lit(0.0)) != 0))
+    part = table(spark, sf, "part").filter(A.open_with_score(F.col("p_size") > 10, "p_retailprice"))
     return K.top_n(part.select("p_partkey", "p_retailprice"), [F.col("p_retailprice").desc(), F.col("p_partkey")], 20)
 
 
@@ -164,14 +160,14 @@ def topk_filtered(spark, sf):
     """
     with a as (select event_type, event_id, coalesce(case when user_id > 3 then value end, 0) as rating from events where user_id > 0),
     r as (select *, row_number() over (partition by event_type order by rating desc, event_id) as rank,
-      count(*) over (partition by event_type) - 30 as more from a)
+      greatest(count(*) over (partition by event_type) - 30, 0) as more from a)
     select event_type, event_id, rank, more from r where rank <= 30
     """,
 )
 def topk_per_group(spark, sf):
     rating = F.coalesce(F.when(F.col("user_id") > 3, F.col("value")), F.lit(0.0))
-    active = table(spark, sf, "events").filter("user_id > 0").select("event_type", "event_id", rating.alias("rating"))
-    more = active.groupBy("event_type").agg((F.count("*") - 30).alias("more"))
+    active = table(spark, sf, "events").filter(A.is_active("user_id")).select("event_type", "event_id", rating.alias("rating"))
+    more = active.groupBy("event_type").agg(K.overflow(F.count("*"), 30).alias("more"))
     best = K.top_per_group(active, ["event_type"], [F.col("rating").desc(), F.col("event_id")], 30)
     return best.join(more, "event_type").select("event_type", "event_id", "rank", "more")
 

@@ -236,29 +236,35 @@ def batches(spark, sf):
     "article_persist",
     r"""
     with rows as (
-      select conv_id, turn, role, text, row_number() over (order by conv_id, turn) as seq,
-        case when role = 'system' then '' when turn = 2 then '[爬取失败] ' || text else text end as body
-      from conversations)
-    select lpad(cast(conv_id * 100 + turn as varchar), cast(greatest(2, length(cast(conv_id * 100 + turn as varchar))) as integer), '0')
-        || '_' || role || turn as article_key, body
-    from rows where body <> '' and not starts_with(body, '[爬取失败]') and role <> 'user'
+      select conv_id * 100 + turn as seq, role, turn, copy, (conv_id * 100 + turn) * 10 + copy as pos,
+        case when role = 'system' then '' when turn = 2 then '[爬取失败] ' || text else text || copy end as body,
+        case when copy < 3 then ' ' || role || '?*' || turn || chr(10) || 'rest' when copy = 3 then role || '*' || turn
+          else repeat('x', 90) || role || copy end as title
+      from conversations, generate_series(1, 5) as g(copy)),
+    firsts as (
+      select *, row_number() over (partition by seq, title order by pos) as n from rows
+      where body <> '' and not starts_with(body, '[爬取失败]'))
+    select pos, lpad(cast(seq as varchar), cast(greatest(2, length(cast(seq as varchar))) as integer), '0')
+        || '_' || case when copy < 4 then role || turn else repeat('x', 80) end as article_key, body
+    from firsts where n = 1 and not (role = 'user' and copy < 3)
     """,
 )
 def article_persist(spark, sf):
-    talk = table(spark, sf, "conversations", spread=True)
+    """Five articles of each number: two alike, one that differs in removed signs, two beyond the 80th sign."""
+    copy = F.col("copy")
+    talk = table(spark, sf, "conversations", spread=True).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(5))))
     body = F.when(F.col("role") == "system", "").when(
         F.col("turn") == 2, F.concat(F.lit("[爬取失败] "), "text")
-    ).otherwise(F.col("text"))
-    rows = talk.select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("seq"),
-        F.concat(F.lit(" "), F.col("role"), F.lit("?*"), F.col("turn"), F.lit("\nrest")).alias("title"),
-        body.alias("body"), "role",
+    ).otherwise(F.concat("text", copy))
+    title = (
+        F.when(copy < 3, F.concat(F.lit(" "), "role", F.lit("?*"), "turn", F.lit("\nrest")))
+        .when(copy == 3, F.concat("role", F.lit("*"), "turn"))
+        .otherwise(F.concat(F.lit("x" * 90), "role", copy))
     )
-    stored = rows.filter("role = 'user'").select(
-        F.concat_ws("_", F.lpad(F.col("seq").cast("string"), F.greatest(F.lit(2), F.length(F.col("seq").cast("string"))), F.lit("0")),
-                    F.concat("role", F.col("seq") % 100)).alias("article_key")
-    )
-    return W.new_articles(rows, stored).select("article_key", "body")
+    seq = F.col("conv_id") * 100 + F.col("turn")
+    rows = talk.select(seq.alias("seq"), (seq * 10 + copy).alias("pos"), title.alias("title"), body.alias("body"), "role", "copy")
+    stored = rows.filter("role = 'user' and copy = 1").select("seq", "title")
+    return W.new_articles(rows, stored, "pos").select("pos", "article_key", "body")
 
 
 @check(

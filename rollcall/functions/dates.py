@@ -61,6 +61,9 @@ def in_window(
 
 
 def recent(day: Column | str, as_of: str, months: int = 3) -> Column:
-    """True for valid dates in the last ``months`` months before ``as_of``."""
+    """True for valid dates in the last ``months`` months before ``as_of``.
+
+    The first day is the same day of the earlier month, or that month's last.
+    """
     parsed = F.try_to_date(as_col(day), "yyyy-MM-dd")
     return F.coalesce(parsed >= F.add_months(F.lit(as_of).cast("date"), -months), F.lit(False))

@@ -130,8 +130,11 @@ def license_name(raw: Column | str) -> Column:
     return F.when(~F.coalesce(raw, F.lit("")).isin("", "proprietary"), shown)
 
 
-def record_note(is_moe, params, context, modality_list, gpqa, swe, price_in, price_out, lic) -> Column:
-    """Up to eight labels joined by a full-width semicolon; absent ones add nothing."""
+def record_note(is_moe, params, context, modality_list, gpqa, swe, price_in, price_out, lic, modalities: int | None = 3) -> Column:
+    """Up to eight labels joined by a full-width semicolon; absent ones add nothing.
+
+    The first ``modalities`` of the list are named; None names all.
+    """
     size = F.nullif(size_label(params), F.lit(""))
     moe = F.when(as_col(is_moe), F.concat_ws("；", F.lit("MoE架构"), F.concat(size, F.lit("参数"))))
     window = as_col(context)
@@ -139,7 +142,8 @@ def record_note(is_moe, params, context, modality_list, gpqa, swe, price_in, pri
         window >= 100_000, F.concat(F.floor(window / 1000).cast("string"), F.lit("k上下文"))
     )
     parts = F.filter(as_col(modality_list), lambda m: F.coalesce(m, F.lit("")) != "")
-    modal = F.when(F.size(parts) > 0, F.concat(F.lit("统一"), F.array_join(F.slice(parts, 1, 3), "+")))
+    shown = parts if modalities is None else F.slice(parts, 1, modalities)
+    modal = F.when(F.size(parts) > 0, F.concat(F.lit("统一"), F.array_join(shown, "+")))
     return F.concat_ws(
         "；",
         moe,

@@ -39,9 +39,13 @@ def _balanced(text: Column) -> Column:
     return F.when(end > 0, F.left(text, end)).otherwise(text)
 
 
-def recover_objects(text: Column) -> Column:
+# an object without objects in it, whatever its texts hold
+FLAT_OBJECT = r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+")*+\}'
+
+
+def recover_objects(text: Column, pattern: str = S.PAYLOAD_OBJECT) -> Column:
     """Flat objects of a broken array that parse on their own; null when none does."""
-    pieces = F.regexp_extract_all(text, F.lit(S.PAYLOAD_OBJECT), 0)
+    pieces = F.regexp_extract_all(text, F.lit(pattern), 0)
     parsed = F.filter(
         F.transform(pieces, lambda p: F.from_json(p, _MAP)), lambda m: m.isNotNull() & (F.size(m) > 0)
     )
@@ -84,12 +88,26 @@ def reply_content(response: Column | str) -> Column:
     )
 
 
+def array_objects(array: Column) -> Column:
+    """The objects among the elements of a JSON array, as open records; null for no array.
+
+    Elements are taken by their type, so a text that looks like an object is none.
+    """
+    items = F.from_json(array, "array<string>")
+    kinds = F.transform(
+        F.try_parse_json(array).try_cast("array<variant>"),
+        lambda v: F.schema_of_variant(v),
+    )
+    objects = F.filter(
+        items, lambda s, i: s.startswith("{") & F.coalesce(F.get(kinds, i).startswith("OBJECT"), F.lit(True))
+    )
+    return F.transform(objects, lambda s: F.from_json(s, _MAP))
+
+
 def reply_objects(content: Column | str) -> Column:
     """Objects of the array a reply holds between its first ``[`` and last ``]``."""
     array = F.nullif(F.regexp_extract(as_col(content), r"(?s)\[.*\]", 0), F.lit(""))
-    items = F.from_json(array, "array<string>")
-    objects = F.filter(items, lambda s: s.startswith("{"))
-    return F.transform(objects, lambda s: F.from_json(s, _MAP))
+    return array_objects(array)
 
 
 def entity_name(record: Column, keys: list[str] = S.REPLY_NAME_KEYS) -> Column:

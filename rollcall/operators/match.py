@@ -30,6 +30,28 @@ def _grams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return _pieces(df, key, F.filter(F.split(text, ""), lambda c: c != ""), n)
 
 
+SIZES = (5, 8, 12, 18, 27, 40, 60, 90, 135, 200)
+
+
+def _size_of(text: str, min_len: int) -> Column:
+    """Length of the run an entry is looked up by: at least two thirds of a name."""
+    size = F.lit(min_len)
+    for n in SIZES:
+        size = F.when(F.length(text) >= max(n, min_len), max(n, min_len)).otherwise(size)
+    return size
+
+
+def _name_runs(df: DataFrame, key: str, text: str, sizes: Column) -> DataFrame:
+    """All character runs of a short text, in each of the sizes, as ``(key, piece)`` hashes."""
+    runs = F.flatten(F.transform(
+        F.filter(sizes, lambda n: F.length(text) >= n),
+        lambda n: F.transform(
+            F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.xxhash64(F.substr(F.col(text), i, n))
+        ),
+    ))
+    return explode_rows(df.select(F.col(key), runs.alias("_r")), "_r", "piece")
+
+
 def _word_runs(df: DataFrame, key: str, text: str, n: int, inner: bool = False) -> DataFrame:
     """Runs of n words; ``inner`` leaves out the first and the last word."""
     words = F.split(text, r"\s+")
@@ -69,11 +91,16 @@ def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN)
     Inputs are one-column frames ``long`` and ``short`` of short texts. A short
     name is found through its rarest character run: whatever contains the name
     contains that run, so the equi-join loses nothing, and ``contains`` decides.
+    The run grows with the name and is most of it, so names built alike don't
+    meet, however many there are.
     """
     longs = longs.filter(F.length("long") >= min_len).distinct()
     shorts = shorts.filter(F.length("short") >= min_len).distinct()
-    anchors = _rarest(_grams(shorts, "short", "short", min_len), "short")
-    pairs = _hold(_grams(longs, "long", "long", min_len), anchors, "long", "short")
+    shorts = materialize(shorts.withColumn("_n", _size_of("short", min_len)), "short-names")
+    sizes = sorted(r["_n"] for r in shorts.select("_n").distinct().collect())  # at most one for each of SIZES
+    anchors = _rarest(_name_runs(shorts, "short", "short", F.array("_n")), "short")
+    wanted = F.array(*[F.lit(n) for n in sizes]).cast("array<int>")
+    pairs = _hold(_name_runs(longs, "long", "long", wanted), anchors, "long", "short")
     return pairs.filter(F.col("long").contains(F.col("short")))
 
 

@@ -20,9 +20,9 @@ def stack_sources(sources: Sources) -> DataFrame:
 
 
 def with_priority(df: DataFrame, source: str, tags: list[str]) -> DataFrame:
-    """Priority by position of the source tag; rows of other sources are dropped."""
-    order = F.array_position(F.array(*[F.lit(t) for t in tags]), F.col(source))
-    return df.withColumn("_prio", (order - 1).cast("int")).filter("_prio >= 0")
+    """Priority by position of the source tag; all other sources come last, missing ones too."""
+    order = F.nullif(F.array_position(F.array(*[F.lit(t) for t in tags]), F.col(source)), F.lit(0))
+    return df.withColumn("_prio", F.coalesce(order - 1, F.lit(len(tags))).cast("int"))
 
 
 def concat_rows(*dfs: DataFrame) -> DataFrame:
@@ -30,8 +30,9 @@ def concat_rows(*dfs: DataFrame) -> DataFrame:
 
 
 def _source_list(tags: list[str]) -> Column:
-    """How often each source held the entity, in priority order; one entry per source."""
-    entries = [F.struct(F.lit(t).alias("source"), F.col(f"_n{i}").alias("n")) for i, t in enumerate(tags)]
+    """How often each source held the entity, in priority order; sources without a tag count as one."""
+    named = enumerate([*tags, S.OTHER_SOURCE])
+    entries = [F.struct(F.lit(t).alias("source"), F.col(f"_n{i}").alias("n")) for i, t in named]
     return F.filter(F.array(*entries), lambda e: e["n"] > 0)
 
 
@@ -68,7 +69,7 @@ def merge_records(
         aggs.append(F.min_by(f, F.when(ok, place)).alias(f"_m_{f}"))
     if base == "last":
         aggs.append(F.max_by(F.struct(*fields), F.when(is_base, F.col(pos))).alias("_base"))
-    for i, _ in enumerate(tags):
+    for i in range(len(tags) + 1):
         # an overwritten base row leaves no trace in the source list
         once = base == "last" and i == 0
         n = F.max(is_base.cast("bigint")) if once else F.count_if(F.col("_prio") == i)
@@ -110,13 +111,13 @@ def merge_open_records(
     per_field = cells.groupBy(key, "field").agg(
         F.min_by("value", F.when(has_value, place)).alias("value"),
         # every record holds its key, so the key field counts the records
-        *[F.count_if(is_key & (F.col("_prio") == i)).alias(f"_n{i}") for i, _ in enumerate(tags)],
+        *[F.count_if(is_key & (F.col("_prio") == i)).alias(f"_n{i}") for i in range(len(tags) + 1)],
         F.min(F.when(is_key, place)).alias("_first"),
     )
     # one entry per distinct field name of the entity
     merged = per_field.groupBy(key).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias(record),
-        *[F.max(f"_n{i}").alias(f"_n{i}") for i, _ in enumerate(tags)],
+        *[F.max(f"_n{i}").alias(f"_n{i}") for i in range(len(tags) + 1)],
         F.min("_first").alias("first_seen"),
     )
     return merged.select(key, record, _source_list(tags).alias("sources"), "first_seen")

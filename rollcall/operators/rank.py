@@ -36,6 +36,11 @@ def top_per_group(
     )
 
 
+def overflow(count: Column, k: int) -> Column:
+    """How many rows of a group are not among its first ``k``."""
+    return F.greatest(count - k, F.lit(0))
+
+
 def top_counts(df: DataFrame, value: str, n: int, first: str, count: str = "n") -> DataFrame:
     """Most frequent values; equal counts in order of first appearance."""
     counted = (

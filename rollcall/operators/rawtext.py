@@ -42,17 +42,42 @@ def _at(lines: Column, i: Column) -> Column:
     return F.coalesce(F.get(lines, i), F.lit(""))
 
 
+_STRETCH = 256
+
+
+def _scan(values: Column, start: Column, step, kind: str) -> Column:
+    """The state after each element of a fold over integers, as an array.
+
+    A fold copies the array it has built at every step. It runs over stretches of
+    fixed length, and their results are joined once, so the work stays in
+    proportion to the array.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    state = lambda out, last: F.struct(out.alias("out"), last.alias("last"))
+
+    def one(s: Column, v: Column) -> Column:
+        new = step(s["last"], v)
+        return state(F.array_append(s["out"], new), new)
+
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _STRETCH).cast("int")),
+        lambda k: F.slice(values, k * _STRETCH + 1, F.lit(_STRETCH)),
+    )
+
+    def many(s: Column, part: Column) -> Column:
+        done = F.aggregate(part, state(none, s["last"]), one)
+        return F.transform(
+            F.array(done), lambda d: state(F.array_append(s["out"], d["out"]), d["last"])
+        )[0]
+
+    whole = F.aggregate(stretches, state(F.array().cast(f"array<array<{kind}>>"), start), many)
+    return F.when(F.size(values) > 0, F.flatten(whole["out"])).otherwise(none)
+
+
 def _spaced(indexes: Column, gap: int) -> Column:
     """Greedy choice from left to right: the next index is at least ``gap`` further on."""
-    empty = F.array().cast("array<int>")
-    return F.aggregate(
-        indexes,
-        empty,
-        lambda kept, i: F.when(
-            (F.size(kept) == 0) | (i >= F.coalesce(F.get(kept, F.size(kept) - 1), F.lit(0)) + gap),
-            F.array_append(kept, i),
-        ).otherwise(kept),
-    )
+    kept = _scan(indexes, F.lit(-gap), lambda last, i: F.when(i >= last + gap, i).otherwise(last), "int")
+    return F.array_distinct(kept)
 
 
 def _rank_starts(lines: Column) -> Column:
@@ -86,7 +111,7 @@ def parse_rank_blocks(files: DataFrame, layout: str, file: str = "file", text: s
 def parse_logo_blocks(files: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
     """Blocks opened by a ``… logo`` line with typed tokens in free order.
 
-    A block ends at the next logo line, after its company line, or after ten lines.
+    A block ends at the next logo line or after its company line, however long it is.
     """
     cut = files.select(file, _lines(text).alias("_l")).withColumn(
         "_s", _indexes(F.col("_l"), lambda line: line.endswith("logo"))
@@ -97,11 +122,11 @@ def parse_logo_blocks(files: DataFrame, file: str = "file", text: str = "text")
         F.arrays_zip(F.col("_s").alias("a"), ends.alias("b")),
         lambda s: F.struct(
             s["a"].alias("line"),
-            F.slice(lines, s["a"] + 1, F.least(s["b"] - s["a"], F.lit(10))).alias("block"),
+            F.slice(lines, s["a"] + 1, s["b"] - s["a"]).alias("block"),
         ),
     )
     blocks = inline_rows(cut.select(file, F.when(F.size("_s") > 0, spans).alias("_b")), "_b", "line")
-    tail = F.slice("block", F.lit(4), F.lit(7))
+    tail = F.slice("block", F.lit(4), F.size("block"))
     is_month = lambda line: line.rlike(_RELEASED)
     b = (
         blocks.withColumn("model", _at(F.col("block"), F.lit(1)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall import schema as S
-from rollcall.functions.text import strip
+from rollcall.functions.text import as_col, is_blank, strip
 
 
 def dim_counts(df: DataFrame, dims: list[str], new: Column | None = None, first: str | None = None) -> DataFrame:
@@ -31,12 +31,43 @@ def dim_counts(df: DataFrame, dims: list[str], new: Column | None = None, first:
     )
 
 
-def org_stats(df: DataFrame, org: str, is_open: Column, is_recent: Column) -> DataFrame:
+def org_stats(
+    df: DataFrame, org: str, is_open: Column, is_recent: Column, first: str | None = None
+) -> DataFrame:
+    """Records per organisation, all, open and recent; ``first`` adds the earliest position."""
     return df.groupBy(F.coalesce(F.col(org), F.lit("Unknown")).alias(org)).agg(
         F.count("*").alias("total"),
         F.count_if(is_open).alias("open"),
         F.count_if(is_recent).alias("recent"),
+        *([F.min(first).alias("first")] if first else []),
+    )
+
+
+def open_with_score(is_open: Column, score: Column | str) -> Column:
+    """True for open records that have a score other than zero."""
+    return is_open & (F.coalesce(as_col(score), F.lit(0.0)) != 0)
+
+
+def is_active(played: Column | str) -> Column:
+    """True where anything was played; a missing number is none."""
+    return F.coalesce(as_col(played), F.lit(0)) > 0
+
+
+def gap_lists(
+    df: DataFrame, row_id: str, company: str = "company", openness: str = "openness",
+    size: str = "size", website: str = "website",
+) -> DataFrame:
+    """A row for every gap of a catalog row, and for every row that has a size.
+
+    Gaps are a missing company, an open entity without a size, and no website.
+    """
+    gaps = F.array(
+        F.when(F.col(company).isNull(), "no_company"),
+        F.when((F.col(openness) == S.OPEN) & F.col(size).isNull(), "open_without_size"),
+        F.when(F.col(size).isNotNull(), "has_size"),
+        F.when(is_blank(website), "no_website"),
     )
+    return df.select(F.explode(gaps).alias("gap"), row_id).filter("gap is not null")
 
 
 def org_categories(df: DataFrame, org: str, category: str, first: str | None = None) -> DataFrame:
@@ -113,7 +144,7 @@ def source_counts(df: DataFrame, source: str) -> DataFrame:
 
 def arena_activity(df: DataFrame) -> DataFrame:
     """Entries per subcategory; an entry without matches is inactive."""
-    played = F.coalesce(F.col("matches_played"), F.lit(0)) > 0
+    played = is_active("matches_played")
     return df.groupBy("category", "subcategory").agg(
         F.count("*").alias("total"),
         F.count_if(played).alias("active"),

@@ -55,7 +55,7 @@ def leaderboard_tables(records: DataFrame, as_of: str, months: int = 3, top: int
             "output_price": labels.price_or_dash("output_price"),
         },
     )
-    scored = df.filter(F.col("is_open") & (F.coalesce(F.col("gpqa_score"), F.lit(0.0)) != 0))
+    scored = df.filter(A.open_with_score(F.col("is_open"), "gpqa_score"))
     best = K.top_n(scored, [F.col("gpqa_score").desc(), F.col("pos")], top)
     open_top = tidy(
         best, "open_top", F.col("name"),
@@ -65,11 +65,8 @@ def leaderboard_tables(records: DataFrame, as_of: str, months: int = 3, top: int
         },
         F.col("rank"),
     )
-    counted = df.groupBy(F.coalesce("organization", F.lit("Unknown")).alias("organization")).agg(
-        F.count("*").alias("total"), F.count_if("is_open").alias("open"),
-        F.count_if("_recent").alias("recent"), F.min("pos").alias("_first"),
-    )
-    by_org = K.top_n(counted, [F.col("total").desc(), F.col("_first")], orgs)
+    counted = A.org_stats(df, "organization", F.col("is_open"), F.col("_recent"), first="pos")
+    by_org = K.top_n(counted, [F.col("total").desc(), F.col("first")], orgs)
     org_rows = tidy(
         by_org, "organizations", F.col("organization"),
         {c: F.col(c) for c in ("total", "open", "recent")}, F.col("rank"),
@@ -84,12 +81,12 @@ def leaderboard_tables(records: DataFrame, as_of: str, months: int = 3, top: int
 def arena_tables(entries: DataFrame, top: int = 30, orgs: int = 20, pos: str = "pos") -> DataFrame:
     """Activity per subcategory, the best active entries of each, organisations across categories."""
     activity = A.arena_activity(entries)
-    over = F.greatest(F.col("active") - top, F.lit(0))
+    over = K.overflow(F.col("active"), top)
     overview = tidy(
         activity, "overview", F.concat_ws("/", "category", "subcategory"),
         {c: F.col(c) for c in ("total", "active", "inactive")} | {"more": over},
     )
-    active = entries.filter(F.coalesce(F.col("matches_played"), F.lit(0)) > 0)
+    active = entries.filter(A.is_active("matches_played"))
     rating = F.coalesce("conservative_rating", F.lit(0.0))
     best = K.top_per_group(active, ["category", "subcategory"], [rating.desc(), F.col(pos)], top)
     ranked = tidy(

@@ -68,6 +68,8 @@ REGISTRY = (
     .add("login_required", "boolean")
 )
 
+OTHER_SOURCE = "other"  # where a record's source has no tag
+
 # ---- fixed values: they are data, and results depend on them as written ----
 
 SENTINEL = "$undefined"

@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))

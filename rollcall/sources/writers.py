@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from rollcall import schema as S
 from rollcall.functions.dates import dotted
 from rollcall.functions.text import safe_key, summary
-from rollcall.operators.dedupe import first_wins
 from rollcall.operators.rank import number_rows
-from rollcall.session import materialize
+from rollcall.session import broadcast_if_small, materialize
 
 
 def append_catalog(existing: DataFrame, new: DataFrame, columns: list[str] = S.CATALOG_COLUMNS) -> DataFrame:
@@ -65,11 +64,23 @@ def usable_articles(articles: DataFrame, body: str = "body") -> DataFrame:
     return articles.filter((text != "") & ~failed)
 
 
-def new_articles(articles: DataFrame, existing: DataFrame, key: str = "article_key") -> DataFrame:
-    """Usable articles whose sanitised key is not stored yet, each once."""
-    name = F.concat_ws("_", F.lpad(F.col("seq").cast("string"), F.greatest(F.lit(2), F.length(F.col("seq").cast("string"))), F.lit("0")), safe_key("title"))
-    keyed = first_wins(usable_articles(articles).withColumn(key, name), [key], ["seq"])
-    return keyed.join(existing.select(key).distinct(), key, "left_anti")
+def new_articles(articles: DataFrame, existing: DataFrame, order: str, key: str = "article_key") -> DataFrame:
+    """Usable articles that are not stored yet, each once, the first one read.
+
+    An article is its whole number and title; ``existing`` has both as ``seq`` and
+    ``title``. ``order`` is the unique ingest position. ``key`` is added as a short
+    name to show, which several articles may share. Only numbers, titles and
+    positions are grouped and joined; the bodies stay where they are unless the
+    positions kept are too many to broadcast.
+    """
+    usable = usable_articles(articles)
+    firsts = usable.groupBy("seq", "title").agg(F.min(order).alias("_first"))
+    stored = existing.select(F.col("seq").alias("_seq"), F.col("title").alias("_title")).distinct()
+    same = F.col("seq").eqNullSafe(F.col("_seq")) & F.col("title").eqNullSafe(F.col("_title"))
+    fresh = broadcast_if_small(firsts.join(stored, same, "left_anti").select("_first"), "new-articles")
+    number = F.col("seq").cast("string")
+    name = F.concat_ws("_", F.lpad(number, F.greatest(F.lit(2), F.length(number)), F.lit("0")), safe_key("title"))
+    return usable.join(fresh, F.col(order) == F.col("_first"), "left_semi").withColumn(key, name)
 
 
 def sync_article_index(index: DataFrame, articles: DataFrame, order: str) -> DataFrame:

@@ -94,11 +94,32 @@ def test_append_and_index(spark):
 
 
 def test_new_articles(spark):
-    schema = "seq int, title string, body string"
-    data = [(1, "A/b?\nrest", "text"), (2, "B", "[爬取失败] x"), (3, "C", None), (12, "D", "text"), (123, "E", "t"), (4, "F", "t")]
-    stored = spark.createDataFrame([("04_F",), ("04_F",)], "article_key string")
-    got = W.new_articles(spark.createDataFrame(data, schema), stored)
-    assert sorted(r["article_key"] for r in got.collect()) == ["01_Ab", "123_E", "12_D"]
+    schema = "pos int, seq int, title string, body string"
+    data = [(1, 1, "A/b?\nrest", "text"), (2, 2, "B", "[爬取失败] x"), (3, 3, "C", None), (4, 12, "D", "text"), (5, 123, "E", "t"),
+            (6, 4, "F", "t"), (7, 5, None, "none")]
+    data += [(10 + i, 7, t, f"body {i}") for i, t in enumerate(["GPT: 4", "GPT 4", "GPT: 4", "GPT 4\nsecond", "x" * 80 + "a", "x" * 80 + "b"])]
+    stored = spark.createDataFrame([(4, "F"), (4, "F"), (9, None)], "seq int, title string")
+    for parts in (1, 5):
+        got = W.new_articles(spark.createDataFrame(data, schema).repartition(parts), stored, "pos").collect()
+        assert sorted(r["article_key"] for r in got if r["pos"] < 7) == ["01_Ab", "123_E", "12_D"]
+        assert sorted(r["pos"] for r in got) == [1, 4, 5, 7, 10, 11, 13, 14, 15]
+
+
+def test_new_articles_keep_bodies_in_place(spark):
+    rows = spark.createDataFrame([(1, 1, "a", "body")], "pos int, seq int, title string, body string")
+    plan = W.new_articles(rows, rows.limit(0), "pos")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_damaged_record_files(spark):
+    files = spark.createDataFrame(
+        [("whole", '[{"a":"1"},{"b":"x"}]'), ("cut", '[{"a":"1"},{"b":"2"},{"c":'), ("mixed", '[{"a":"1"}, 5, "{}", {"b":null}]'), ("none", "oops")],
+        "file string, text string",
+    )
+    got = sorted((r["file"], r["pos"], r["record"]) for r in R.parse_records(files).collect())
+    assert got == [("cut", 0, {"a": "1"}), ("cut", 1, {"b": "2"}), ("mixed", 0, {"a": "1"}), ("mixed", 1, {"b": None}),
+                   ("whole", 0, {"a": "1"}), ("whole", 1, {"b": "x"})]
+    assert sorted(map(tuple, R.damaged_files(files).collect())) == [("cut", 2), ("mixed", 2), ("none", 0)]
 
 
 def test_shared_folder(spark, shared):
