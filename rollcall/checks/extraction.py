@@ -283,3 +283,46 @@ def classify_docs(spark, sf):
 def mine_lines(spark, sf):
     found = R.mine_names(table(spark, sf, "documents", spread=True), "doc_id")
     return found.select("doc_id", F.array_join("names", "\n").alias("names"), "total")
+
+
+_RAW_NAMES = """list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+        lambda x: length(x) > 2 and length(x) < 50 and not regexp_matches(x, '^\\d+$')
+          and not regexp_matches(x, 'logo|!\\[|http') and not regexp_matches(x, 'Rank|Model|Organization')
+          and length(x) - length(replace(x, '%', '')) <= 2 and length(x) - length(replace(x, '$', '')) <= 2
+          and length(x) - length(replace(x, chr(9), '')) <= 3 and not starts_with(x, '-'))"""
+
+
+@check(
+    "rawtext_run",
+    f"""
+    with n as (select doc_id, {_RAW_NAMES} as names from documents)
+    select 'part' || p_partkey as file, 'code_chat' as kind, cast(2 as bigint) as line, p_name as model, p_brand as company,
+      cast(null as varchar) as date, p_type as code_arena, 'Open Source' as license, cast(null as varchar) as mined from part
+    union all
+    select 'order' || o_orderkey, 'timeline', 2, 'model ' || o_orderkey, o_orderpriority, 'Jan 1, 1990', null, 'Proprietary', null from orders
+    union all
+    select 'customer' || c_custkey, 'logo', 1, c_name, c_mktsegment, null, '', 'Open', null from customer
+    union all
+    select 'doc' || doc_id, 'mined', null, null, null, null, null, null, array_to_string(names[1:30], chr(10)) from n where len(names) > 0
+    """,
+)
+def rawtext_run(spark, sf):
+    """Files of three classes, the logo block of fifteen lines, and plain documents."""
+    part = table(spark, sf, "part").select(
+        F.concat(F.lit("part"), "p_partkey").alias("file"),
+        F.concat_ws("\n", F.lit("Code Arena"), F.lit("Chat Arena"), F.lit("1"), "p_brand", "p_name", "p_brand",
+                    F.concat("p_type", F.lit("\t9")), F.lit("Open Source")).alias("text"),
+    )
+    orders = table(spark, sf, "orders").select(
+        F.concat(F.lit("order"), "o_orderkey").alias("file"),
+        F.concat_ws("\n", F.lit("Version Timeline"), F.lit("Jan 1, 1990"), "o_orderpriority", F.concat(F.lit("model "), "o_orderkey"),
+                    F.lit("Release"), F.lit("Proprietary"), "o_orderpriority", F.lit("•"), F.lit("2w ago")).alias("text"),
+    )
+    customers = table(spark, sf, "customer").select(
+        F.concat(F.lit("customer"), "c_custkey").alias("file"),
+        F.concat_ws("\n", F.lit("Organization"), F.lit("x logo"), "c_name", F.lit("Open"), *[F.lit(f"{i}%") for i in range(1, 12)],
+                    F.lit("Apr. 2025"), "c_mktsegment").alias("text"),
+    )
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("doc"), "doc_id").alias("file"), "text")
+    files = part.unionByName(orders).unionByName(customers).unionByName(docs)
+    return R.parse_raw(files).select("file", "kind", "line", "model", "company", "date", "code_arena", "license", "mined")

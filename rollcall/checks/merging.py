@@ -65,6 +65,26 @@ def priority_merge(spark, sf):
     )
 
 
+@check(
+    "merge_unlisted_source",
+    """
+    with held as (select *, case o_orderpriority when '1-URGENT' then 0 when '2-HIGH' then 1 else 2 end as prio from orders)
+    select cast(o_custkey as varchar) as model_id, arg_min(o_orderstatus, prio * 1000000000000 + o_orderkey) as status,
+      count(*) filter (prio = 2) as others from held group by 1
+    """,
+)
+def merge_unlisted_source(spark, sf):
+    """Sources without a tag, and rows without a source, come last and are counted together."""
+    rows = table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("model_id"), F.col("o_orderkey").alias("pos"), F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("source"),
+    )
+    tags = ["1-URGENT", "2-HIGH"]
+    merged = M.merge_records(M.with_priority(rows, "source", tags), tags, "model_id", ["status"])
+    others = F.get(F.filter("sources", lambda s: s["source"] == "other"), F.lit(0))["n"]
+    return merged.select("model_id", "status", F.coalesce(others, F.lit(0)).alias("others"))
+
+
 @check(
     "priority_merge_base",
     f"""

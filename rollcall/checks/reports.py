@@ -147,24 +147,38 @@ def arena_tables(spark, sf):
 
 
 def records(spark, sf):
-    """All parts as leaderboard records."""
-    size, price = F.col("p_size"), F.col("p_retailprice")
-    return table(spark, sf, "part").select(
-        F.col("p_partkey").alias("pos"),
-        F.concat_ws(" ", "p_name", "p_partkey").alias("name"),
-        F.col("p_brand").alias("organization"),
-        F.when(size > 5, size.cast("bigint") * 1_000_000_000).alias("params"),
-        F.when(size > 10, F.concat(F.lit("2024-0"), F.floor(size / 8 + 1).cast("string"), F.lit("-15"))).alias("announcement_date"),
-        F.when(size <= 5, "2024-06-30").when(size <= 8, "bad").alias("release_date"),
-        F.when(F.col("p_type") != "SMALL", (size * 4) / 256).alias("gpqa_score"),
-        F.when(size > 20, size / 64).alias("swe_bench_verified_score"),
-        (price.cast("bigint") % 100 / 1.0).alias("hle_score"),
-        F.lit(None).cast("double").alias("aime_2025_score"),
-        F.when(size > 30, price.cast("bigint") * 100).alias("context"),
-        (size / 4).alias("input_price"), F.lit(None).cast("double").alias("output_price"),
-        F.when(F.col("p_type") == "PROMO", "mit").alias("license"),
-        (F.col("p_type") != "LARGE").alias("is_open"),
+    """All parts as open leaderboard records of two sources, as they are read from pages.
+
+    The first source holds every third part twice; only the later record counts.
+    The second one has the open flag of all types but one.
+    """
+    size, price, key = F.col("p_size"), F.col("p_retailprice"), F.col("p_partkey").cast("string")
+    fields = {
+        "name": F.concat_ws(" ", "p_name", "p_partkey"),
+        "organization": F.col("p_brand"),
+        "params": F.when(size > 5, size.cast("bigint") * 1_000_000_000),
+        "announcement_date": F.when(size > 10, F.concat(F.lit("2024-0"), F.floor(size / 8 + 1).cast("string"), F.lit("-15"))),
+        "release_date": F.when(size <= 5, "2024-06-30").when(size <= 8, "bad"),
+        "gpqa_score": F.when(F.col("p_type") != "SMALL", (size * 4) / 256),
+        "swe_bench_verified_score": F.when(size > 20, size / 64),
+        "hle_score": price.cast("bigint") % 100 / 1.0,
+        "context": F.when(size > 30, price.cast("bigint") * 100),
+        "input_price": size / 4,
+        "license": F.when(F.col("p_type") == "PROMO", "mit"),
+        "is_moe": F.when(size > 40, "true").when(size > 35, "false"),
+    }
+    pairs = lambda kv: F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v.cast("string"))])
+    part = table(spark, sf, "part")
+    row = lambda df, prio, step, kv: df.select(
+        F.lit(prio).alias("_prio"), (F.col("p_partkey") * 10 + step).alias("pos"), pairs({"model_id": key} | kv).alias("record")
+    )
+    full = row(part, 0, 1, fields)
+    early = row(part.filter("p_size % 3 = 0"), 0, 0, {"name": F.lit("old"), "aime_2025_score": F.lit("0.5"), "license": F.lit("mit")})
+    flags = row(
+        part.filter("p_type <> 'PROMO'"), 1, 2,
+        {"is_open_source": F.when(F.col("p_type") != "LARGE", "true").otherwise("false"), "name": F.lit("other name")},
     )
+    return P.leaderboard_records(full.unionByName(early).unionByName(flags), ["llm", "ai"])
 
 
 @check(
@@ -178,16 +192,18 @@ def records(spark, sf):
         cast(floor(p_retailprice) as bigint) % 100 / 1.0 as hle, case when p_size > 30 then cast(floor(p_retailprice) as bigint) * 100 end as context,
         case when p_type = 'PROMO' then 'mit' end as license, p_type <> 'LARGE' as open
       from part),
+    q as (select count(*) as n, count(*) + count(*) filter (p_size % 3 = 0) as held, count(*) filter (p_type <> 'PROMO') as flags, count(*) filter (p_size > 35) as moe,
+      count(*) filter (p_type <> 'LARGE') as opened from part),
     x as (select *, day <> 'bad' and day >= '2024-03-30' as recent,
       coalesce(printf('%.1f%%', round_even(gpqa * 100, 1)), '—') as g, coalesce(printf('%.1f%%', round_even(swe * 100, 1)), '—') as w,
       case when hle <= 1 then printf('%.1f%%', hle * 100) else printf('%.1f%%', hle) end as h from r),
     o as (select org, count(*) as total, count(*) filter (open) as open, count(*) filter (recent) as recent, min(pos) as f from x group by org)
-    select 'recent' as section, cast(null as bigint) as rank, name as key,
+    select 'recent' as section, row_number() over (order by day desc, pos) as rank, name as key,
       'aime_2025_score=—; context=' || coalesce(format('{:,}', context), '—') || '; date=' || day || '; gpqa_score=' || g || '; hle_score=' || h
-      || '; input_price=$' || (s / 4) || '; organization=' || org || '; output_price=—; params=' || params || '; swe_bench_verified_score=' || w as metrics
+      || '; input_price=$' || (s / 4) || '; open=' || open || '; organization=' || org || '; output_price=—; params=' || params || '; swe_bench_verified_score=' || w as metrics
     from x where recent
     union all
-    select * from (select 'open_top', row_number() over (order by gpqa desc, pos) as rn, name, 'aime_2025_score=—; gpqa_score=' || g || '; hle_score=' || h || '; license=' || coalesce(license, '—')
+    select * from (select 'open_top', row_number() over (order by gpqa desc, pos) as rn, name, 'aime_2025_score=—; gpqa_score=' || g || '; hle_score=' || h || '; license=' || coalesce(license, '—') || '; moe=' || (s > 40)
       || '; organization=' || org || '; params=' || params || '; swe_bench_verified_score=' || w from x where open and coalesce(gpqa, 0) <> 0) where rn <= 20
     union all
     select * from (select 'organizations', row_number() over (order by total desc, f) as rn, org, 'open=' || open || '; recent=' || recent || '; total=' || total from o) where rn <= 25
@@ -195,7 +211,10 @@ def records(spark, sf):
     select 'coverage', null, f, 'filled=' || n || '; pct=' || cast(round_even(n / t * 100, 0) as bigint) from (
       select count(*) as t, [{'f': 'gpqa_score', 'n': count(gpqa)}, {'f': 'swe_bench_verified_score', 'n': count(swe)}, {'f': 'hle_score', 'n': count(hle)},
         {'f': 'aime_2025_score', 'n': 0}, {'f': 'params', 'n': count(*) filter (s > 5)}, {'f': 'context', 'n': count(context)}, {'f': 'input_price', 'n': count(s)},
-        {'f': 'license', 'n': count(license)}] as l from x), unnest(l) u(z), (select 1) q, lateral (select z.f as f, z.n as n) zz
+        {'f': 'license', 'n': count(license)}, {'f': 'is_moe', 'n': count(*) filter (s > 35)}, {'f': 'multimodal', 'n': 0}] as l from x), unnest(l) u(z), lateral (select z.f as f, z.n as n) zz
+    union all select 'open_total', null, 'all', 'n=' || opened || '; total=' || n from q
+    union all select 'sources', null, 'llm', 'records=' || held from q
+    union all select 'sources', null, 'ai', 'records=' || flags from q
     """,
 )
 def leaderboard_tables(spark, sf):

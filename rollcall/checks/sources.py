@@ -232,6 +232,29 @@ def batches(spark, sf):
     return in_batches(table(spark, sf, "documents", spread=True).select("doc_id"), "doc_id", 20)
 
 
+@check(
+    "damaged_records",
+    """
+    select cast(c_custkey as varchar) as file, cast(pos as bigint) as pos, c_name || pos as name, c_custkey % 4 in (1, 2) as damaged
+    from customer, generate_series(0, 2) as g(pos) where c_custkey % 4 <> 3 and (c_custkey % 4 <> 1 or pos < 2)
+    """,
+)
+def damaged_records(spark, sf):
+    """Whole arrays, arrays cut off in the third object, with a number and a text inside, and no arrays."""
+    name = lambda i: F.concat(F.lit('{"name":"'), "c_name", F.lit(f'{i}","x":"a]b"}}'))
+    kind = F.col("c_custkey") % 4
+    text = (
+        F.when(kind == 0, F.concat(F.lit("["), name(0), F.lit(","), name(1), F.lit(","), name(2), F.lit("]")))
+        .when(kind == 1, F.concat(F.lit("["), name(0), F.lit(","), name(1), F.lit(',{"name":"cut')))
+        .when(kind == 2, F.concat(F.lit("["), name(0), F.lit(',5,"{}",'), name(1), F.lit(","), name(2), F.lit("]")))
+        .otherwise("nothing here")
+    )
+    files = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("file"), text.alias("text"))
+    rows = R.parse_records(files).select("file", F.col("pos").cast("bigint").alias("pos"), F.col("record")["name"].alias("name"))
+    broken = R.damaged_files(files).select("file", F.lit(True).alias("hit"))
+    return rows.join(broken, "file", "left").select("file", "pos", "name", F.coalesce("hit", F.lit(False)).alias("damaged"))
+
+
 @check(
     "article_persist",
     r"""

@@ -94,30 +94,44 @@ def merge_sources(sources: Sources, key: str, fields: list[str], **options) -> D
 
 def merge_open_records(
     stacked: DataFrame, tags: list[str], key: str = "model_id", record: str = "record",
-    pos: str = "pos", sentinel: str = S.SENTINEL,
+    pos: str = "pos", base: str = "first", sentinel: str = S.SENTINEL,
 ) -> DataFrame:
     """Same merge for records with an open set of fields, held as map<string,string>.
 
     A field that is present with null in every source stays present with null.
+    With ``base='last'`` the last record of the first source is taken as it is.
     """
     stacked = stacked.withColumn(key, F.col(record)[key])
     stacked = stacked.filter(F.coalesce(F.col(key), F.lit("")) != "")
     cells = stacked.select(key, "_prio", pos, F.explode(record).alias("field", "value"))
     # a null value keeps its key, the sentinel does not
-    cells = cells.filter(~F.col("value").eqNullSafe(F.lit(sentinel)))
     place = F.struct("_prio", pos)
-    has_value = F.col("value").isNotNull()
+    in_base = (F.col("_prio") == 0) & F.lit(base == "last")
+    cells = cells.filter(in_base | ~F.col("value").eqNullSafe(F.lit(sentinel)))
+    has_value = F.col("value").isNotNull() & ~in_base
     is_key = F.col("field") == key
     per_field = cells.groupBy(key, "field").agg(
         F.min_by("value", F.when(has_value, place)).alias("value"),
+        F.max_by("value", F.when(in_base, F.col(pos))).alias("_last"),
+        F.max(F.when(in_base, F.col(pos))).alias("_at"),
+        F.count_if(~in_base).alias("_others"),
         # every record holds its key, so the key field counts the records
         *[F.count_if(is_key & (F.col("_prio") == i)).alias(f"_n{i}") for i in range(len(tags) + 1)],
         F.min(F.when(is_key, place)).alias("_first"),
     )
     # one entry per distinct field name of the entity
     merged = per_field.groupBy(key).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias(record),
+        F.array_sort(F.collect_list(F.struct("field", "value", "_last", "_at", "_others"))).alias("_cells"),
+        F.max(F.when(is_key, F.col("_at"))).alias("_base"),
         *[F.max(f"_n{i}").alias(f"_n{i}") for i in range(len(tags) + 1)],
         F.min("_first").alias("first_seen"),
     )
-    return merged.select(key, record, _source_list(tags).alias("sources"), "first_seen")
+    # a field of the base counts only if its last record has it
+    held = lambda c: c["_at"].eqNullSafe(F.col("_base")) & F.col("_base").isNotNull()
+    kept = F.filter("_cells", lambda c: held(c) | (c["_others"] > 0))
+    entries = F.transform(
+        kept, lambda c: F.struct(c["field"], F.coalesce(F.when(held(c), c["_last"]), c["value"]).alias("value"))
+    )
+    return merged.select(
+        key, F.map_from_entries(entries).alias(record), _source_list(tags).alias("sources"), "first_seen"
+    )

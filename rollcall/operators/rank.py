@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import as_col
-from rollcall.session import broadcast_if_small
+from rollcall.session import broadcast_if_small, materialize
 
 
 def by_date_desc(df: DataFrame, day: Column | str, pos: str) -> DataFrame:
@@ -51,39 +50,40 @@ def top_counts(df: DataFrame, value: str, n: int, first: str, count: str = "n")
     return top_n(counted, [F.col(count).desc(), F.col("_first")], n).drop("_first")
 
 
-def number_rows(
-    df: DataFrame, order: str, start: int | Column = 0, out: str = "seq", slices: int | None = None
-) -> DataFrame:
-    """Consecutive numbers ``start+1, start+2, ..`` in the order of a unique numeric column.
+def rank_rows(df: DataFrame, order: list[Column], out: str, label: str = "ranked") -> DataFrame:
+    """Position of every row from 0 in a total order, without one global window.
 
-    No global window: rows fall into value ranges with about equal counts, are
-    numbered inside their range, and get the number of rows in earlier ranges
-    added. Only the range bounds pass through the driver and only one count per
-    range is broadcast, so both are bounded by ``slices``.
+    Rows are range-partitioned and written with the number of their partition;
+    one count per partition gives the offsets, so a partition is ranked by itself.
     """
-    spark = df.sparkSession
-    slices = slices or min(10_000, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    probs = [i / slices for i in range(1, slices)]
-    bounds = sorted(set(df.approxQuantile(order, probs, 1.0 / (4 * slices))))
-    inf = float("inf")
-    ranged = Bucketizer(
-        splits=[-inf, *[b for b in bounds if -inf < b < inf], inf] if bounds else [-inf, 0.0, inf],
-        inputCol=order, outputCol="_range",
-    ).transform(df)
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label)
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-        .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        ranged.groupBy(F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
+        .select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy("_range").orderBy(order)
-    base = start if isinstance(start, Column) else F.lit(start)
+    within = Window.partitionBy("_part").orderBy(*order)
     return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(out, (F.row_number().over(within) + F.col("_before") + base).cast("bigint"))
-        .drop("_range", "_before")
+        ranged.withColumn("_inner", F.row_number().over(within))
+        .join(F.broadcast(offsets), F.col("_part") == F.col("_p"))  # a row per partition
+        .withColumn(out, F.col("_before") + F.col("_inner") - 1)
+        .drop("_part", "_p", "_before", "_inner")
     )
 
 
+def number_rows(df: DataFrame, order: str, start: int | Column = 0, out: str = "seq") -> DataFrame:
+    """Consecutive numbers ``start+1, start+2, ..`` in the order of a unique numeric column.
+
+    The rows are written once; only their order column is ranked, and the numbers
+    are joined back.
+    """
+    rows = materialize(df, "unnumbered")
+    ranks = rank_rows(rows.select(F.col(order).alias("_order")), [F.col("_order")], "_rank", "order")
+    base = start if isinstance(start, Column) else F.lit(start)
+    numbered = rows.join(broadcast_if_small(ranks, "ranks"), F.col(order) == F.col("_order"))
+    return numbered.withColumn(out, (F.col("_rank") + 1 + base).cast("bigint")).drop("_order", "_rank")
+
+
 def batches(df: DataFrame, order: str, size: int = 20, out: str = "batch") -> DataFrame:
     """Batch id of every row: its position divided by the batch size."""
     numbered = number_rows(df, order, out="_seq")

@@ -7,6 +7,8 @@ files runs in parallel.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from rollcall import schema as S
 from rollcall.functions.labels import flag_country
 from rollcall.functions.text import any_contains, strip
 from rollcall.operators.rows import inline_rows
+from rollcall.session import materialize
 
 _MONTHS = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
 _DATE_LINE = rf"^{_MONTHS}\s+\d{{1,2}},\s+\d{{4}}$"
@@ -281,6 +284,42 @@ def classify_raw(files: DataFrame, text: str = "text") -> DataFrame:
     return files.withColumn("kind", F.when(strip(body) != "", kind))
 
 
+RAW_FIELDS = [
+    "rank", "model", "company", "date", "release_type", "license", "country", "context", "input_price", "output_price",
+    "price", "score", "speed", "code_arena", "chat_arena", "image_gen", "image_edit", "gpqa", "aime", "swe_bench",
+    "mmmlu", "params", "released",
+]
+LAYOUT_OF = {"code_chat": "seven", "image": "three", "video": "two", "tts": "two", "stt": "two"}
+
+
+def parse_raw(files: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
+    """Every file read by the parser of its class; the rest is mined for names.
+
+    One tidy table: file, kind, line, the fields of all classes as text (null where
+    a class lacks one), and ``mined`` names. A file without a class, or whose class
+    finds no block, gives one row of kind ``mined`` with no line.
+    """
+    classed = materialize(classify_raw(files.select(file, text), text), "raw-files")
+    of = lambda *kinds: classed.filter(F.col("kind").isin(*kinds))
+    kinds = lambda layout: [k for k, v in LAYOUT_OF.items() if v == layout]
+    parsed = [(parse_rank_blocks(of(*kinds(layout)), layout, file, text)) for layout in RANK_LAYOUTS]
+    parsed += [parse_logo_blocks(of("logo"), file, text), parse_timeline(of("timeline"), file, text)]
+
+    def tidy(df: DataFrame) -> DataFrame:
+        field = lambda f: F.col(f).cast("string") if f in df.columns else F.lit(None).cast("string")
+        return df.select(file, F.col("line").cast("bigint").alias("line"), *[field(f).alias(f) for f in RAW_FIELDS])
+
+    blocks = materialize(reduce(DataFrame.unionByName, map(tidy, parsed)), "raw-blocks")
+    kinds_of = classed.select(file, "kind")
+    found = blocks.join(kinds_of, file)
+    rest = classed.join(blocks.select(file).distinct(), file, "left_anti")
+    mined = mine_names(rest, file, text).select(
+        file, F.lit("mined").alias("kind"), F.lit(None).cast("bigint").alias("line"),
+        *[F.lit(None).cast("string").alias(f) for f in RAW_FIELDS], F.array_join("names", "\n").alias("mined"),
+    )
+    return found.withColumn("mined", F.lit(None).cast("string")).unionByName(mined)
+
+
 def mine_names(files: DataFrame, file: str = "file", text: str = "text", keep: int = 30) -> DataFrame:
     """Lines that may be entity names: the first few, and how many there are."""
     count = lambda line, ch: F.length(line) - F.length(F.replace(line, F.lit(ch), F.lit("")))

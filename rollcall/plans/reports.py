@@ -13,6 +13,7 @@ from rollcall.functions.dates import date_int, first_date, in_window, recent
 from rollcall.functions.text import clip, importance_level, importance_reason, strip, without_importance
 from rollcall.operators import rank as K
 from rollcall.operators import stats as A
+from rollcall.operators.merge import merge_open_records
 from rollcall.operators.snapshots import diff_counts, diff_snapshots, is_new_row
 from rollcall.session import broadcast_if_small, materialize
 
@@ -39,21 +40,46 @@ SCORES = ["gpqa_score", "swe_bench_verified_score", "hle_score", "aime_2025_scor
 COVERED = [*SCORES, "params", "context", "input_price", "license", "is_moe", "multimodal"]
 
 
+def leaderboard_records(stacked: DataFrame, tags: list[str]) -> DataFrame:
+    """Open records of several sources, merged and typed for :func:`leaderboard_tables`.
+
+    ``stacked`` has ``_prio``, ``pos`` and the map ``record``. The last record of
+    the first source is the base, the others supplement it.
+    """
+    merged = merge_open_records(stacked, tags, base="last")
+    r = F.col("record")
+    number = lambda f: r[f].try_cast("double").alias(f)
+    whole = lambda f: r[f].try_cast("double").try_cast("bigint").alias(f)
+    text = ["name", "organization", "announcement_date", "release_date", "license", "input_price", "output_price", "multimodal"]
+    return merged.select(
+        F.col("first_seen").alias("pos"), "sources",
+        *[r[f].alias(f) for f in text], *[number(f) for f in SCORES],
+        whole("params"), whole("context"), (r["is_moe"] == "true").alias("is_moe"),
+        labels.is_open_record(r).alias("is_open"),
+    )
+
+
 def leaderboard_tables(records: DataFrame, as_of: str, months: int = 3, top: int = 20, orgs: int = 25) -> DataFrame:
-    """Recent records, the best open ones by score, organisations, field coverage.
+    """Recent records, the best open ones by score, organisations, field coverage, sources.
 
-    ``records`` are typed, with ``is_open`` and a unique ``pos``.
+    ``records`` are typed, with ``is_open`` and a unique ``pos``. Fields that the
+    records lack altogether count as covered by none; ``sources``, where there are
+    any, give the records per source.
     """
+    lacking = [c for c in [*COVERED, "output_price"] if c not in records.columns]
+    records = records.withColumns({c: F.lit(None).cast("string") for c in lacking})
     day = first_date("announcement_date", "release_date")
     df = records.withColumns({"_day": day, "_recent": recent(day, as_of, months)})
+    newest = K.rank_rows(df.filter("_recent"), [F.col("_day").desc(), F.col("pos")], "_newest", "recent")
     new = tidy(
-        df.filter("_recent"), "recent", F.col("name"),
+        newest, "recent", F.col("name"),
         {
             "organization": F.col("organization"), "params": labels.size_or_dash("params"),
-            "date": F.col("_day"), **_scores(SCORES), "context": labels.thousands("context"),
+            "open": F.col("is_open"), "date": F.col("_day"), **_scores(SCORES), "context": labels.thousands("context"),
             "input_price": labels.price_or_dash("input_price"),
             "output_price": labels.price_or_dash("output_price"),
         },
+        F.col("_newest") + 1,
     )
     scored = df.filter(A.open_with_score(F.col("is_open"), "gpqa_score"))
     best = K.top_n(scored, [F.col("gpqa_score").desc(), F.col("pos")], top)
@@ -61,21 +87,30 @@ def leaderboard_tables(records: DataFrame, as_of: str, months: int = 3, top: int
         best, "open_top", F.col("name"),
         {
             "organization": F.col("organization"), "params": labels.size_or_dash("params"),
+            "moe": F.coalesce(F.col("is_moe").cast("boolean"), F.lit(False)),
             "license": F.coalesce("license", F.lit(S.DASH)), **_scores(SCORES),
         },
         F.col("rank"),
     )
+    open_total = tidy(
+        df.agg(F.count_if("is_open").alias("n"), F.count("*").alias("total")), "open_total", F.lit("all"),
+        {"n": F.col("n"), "total": F.col("total")},
+    )
     counted = A.org_stats(df, "organization", F.col("is_open"), F.col("_recent"), first="pos")
     by_org = K.top_n(counted, [F.col("total").desc(), F.col("first")], orgs)
     org_rows = tidy(
         by_org, "organizations", F.col("organization"),
         {c: F.col(c) for c in ("total", "open", "recent")}, F.col("rank"),
     )
-    covered = A.coverage(records, [c for c in COVERED if c in records.columns], "present")
+    covered = A.coverage(records, COVERED, "present")
     cover_rows = tidy(
         covered, "coverage", F.col("field"), {"filled": F.col("filled"), "pct": F.col("pct_round")}
     )
-    return stack(new, open_top, org_rows, cover_rows)
+    parts = [new, open_top, open_total, org_rows, cover_rows]
+    if "sources" in records.columns:
+        held = records.select(F.inline("sources")).groupBy("source").agg(F.sum("n").alias("n"))
+        parts.append(tidy(held, "sources", F.col("source"), {"records": F.col("n")}))
+    return stack(*parts)
 
 
 def arena_tables(entries: DataFrame, top: int = 30, orgs: int = 20, pos: str = "pos") -> DataFrame:
