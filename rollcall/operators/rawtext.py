@@ -62,19 +62,21 @@ def _scan(values: Column, start: Column, step, kind: str) -> Column:
         new = step(s["last"], v)
         return state(F.array_append(s["out"], new), new)
 
-    stretches = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _STRETCH).cast("int")),
-        lambda k: F.slice(values, k * _STRETCH + 1, F.lit(_STRETCH)),
-    )
-
     def many(s: Column, part: Column) -> Column:
         done = F.aggregate(part, state(none, s["last"]), one)
         return F.transform(
             F.array(done), lambda d: state(F.array_append(s["out"], d["out"]), d["last"])
         )[0]
 
-    whole = F.aggregate(stretches, state(F.array().cast(f"array<array<{kind}>>"), start), many)
-    return F.when(F.size(values) > 0, F.flatten(whole["out"])).otherwise(none)
+    def whole(v: Column) -> Column:
+        stretches = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _STRETCH).cast("int")),
+            lambda k: F.slice(v, k * _STRETCH + 1, F.lit(_STRETCH)),
+        )
+        first = state(F.array().cast(f"array<array<{kind}>>"), start)
+        return F.when(F.size(v) > 0, F.flatten(F.aggregate(stretches, first, many)["out"])).otherwise(none)
+
+    return F.transform(F.array(values), whole)[0]  # the values are worked out once
 
 
 def _spaced(indexes: Column, gap: int) -> Column:
@@ -205,7 +207,14 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
     """
     lines = F.col("_l")
     is_date = lambda line: line.rlike(_DATE_LINE)
-    cut = files.select(file, _lines(text).alias("_l")).withColumn("_d", _indexes(lines, is_date))
+    fill = lambda marks, start: _scan(marks, start, lambda last, i: F.coalesce(i, last), "int")
+    cut = (
+        files.select(file, _lines(text).alias("_l")).withColumn("_d", _indexes(lines, is_date))
+        # for every line the date line up to it, and the next one from it on
+        .withColumn("_m", F.transform(lines, lambda line, i: F.when(is_date(line), i)))
+        .withColumn("_before", fill(F.col("_m"), F.lit(-1)))
+        .withColumn("_after", F.reverse(fill(F.reverse("_m"), F.size("_m"))))
+    )
 
     opens = F.filter(
         F.transform(
@@ -230,14 +239,13 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
 
     def block(s: Column) -> Column:
         i, end = s["a"], s["b"]
-        dated = F.filter("_d", lambda d: d < i)
-        stop = F.coalesce(F.get(F.filter("_d", lambda d: d > i), F.lit(0)), F.size("_l"))
+        stop = F.get("_after", i)
         rest = F.slice(lines, i + 5, F.least(F.least(end, stop) - i - 4, F.lit(5)))
         scores = F.filter(rest, lambda line: line.contains("GPQA:"))
         lic = _at(lines, i + 3)
         return F.struct(
             i.alias("line"),
-            _at(lines, F.try_element_at(dated, F.lit(-1))).alias("date"),
+            _at(lines, F.get("_before", i)).alias("date"),
             _at(lines, i + 1).alias("model"),
             _at(lines, i).alias("company"),
             _at(lines, i + 2).alias("release_type"),
