@@ -12,12 +12,13 @@ import logging
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rollcall import checks  # noqa: E402
-from rollcall.session import local_session  # noqa: E402
+from rollcall.session import local_session, scratch_run  # noqa: E402
 
 HEADLINE = [
     "snapshot_diff", "priority_merge", "priority_merge_open", "first_wins", "body_md5_dedupe",
@@ -29,14 +30,16 @@ HEADLINE = [
 
 
 def run(spark, name: str, sf: str) -> float:
-    start = time.time()
-    checks.QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
-    return time.time() - start
+    with scratch_run(spark):
+        start = time.time()
+        checks.QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+        return time.time() - start
 
 
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session("bench", os.environ.get("BENCH_CPUS", "8"))
+    shared = tempfile.mkdtemp(prefix="rollcall-bench-")
+    spark = local_session("bench", os.environ.get("BENCH_CPUS", "8"), shared=shared)
     spark.sparkContext.setLogLevel("OFF")
     logging.disable(logging.CRITICAL)
     names = sys.argv[1:] or HEADLINE

@@ -88,9 +88,17 @@ def _hold(pieces: DataFrame, anchors: DataFrame, key: str, entry: str) -> DataFr
 def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
     """Distinct (long, short) name pairs where ``long`` contains ``short``.
 
-    Inputs are one-column frames ``long`` and ``short`` of short texts. A short
-    name is found through its rarest character run: whatever contains the name
-    contains that run, so the equi-join loses nothing, and ``contains`` decides.
+    Inputs are one-column frames ``long`` and ``short`` of short texts.
+    """
+    pairs = name_candidates(longs, shorts, min_len)
+    return pairs.filter(F.col("long").contains(F.col("short")))
+
+
+def name_candidates(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
+    """Distinct (long, short) pairs among which all contained names are.
+
+    A short name is found through its rarest character run: whatever contains the
+    name contains that run, so the equi-join loses nothing.
     The run grows with the name and is most of it, so names built alike don't
     meet, however many there are.
     """
@@ -100,8 +108,7 @@ def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN)
     sizes = sorted(r["_n"] for r in shorts.select("_n").distinct().collect())  # at most one for each of SIZES
     anchors = _rarest(_name_runs(shorts, "short", "short", F.array("_n")), "short")
     wanted = F.array(*[F.lit(n) for n in sizes]).cast("array<int>")
-    pairs = _hold(_name_runs(longs, "long", "long", wanted), anchors, "long", "short")
-    return pairs.filter(F.col("long").contains(F.col("short")))
+    return _hold(_name_runs(longs, "long", "long", wanted), anchors, "long", "short")
 
 
 def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN) -> DataFrame:

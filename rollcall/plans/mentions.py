@@ -41,7 +41,10 @@ def mention_run(
     date_fallback: bool = False,
 ) -> MentionRun:
     """``replies`` has ``file`` and the raw ``response`` of the model for that article."""
-    kept = articles_in_window(articles, since, until)
+    # the bodies are hashed once; from here on only names and dates are needed
+    kept = materialize(
+        articles_in_window(articles, since, until).select("file", "seq", "title", "date_int"), "kept"
+    )
     answered = kept.join(replies.select("file", "response"), "file")
     heads = ["file", "seq", F.col("title").alias("source_article"), F.col("date_int").alias("source_date")]
     found = ingest_replies(

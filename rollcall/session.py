@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +54,27 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_RUNS: list[str] = []  # folders of the runs that are open, the innermost last
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    return os.path.join(_RUNS[-1] if _RUNS else shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Tables written in this block go to a folder of their own, which goes when it ends.
+
+    Results that are still to be read have to be written elsewhere inside the block.
+    """
+    folder = scratch_path(spark, "run")
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,12 +1,14 @@
 """Policies of every operator on small hand-made frames."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall import schema as S
+from rollcall import session
 from rollcall.operators import dedupe, enrich, extract, match, merge, rank, review, snapshots, stats, upsert
 
 
@@ -432,3 +434,27 @@ def test_preview(spark, n, more):
     df = frame(spark, "g string, v string", ("x", "c"), ("x", "a"), ("x", "b"))
     got = rank.preview(df, ["g"], "v", n).first()
     assert got["total"] == 3 and got["preview"] == ", ".join("abc"[:n]) + more
+
+
+def test_name_candidates_stay_flat(spark):
+    """Names of one template: candidates for each name don't grow with the names."""
+    per_name = []
+    for n in (1_000, 20_000):
+        names = spark.range(n).select(F.format_string("customer#%09d", "id").alias("long"))
+        pairs = match.name_candidates(names, names.withColumnRenamed("long", "short"))
+        per_name.append(pairs.count() / n)
+    assert per_name[1] <= 1.2 * per_name[0] and per_name[1] < 3
+
+
+def test_short_names_and_passages(spark):
+    longs = [("abcd",), ("xabcdex",), ("abcde",), ("a",)]
+    shorts = [("abcd",), ("abcde",), ("bcdex",), ("zzzzz",)]
+    got = match.contained_names(spark.createDataFrame(longs, "long string"), spark.createDataFrame(shorts, "short string"))
+    assert rows(got, "long", "short") == [("abcde", "abcde"), ("xabcdex", "abcde"), ("xabcdex", "bcdex")]
+
+
+def test_scratch_run_leaves_nothing(spark, shared):
+    before = sorted(os.listdir(shared))
+    with session.scratch_run(spark) as folder:
+        assert session.materialize(spark.range(3), "x").count() == 3 and os.path.isdir(folder)
+    assert sorted(os.listdir(shared)) == before
