@@ -10,8 +10,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollcall.session import materialize
-
 # words as all contracts count them: anything between ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -98,31 +96,3 @@ def prefix_sums(
     return joined.withColumn(out, F.col("_before") + F.col("_inner")).drop(
         "_g", "_s", "_slice", "_value", "_before", "_inner"
     )
-
-
-def rank_rows(df: DataFrame, order: list[Column], out: str, label: str) -> DataFrame:
-    """Position of every row from 0 in a total order, without one global window.
-
-    Rows are range-partitioned and written with the number of their partition;
-    one count per partition gives the offsets.
-    """
-    ranged = materialize(
-        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label
-    )
-    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
-        .select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    within = Window.partitionBy("_part").orderBy(*order)
-    return (
-        ranged.withColumn("_inner", F.row_number().over(within))
-        .join(F.broadcast(offsets), F.col("_part") == F.col("_p"))  # a row per partition
-        .withColumn(out, F.col("_before") + F.col("_inner") - 1)
-        .drop("_part", "_p", "_before", "_inner")
-    )
-
-
-def with_columns_of(docs: DataFrame, df: DataFrame) -> DataFrame:
-    """The frame with exactly the columns of ``docs``."""
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns])

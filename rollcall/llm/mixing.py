@@ -18,9 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import (
-    SPACE, SPACE_CHARS, hash_key, key_slice, rank_rows, slice_count, with_columns_of, word_count,
-)
+from rollcall.llm.common import SPACE, SPACE_CHARS, hash_key, key_slice, slice_count, word_count
+from rollcall.operators.rank import rank_rows
 from rollcall.session import broadcast_if_small, materialize
 
 WEIGHTS = (1, 2, 3)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from rollcall.llm import (
     chat, components, neighbours, order_minhash, packing, queries, simhash, token_files, tokens,
 )
-from rollcall.llm.common import prefix_sums, rank_rows, hash_key
+from rollcall.llm.common import hash_key, prefix_sums
+from rollcall.operators.rank import rank_rows
 from rollcall.session import scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
