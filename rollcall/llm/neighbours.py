@@ -6,7 +6,9 @@ table has a few Gaussian projections, cut into cells of equal width, and the cel
 together name the bucket. A query visits its own bucket and then perturbed ones, in
 the order of the distance from the query to their cells, the least first, which is
 the estimated order of success. Candidates of all tables are merged and ranked by the
-inner product of the original vectors in double precision, summed left to right.
+inner product of the original vectors in double precision, summed left to right. The
+k-th best score among the sample bounds a query's k-th best from below, so worse
+candidates are not passed on.
 
 The number of projections follows the number of vectors, so that buckets keep about
 ``BUCKET_ROWS`` rows. Width and number of probes are fitted on at most ``SAMPLE``
@@ -114,8 +116,20 @@ class Hashes:
         order = np.argsort(self.costs(places), axis=1, kind="stable")[:, : self.probes]
         return self.key(np.floor(places)[:, None, :] + self.steps[order])
 
-    def fit(self, sample: np.ndarray, total: int, k: int) -> None:
+    def floors(self, ids: list[int], x: np.ndarray) -> np.ndarray:
+        """Of each query, a score that its k-th best candidate reaches at least."""
+        own_ids, sample, k = self.sample
+        score = np.einsum("ij,kj->ik", x, sample)
+        score[np.array(ids)[:, None] == own_ids] = -np.inf
+        if len(own_ids) < k:
+            return np.full(len(x), -np.inf)
+        least = np.partition(score, len(own_ids) - k, axis=1)[:, len(own_ids) - k]
+        return least - 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
+
+    def fit(self, ids: np.ndarray, sample: np.ndarray, total: int, k: int) -> None:
         """Cell width and number of probes, from a sample of the vectors."""
+        once = np.unique(ids, return_index=True)[1]  # rows that repeat an id are one candidate
+        self.sample = (ids[once], sample[once], k)
         rows = self.rows(sample)
         for t in range(TABLES):
             spread = np.einsum("ij,jk->ik", rows, self.directions[t]).std()
@@ -148,30 +162,36 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _keyed(vectors: DataFrame, hashes: Hashes | None, is_query: bool) -> DataFrame:
-    """Each vector under its buckets: table, bucket, vec_id, embedding. Without hashes, one bucket."""
-    schema = "t int, bucket bigint, vec_id bigint, embedding array<double>"
+    """Each vector under its buckets: table, bucket, vec_id, embedding, floor. Without hashes, one bucket."""
+    schema = "t int, bucket bigint, vec_id bigint, embedding array<double>, floor double"
     if hashes is None:
-        return vectors.select(F.lit(-1).alias("t"), F.lit(0).cast("bigint").alias("bucket"), "vec_id", "embedding")
+        return vectors.select(
+            F.lit(-1).alias("t"), F.lit(0).cast("bigint").alias("bucket"), "vec_id", "embedding",
+            F.lit(float("-inf")).alias("floor"),
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 x = _matrix(part.column(1))
+                floor = hashes.floors(part.column(0).to_pylist(), x) if is_query else np.zeros(len(x))
                 for t in range(TABLES):
                     keys = hashes.visits(x, t) if is_query else hashes.key(np.floor(hashes.places(hashes.rows(x), t)))[:, None]
                     owner = np.repeat(np.arange(len(x)), keys.shape[1])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(owner), t, np.int32)), pa.array(keys.ravel()),
-                         *[part.column(i).take(pa.array(owner)) for i in range(2)]],
-                        names=["t", "bucket", "vec_id", "embedding"],
+                         *[part.column(i).take(pa.array(owner)) for i in range(2)], pa.array(floor[owner])],
+                        names=["t", "bucket", "vec_id", "embedding", "floor"],
                     )
 
     return vectors.select("vec_id", "embedding").mapInArrow(run, schema)
 
 
-def best_pairs(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best candidates of every query among these rows, ties to smaller ids."""
+def best_pairs(
+    q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
+) -> pd.DataFrame:
+    """The k best candidates of every query among these rows, ties to smaller ids, none below its floor."""
     parts = []
     for at in range(0, len(q_ids), 512):
         own, some = q_ids[at : at + 512], q[at : at + 512]
@@ -180,6 +200,7 @@ def best_pairs(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray,
         keep = min(k, len(ids))
         least = np.partition(rough, len(ids) - keep, axis=1)[:, len(ids) - keep]
         least = least - 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
+        least = np.maximum(least, floor[at : at + 512] - 1e-9)
         qi, xi = np.nonzero((rough >= least[:, None]) & np.isfinite(rough))
         exact = np.zeros(len(qi))
         for j in range(x.shape[1]):  # summed in one order everywhere, so that equal pairs score equally
@@ -206,14 +227,14 @@ def _search(rows: DataFrame, queries: DataFrame, hashes: Hashes | None, k: int)
     row_block = F.pmod(F.xxhash64("vec_id"), F.col("row_blocks")).cast("int")
     query_block = F.pmod(F.xxhash64("vec_id"), F.col("query_blocks")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(sizes, key).select(*key, query_block.alias("qb"), every("row_blocks").alias("rb"), "vec_id", "embedding")
+    left = asked.join(sizes, key).select(*key, query_block.alias("qb"), every("row_blocks").alias("rb"), "vec_id", "embedding", "floor")
     right = indexed.join(sizes, key).select(*key, row_block.alias("rb"), every("query_blocks").alias("qb"), "vec_id", "embedding")
 
     def run(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return best_pairs(
-            q["vec_id"].to_numpy(), np.stack(q["embedding"].to_numpy()),
+            q["vec_id"].to_numpy(), np.stack(q["embedding"].to_numpy()), q["floor"].to_numpy(),
             x["vec_id"].to_numpy(), np.stack(x["embedding"].to_numpy()), k,
         )
 
@@ -243,7 +264,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     count = math.ceil(math.log(max(total / BUCKET_ROWS, 1.01)) / math.log(CELLS))
     hashes = Hashes(dims, min(max(count, 1), MAX_HASHES), longest)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
-    hashes.fit(np.array([r["embedding"] for r in sample]), total, k)
+    hashes.fit(np.array([r["vec_id"] for r in sample]), np.array([r["embedding"] for r in sample]), total, k)
     first = materialize(_ranked(_search(rows, asked, hashes, k), k), "ann-found")
     enough = min(k, total - 1)
     full = first.filter(F.col("rank") == enough).select(F.col("query_id").alias("vec_id"))
