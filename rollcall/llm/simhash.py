@@ -15,9 +15,14 @@ share one with probability ``1 - MISS``.
 Inside a bucket the distances of every fingerprint to ``PIVOTS`` reference
 fingerprints are tabulated. By the triangle inequality a pair whose distances to
 any reference differ by more than the radius is no link and is discarded; the
-others are verified. Only a spanning forest of a bucket's links leaves the task, so
-a dense group gives as many rows as it has members, and no link between classes is
-lost to the components.
+others are verified. Only a spanning forest of a bucket's links leaves the task, the
+closest pairs first, so a dense group gives as many rows as it has members, and no
+link between classes is lost to the components.
+
+With ``least`` the links that are left are held against the texts: both sets of
+distinct shingles are compared, and a link stays if their Jaccard index is at least
+that much. A member's closest partner is in the forest, so what is alike enough
+stays together.
 
 Nulls and odd input: a missing or empty text has fingerprint zero, linked like any
 other; repeated rows have equal fingerprints and share their component; rows without
@@ -43,7 +48,7 @@ from rollcall.session import broadcast_if_small, materialize
 HASH_SEED = 42
 PIVOTS = 16
 BUCKET_ROWS = 2048  # a larger bucket is divided
-MISS = 0.003
+MISS = 0.001
 SHINGLES_AT_ONCE = 255 * 64
 
 
@@ -68,15 +73,31 @@ def widen(h: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str | None, size: int = 3, words: int = 1) -> np.ndarray:
-    """Fingerprint as ``words`` unsigned 64-bit integers, of the text in blocks of bounded size."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+def split(text: str | None) -> list[bytes]:
+    """Words between ASCII white space, with A-Z lowered."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def hash_blocks(tokens: list[bytes], size: int, repeats: bool) -> Iterator[np.ndarray]:
+    """Shingle hashes of a text in blocks of bounded size, each once unless ``repeats``."""
     if not tokens:
-        return np.zeros(words, dtype=np.uint64)
+        return
+    blocks = (
+        shingle_hashes(tokens[start : start + SHINGLES_AT_ONCE + size - 1], size)
+        for start in range(0, max(1, len(tokens) - size + 1), SHINGLES_AT_ONCE)
+    )
+    if repeats:
+        yield from blocks
+        return
+    once = np.unique(np.concatenate(list(blocks)))
+    yield from (once[at : at + SHINGLES_AT_ONCE] for at in range(0, len(once), SHINGLES_AT_ONCE))
+
+
+def fingerprint(text: str | None, size: int = 3, words: int = 1, repeats: bool = True) -> np.ndarray:
+    """Fingerprint as ``words`` unsigned 64-bit integers."""
     counts, total = np.zeros(64 * words, dtype=np.int64), 0
-    for start in range(0, max(1, len(tokens) - size + 1), SHINGLES_AT_ONCE):
-        block = tokens[start : start + SHINGLES_AT_ONCE + size - 1]
-        h = widen(shingle_hashes(block, size), words)
+    for block in hash_blocks(split(text), size, repeats):
+        h = widen(block, words)
         total += len(h)
         for at in range(0, len(h), 255):  # counts of 255 rows fit a byte
             part = np.unpackbits(h[at : at + 255].view(np.uint8), axis=1, bitorder="little")
@@ -84,7 +105,7 @@ def fingerprint(text: str | None, size: int = 3, words: int = 1) -> np.ndarray:
     return np.packbits(counts * 2 > total, bitorder="little").view("<u8").astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, size: int = 3, words: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 3, words: int = 1, repeats: bool = True) -> DataFrame:
     """doc_id and the fingerprint's words as long columns f0, f1, .."""
     ship(docs.sparkSession)
     names = [f"f{i}" for i in range(words)]
@@ -94,7 +115,7 @@ def fingerprints(docs: DataFrame, size: int = 3, words: int = 1) -> DataFrame:
             texts = batch.column(1)
             made = np.empty((len(texts), words), dtype=np.uint64)
             for i in range(len(texts)):
-                made[i] = fingerprint(texts[i].as_py(), size, words)
+                made[i] = fingerprint(texts[i].as_py(), size, words, repeats)
             columns = [pa.array(made[:, j].view(np.int64)) for j in range(words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
 
@@ -168,10 +189,11 @@ def pivot_table(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def bucket_links(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: int) -> np.ndarray:
-    """Row pairs (member, root) of a spanning forest of the links inside each bucket.
+    """Row pairs of a spanning forest of the links inside each bucket.
 
-    Rows are sorted by key. Pairs are taken by their distance in the order, so
-    that one pass of array operations handles all buckets.
+    Rows are sorted by key. Pairs are compared by their distance in that order, so
+    that one pass of array operations handles all buckets, and joined by their
+    Hamming distance, the closest first.
     """
     n = len(key)
     table, parent = pivot_table(fp, pivots), np.arange(n)
@@ -182,7 +204,7 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: in
             i = parent[i]
         return i
 
-    at = np.arange(n)
+    at, found = np.arange(n), []
     for step in range(1, n):
         at = at[at + step < n]
         at = at[key[at] == key[at + step]]
@@ -191,13 +213,21 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: in
         left = at
         for j in range(len(pivots)):
             left = left[np.abs(table[left, j] - table[left + step, j]) <= radius]
-        left = left[np.bitwise_count(fp[left] ^ fp[left + step]).sum(axis=1) <= radius]
-        for i in left[parent[left] != parent[left + step]]:
-            a, b = root(int(i)), root(int(i) + step)
+        away = np.bitwise_count(fp[left] ^ fp[left + step]).sum(axis=1, dtype=np.int32)
+        left, away = left[away <= radius], away[away <= radius]
+        if len(left):
+            found.append(np.stack([away, left, left + step], axis=1).astype(np.int32))
+    forest: list[tuple[int, int]] = []
+    links = np.concatenate(found) if found else np.empty((0, 3), np.int32)
+    links = links[np.argsort(links[:, 0], kind="stable")]
+    for start in range(0, len(links), 65536):
+        part, top = links[start : start + 65536], np.array([root(i) for i in range(n)])
+        for _, i, j in part[top[part[:, 1]] != top[part[:, 2]]].tolist():  # those already joined are most
+            a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    roots = np.array([root(i) for i in np.nonzero(parent != np.arange(n))[0]], dtype=int)
-    return np.stack([np.nonzero(parent != np.arange(n))[0], roots], axis=1)
+                forest.append((j, i))
+    return np.array(forest, dtype=int).reshape(-1, 2)
 
 
 def _links(buckets: DataFrame, words: int, radius: int) -> DataFrame:
@@ -262,26 +292,67 @@ def class_links(classes: DataFrame, words: int, radius: int, family) -> DataFram
         parents = {p: family.children(known[p]) for p in used}
 
 
+def alike(docs: DataFrame, links: DataFrame, size: int, least: float) -> DataFrame:
+    """The links whose texts have a Jaccard index of distinct shingles of at least ``least``."""
+    ship(docs.sparkSession)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for text in batch.column(1):
+                blocks = list(hash_blocks(split(text.as_py()), size, False))
+                made.append((np.unique(np.concatenate(blocks)).astype("<u4") if blocks else np.empty(0, "<u4")).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "set"])
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_py(), "<u4"), np.frombuffer(y.as_py(), "<u4")
+                both = len(np.intersect1d(x, y))
+                either = len(np.unique(x)) + len(np.unique(y)) - both
+                keep.append(either == 0 or both >= least * either - 1e-9)
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    links = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "simhash-pairs")
+    ids = links.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    linked = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(
+        broadcast_if_small(ids, "simhash-ids"), F.col("id") == F.col("_id"), "left_semi"
+    )
+    # a repeated id stands for the text whose set comes first
+    made = linked.mapInArrow(sets, "id bigint, set binary").groupBy("id").agg(F.min("set").alias("set"))
+    made = materialize(made, "simhash-sets")
+    one = made.select(F.col("id").alias("a"), F.col("set").alias("x"))
+    other = made.select(F.col("id").alias("b"), F.col("set").alias("y"))
+    near = F.least(F.length("x"), F.length("y")) >= F.greatest(F.length("x"), F.length("y")) * least
+    pairs = links.join(one, "a").join(other, "b").filter(near).select("a", "b", "x", "y")
+    return pairs.mapInArrow(enough, "a bigint, b bigint")
+
+
 def as_hex(words: int) -> Column:
     return F.concat(*[F.lpad(F.lower(F.hex(f"f{i}")), 16, "0") for i in range(words)])
 
 
 def near_groups(
-    docs: DataFrame, size: int = 3, words: int = 1, radius: int = 3, family=None
+    docs: DataFrame, size: int = 3, words: int = 1, radius: int = 3, repeats: bool = True,
+    least: float | None = None,
 ) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (smallest id reachable) of every document.
 
-    ``size`` words make a shingle; a fingerprint has 64 * ``words`` bits. Up to a
-    radius of three the search is exact; a wider one takes ``Bands``.
+    ``size`` words make a shingle; a fingerprint has 64 * ``words`` bits, and counts
+    repeated shingles each time if ``repeats``. Up to a radius of three the search
+    is exact; a wider one takes ``Bands``. ``least`` is the Jaccard index that links
+    need beyond the radius.
     """
     names = [f"f{i}" for i in range(words)]
-    made = materialize(fingerprints(docs, size, words), "simhash")
+    made = materialize(fingerprints(docs, size, words, repeats), "simhash")
     classes = materialize(
         made.filter(F.col("doc_id").isNotNull()).groupBy(*names).agg(F.min("doc_id").alias("head")), "simhash-classes"
     )
-    if family is None:
-        family = Quarters(words) if radius <= 3 else Bands(words, radius, classes.count())
-    found = components(class_links(classes, words, radius, family))
+    family = Quarters(words) if radius <= 3 else Bands(words, radius, classes.count())
+    links = class_links(classes, words, radius, family)
+    found = components(links if least is None else alike(docs, links, size, least))
     groups = materialize(
         classes.join(found, F.col("head") == F.col("node"), "left").select(
             *[F.col(n).alias(f"_{n}") for n in names], F.coalesce("component", "head").alias("component_id")
@@ -296,15 +367,18 @@ def near_groups(
     )
 
 
-def drop_near_copies(docs: DataFrame, size: int = 5, words: int = 4, radius: int = 52) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, size: int = 5, words: int = 4, radius: int = 60, least: float = 0.8
+) -> DataFrame:
     """The documents with one left of each group: the one with the smallest id.
 
-    By default shingles have five words and 256 bits are compared. Two texts with
-    a Jaccard index of 0.8 differ in 39 bits on average; 52 leaves room for the
-    spread of that number. Of rows that repeat an id one stays; rows without an id
+    By default shingles have five words and count once, and 256 bits are compared.
+    Two texts with a Jaccard index of 0.8 differ in 39 bits on average; 60 leaves
+    room for the spread of that number, and the exact check takes out what isn't
+    alike enough. Of rows that repeat an id one stays; rows without an id
     can't be told apart and stay.
     """
-    groups = materialize(near_groups(docs, size, words, radius), "simhash-members")
+    groups = materialize(near_groups(docs, size, words, radius, False, least), "simhash-members")
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     repeated = (
         groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count()

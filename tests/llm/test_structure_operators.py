@@ -142,6 +142,13 @@ def test_near_copies_go_and_others_stay(spark):
     assert kept == {min(i for i in home if home[i] == g) for g in range(60)}
 
 
+def test_texts_less_alike_stay(spark):
+    rng, base = random.Random(14), some_text(random.Random(15), 400)
+    data = [(0, base), (1, near(rng, base, 30)), (2, "De " * 200 + some_text(rng, 30)), (3, "De " * 220 + some_text(rng, 30))]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert simhash.drop_near_copies(docs).count() == 4  # 30 changed words leave less than 0.8
+
+
 def test_long_texts_are_hashed_in_blocks(monkeypatch):
     text = some_text(random.Random(5), 3000)
     whole = simhash.fingerprint(text, 3, 2)
