@@ -8,8 +8,8 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_WORDS = 400_000
-CACHE_UNITS = 300_000
+CACHE_WORDS = 300_000
+CACHE_UNITS = 250_000
 
 # texts of these characters only are cut into units here; all others go to the tokenizer whole
 PLAIN = re.compile(r"[\n\t\x20-\x7eÀ-ÖØ-öø-ÿ]*")
