@@ -147,6 +147,34 @@ def mention_run(spark, sf):
     return run.catalog.select("name", "company", "size", "website", "released_at", "verification", "change")
 
 
+@check(
+    "mention_run_fill",
+    f"""
+    with {_MENTIONS},
+    f as (select * from (select *, row_number() over (partition by k order by file, pos) as rn from t
+      where not tracked or k in (select w from known)) where rn = 1),
+    rec as (select lower(w) as w, min(conv_id) as first from (select conv_id, unnest(regexp_extract_all(text, '[A-Z][a-z]{{4,}}')) as w from conversations) group by 1),
+    idx as (select w as key, w, first, 0 as which from rec union all select 'id' || w, w, first, 1 from rec),
+    o as (select *, row_number() over (order by first, w, which) as place from idx),
+    hit as (select k, arg_min(w, case when key = k then -1 else place end) as w from f join o on contains(k, key) or contains(key, k) group by k),
+    done as (select f.*, h.w as rec, case when length(name) > 9 then '2024-01-09' when h.w is not null then '2024-01-12' else '' end as day
+      from f left join hit h on f.k = h.k),
+    used as (select * from done where day = '' or day between '2024-01-03' and '2024-01-10')
+    select name, published as company, case when rec is not null then '3B' else '' end as size,
+      coalesce('http://example.com/models/id ' || rec, '') as website, day as released_at, 'insert' as change
+    from used where k not in (select w from known)
+    union all
+    select upper(known.w[1:1]) || known.w[2:], 'known', case when rec is not null then '3B' end, 'http://example.com/models/id ' || rec, nullif(day, ''),
+      concat_ws(',', case when rec is not null then 'size' end, case when rec is not null then 'website' end, case when day <> '' then 'released_at' end)
+    from known left join used on used.k = known.w
+    """,
+)
+def mention_run_fill(spark, sf):
+    """The same run, with the rows of tracked names filled."""
+    run = run_mentions(*_mention_inputs(spark, sf), 20240103, 20240110, "2024-01-31", BASE_URL, fill_tracked=True)
+    return run.catalog.select("name", "company", "size", "website", "released_at", "change")
+
+
 @check(
     "mention_run_articles",
     f"""

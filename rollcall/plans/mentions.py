@@ -14,7 +14,7 @@ from rollcall.operators.extract import ingest_replies, reply_content
 from rollcall.operators.match import cross_verify, split_tracked
 from rollcall.operators.stats import mention_lists
 from rollcall.operators.upsert import upsert_fill, usable_mentions
-from rollcall.session import materialize
+from rollcall.session import broadcast_if_small, materialize
 
 
 class MentionRun(NamedTuple):
@@ -39,8 +39,13 @@ def mention_run(
     created_at: str,
     base_url: str,
     date_fallback: bool = False,
+    fill_tracked: bool = False,
 ) -> MentionRun:
-    """``replies`` has ``file`` and the raw ``response`` of the model for that article."""
+    """``replies`` has ``file`` and the raw ``response`` of the model for that article.
+
+    Untracked names become new rows. With ``fill_tracked`` mentions of an entity
+    under its own name fill that row's blank cells as well.
+    """
     # the bodies are hashed once; from here on only names and dates are needed
     kept = materialize(
         articles_in_window(articles, since, until).select("file", "seq", "title", "date_int"), "kept"
@@ -54,7 +59,12 @@ def mention_run(
     # parsed replies and split mentions feed several results each
     mentions = materialize(split_tracked(materialize(found, "replies"), catalog), "mentions")
     lists = mention_lists(kept.select("file", "seq", "title"), mentions, "file")
-    first = first_mention(mentions.filter(~F.col("tracked")), plain_key("model_name"), ["file", "pos"])
+    chosen = mentions.filter(~F.col("tracked"))
+    if fill_tracked:
+        names = broadcast_if_small(catalog.select(plain_key("name").alias("_known")).distinct(), "names")
+        own = mentions.filter("tracked").join(names, plain_key("model_name") == F.col("_known"), "left_semi")
+        chosen = chosen.unionByName(own)
+    first = first_mention(chosen, plain_key("model_name"), ["file", "pos"])
     checked = cross_verify(first.drop("mention_key"), records, base_url)
     usable = usable_mentions(checked, ["file", "pos"], since, until, date_fallback)
     return MentionRun(lists, mentions, upsert_fill(catalog, usable, created_at=created_at))

@@ -8,8 +8,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 BROADCAST_ROWS = 5_000_000
@@ -88,6 +89,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes; only texts and nested columns are looked at."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            size = size + 8
+    return size
+
+
 def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     """The frame written out and measured, with a broadcast hint when it is small.
 
@@ -96,8 +111,6 @@ def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     shuffle. A side above the limits is joined by shuffle as usual.
     """
     table = materialize(df, label)
-    rows = table.count()
-    if rows > BROADCAST_ROWS:
-        return table
-    size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(table) if size + 32 * rows <= BROADCAST_BYTES else table
+    rows, size = table.agg(F.count("*"), F.sum(row_bytes(table))).first()
+    small = rows <= BROADCAST_ROWS and (size or 0) + 32 * rows <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table
