@@ -106,6 +106,8 @@ class FileWriter:
             out.write(np.array(self.offsets, "<u8").tobytes())
             while piece := data.read(1 << 20):
                 out.write(piece)
+        if self.fs.get_file_info(self.path).type != fs.FileType.NotFound:
+            self.fs.delete_file(self.path)  # of an earlier attempt, with the same bytes
         self.fs.move(whole, self.path)
         self.fs.delete_file(self.side)
         return len(self.doc_ids), self.total
