@@ -93,6 +93,45 @@ def name_containment(spark, sf):
     return M.containment_match(keys, index).select("key", "index_key")
 
 
+_ANY_WORDS = """
+docs as (select distinct lower(w) as word from (select unnest(regexp_extract_all(text, '[A-Z][a-z]*')) as w from documents)),
+bench as (select distinct lower(w) as word from (select unnest(regexp_extract_all(text, '[A-Z][a-z]*')) as w from benchmark))"""
+
+
+@check(
+    "short_name_containment",
+    f"""
+    with {_ANY_WORDS}
+    select docs.word as long, bench.word as short from docs join bench on contains(docs.word, bench.word)
+    where length(docs.word) > 4 and length(bench.word) > 4
+    """,
+)
+def short_name_containment(spark, sf):
+    """Words of any length, one letter included; those of up to four letters match nothing."""
+    words = lambda t, name: table(spark, sf, t).select(
+        F.explode(F.regexp_extract_all("text", F.lit("([A-Z][a-z]*)"), 1)).alias("w")
+    ).select(F.lower("w").alias(name)).distinct()
+    return M.contained_names(words("documents", "long"), words("benchmark", "short"))
+
+
+@check(
+    "short_passages",
+    """
+    with p as (select item_id, n, array_to_string(string_split(text, ' ')[1:n], ' ') as text from benchmark, generate_series(1, 4) as g(n))
+    select doc_id, item_id * 10 + n as passage from documents d join p on contains(d.text, p.text) where length(p.text) > 4
+    """,
+)
+def short_passages(spark, sf):
+    """The first one to four words of every passage in whole documents."""
+    words = F.split("text", " ")
+    starts = table(spark, sf, "benchmark").select(
+        "item_id", words.alias("_w"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("n")
+    ).select(
+        (F.col("item_id") * 10 + F.col("n")).alias("passage"), F.array_join(F.slice("_w", F.lit(1), F.col("n")), " ").alias("text")
+    )
+    return M.passages_in_texts(table(spark, sf, "documents", spread=True), starts, "doc_id", "passage")
+
+
 @check(
     "tracked_split",
     f"""
