@@ -21,8 +21,9 @@ link between classes is lost to the components.
 
 With ``least`` the links that are left are held against the texts: both sets of
 distinct shingles are compared, and a link stays if their Jaccard index is at least
-that much. A member's closest partner is in the forest, so what is alike enough
-stays together.
+that much. As fewer bits apart is not always more alike, ``FORESTS`` spanning forests
+leave the task then, each of the closest links the ones before don't hold, so that
+two parts of a group hang together by several links.
 
 Nulls and odd input: a missing or empty text has fingerprint zero, linked like any
 other; repeated rows have equal fingerprints and share their component; rows without
@@ -49,6 +50,7 @@ HASH_SEED = 42
 PIVOTS = 16
 BUCKET_ROWS = 2048  # a larger bucket is divided
 MISS = 0.001
+FORESTS = 4
 SHINGLES_AT_ONCE = 255 * 64
 
 
@@ -188,22 +190,45 @@ def pivot_table(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return out
 
 
-def bucket_links(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: int) -> np.ndarray:
-    """Row pairs of a spanning forest of the links inside each bucket.
+class Forests:
+    """Spanning forests of the links added, each link in the first one that lacks it."""
 
-    Rows are sorted by key. Pairs are compared by their distance in that order, so
-    that one pass of array operations handles all buckets, and joined by their
-    Hamming distance, the closest first.
-    """
-    n = len(key)
-    table, parent = pivot_table(fp, pivots), np.arange(n)
+    def __init__(self, nodes: int, count: int):
+        self.parents = [list(range(nodes)) for _ in range(count)]
+        self.links: list[tuple[int, int]] = []
 
-    def root(i: int) -> int:
+    @staticmethod
+    def _root(parent: list[int], i: int) -> int:
         while parent[i] != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
+    def add(self, i: int, j: int) -> None:
+        for parent in self.parents:
+            a, b = self._root(parent, i), self._root(parent, j)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                self.links.append((j, i))
+                return
+
+    def roots(self) -> np.ndarray:
+        """Of all nodes in the last forest."""
+        last = self.parents[-1]
+        return np.array([self._root(last, i) for i in range(len(last))])
+
+
+def bucket_links(
+    key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: int, forests: int = 1
+) -> np.ndarray:
+    """Row pairs of spanning forests of the links inside each bucket.
+
+    Rows are sorted by key. Pairs are compared by their distance in that order, so
+    that one pass of array operations handles all buckets, and joined by their
+    Hamming distance, the closest first.
+    """
+    n = len(key)
+    table = pivot_table(fp, pivots)
     at, found = np.arange(n), []
     for step in range(1, n):
         at = at[at + step < n]
@@ -217,25 +242,23 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: in
         left, away = left[away <= radius], away[away <= radius]
         if len(left):
             found.append(np.stack([away, left, left + step], axis=1).astype(np.int32))
-    forest: list[tuple[int, int]] = []
-    links = np.concatenate(found) if found else np.empty((0, 3), np.int32)
+    if not found:
+        return np.empty((0, 2), dtype=int)
+    links, spanning = np.concatenate(found), Forests(n, forests)
     links = links[np.argsort(links[:, 0], kind="stable")]
     for start in range(0, len(links), 65536):
-        part, top = links[start : start + 65536], np.array([root(i) for i in range(n)])
+        part, top = links[start : start + 65536], spanning.roots()
         for _, i, j in part[top[part[:, 1]] != top[part[:, 2]]].tolist():  # those already joined are most
-            a, b = root(i), root(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                forest.append((j, i))
-    return np.array(forest, dtype=int).reshape(-1, 2)
+            spanning.add(i, j)
+    return np.array(spanning.links, dtype=int).reshape(-1, 2)
 
 
-def _links(buckets: DataFrame, words: int, radius: int) -> DataFrame:
+def _links(buckets: DataFrame, words: int, radius: int, forests: int) -> DataFrame:
     names = [f"f{i}" for i in range(words)]
     pivots = np.random.default_rng(3).integers(0, 2**64, (PIVOTS, words), dtype=np.uint64)
 
     def found(key, head, fp) -> pa.RecordBatch:
-        pairs = bucket_links(key, fp, pivots, radius)
+        pairs = bucket_links(key, fp, pivots, radius, forests)
         return pa.RecordBatch.from_arrays(
             [pa.array(head[pairs[:, 0]]), pa.array(head[pairs[:, 1]])], names=["a", "b"]
         )
@@ -260,8 +283,8 @@ def _links(buckets: DataFrame, words: int, radius: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def class_links(classes: DataFrame, words: int, radius: int, family) -> DataFrame:
-    """Links between classes (``head`` and fingerprint): a spanning forest of each bucket."""
+def class_links(classes: DataFrame, words: int, radius: int, family, forests: int = 1) -> DataFrame:
+    """Links between classes (``head`` and fingerprint): spanning forests of each bucket."""
     spark = classes.sparkSession
     rows, links, numbered = classes.withColumn("parent", F.lit(0)), None, 0
     known: dict[int, np.ndarray] = {}
@@ -281,7 +304,7 @@ def class_links(classes: DataFrame, words: int, radius: int, family) -> DataFram
         )
         any_large = not large.isEmpty()
         small = keyed.join(large, "key", "left_anti") if any_large else keyed
-        part = materialize(_links(small, words, radius), "simhash-links")
+        part = materialize(_links(small, words, radius, forests), "simhash-links")
         links = part if links is None else links.unionByName(part)
         if not any_large:
             return links
@@ -351,7 +374,7 @@ def near_groups(
         made.filter(F.col("doc_id").isNotNull()).groupBy(*names).agg(F.min("doc_id").alias("head")), "simhash-classes"
     )
     family = Quarters(words) if radius <= 3 else Bands(words, radius, classes.count())
-    links = class_links(classes, words, radius, family)
+    links = class_links(classes, words, radius, family, 1 if least is None else FORESTS)
     found = components(links if least is None else alike(docs, links, size, least))
     groups = materialize(
         classes.join(found, F.col("head") == F.col("node"), "left").select(
