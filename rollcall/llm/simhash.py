@@ -174,11 +174,25 @@ class Bands:
         return self._draw(np.setdiff1d(np.arange(64 * self.words), mask), 6, mask)
 
 
-def _keyed(rows: DataFrame, masks: DataFrame, words: int) -> DataFrame:
-    """The rows under each of the masks: bucket key, mask number, class and fingerprint."""
-    masked = [F.col(f"f{i}").bitwiseAND(F.col(f"m{i}")) for i in range(words)]
-    return rows.join(F.broadcast(masks), "parent").select(
-        F.xxhash64(F.col("mask"), *masked).alias("key"), "mask", "head", *[f"f{i}" for i in range(words)]
+def _keyed(rows: DataFrame, masks: list[tuple], words: int) -> DataFrame:
+    """The rows under each mask of their parent: bucket key, mask number, class and fingerprint.
+
+    ``masks`` has parent, number and the mask's words; there are only as many as the rule draws.
+    """
+    one = lambda m: F.struct(
+        F.lit(m[1]).alias("mask"), *[F.lit(w).cast("bigint").alias(f"m{i}") for i, w in enumerate(m[2:])]
+    )
+    by_parent = {p: F.array(*[one(m) for m in masks if m[0] == p]) for p in {m[0] for m in masks}}
+    if len(by_parent) == 1:
+        fitting = next(iter(by_parent.values()))
+    else:
+        pairs = [x for p, found in by_parent.items() for x in (F.lit(p), found)]
+        fitting = F.try_element_at(F.create_map(*pairs), F.col("parent"))
+    each = rows.select("head", *[f"f{i}" for i in range(words)], F.explode(fitting).alias("m"))
+    masked = [F.col(f"f{i}").bitwiseAND(F.col(f"m.m{i}")) for i in range(words)]
+    return each.select(
+        F.xxhash64(F.col("m.mask"), *masked).alias("key"), F.col("m.mask").alias("mask"), "head",
+        *[f"f{i}" for i in range(words)],
     )
 
 
@@ -250,6 +264,10 @@ def bucket_links(
         part, top = links[start : start + 65536], spanning.roots()
         for _, i, j in part[top[part[:, 1]] != top[part[:, 2]]].tolist():  # those already joined are most
             spanning.add(i, j)
+    if forests == 1:  # each member with its root: as well connected, and by shorter paths
+        root = spanning.roots()
+        member = np.nonzero(root != np.arange(n))[0]
+        return np.stack([member, root[member]], axis=1)
     return np.array(spanning.links, dtype=int).reshape(-1, 2)
 
 
@@ -285,11 +303,9 @@ def _links(buckets: DataFrame, words: int, radius: int, forests: int) -> DataFra
 
 def class_links(classes: DataFrame, words: int, radius: int, family, forests: int = 1) -> DataFrame:
     """Links between classes (``head`` and fingerprint): spanning forests of each bucket."""
-    spark = classes.sparkSession
     rows, links, numbered = classes.withColumn("parent", F.lit(0)), None, 0
     known: dict[int, np.ndarray] = {}
     parents = {0: family.roots()}
-    schema = "parent int, mask int, " + ", ".join(f"m{i} bigint" for i in range(words))
     while True:
         table = []
         for parent, children in parents.items():
@@ -297,7 +313,7 @@ def class_links(classes: DataFrame, words: int, radius: int, family, forests: in
                 numbered += 1
                 known[numbered] = child
                 table.append((parent, numbered, *_as_words(child, words)))
-        keyed = materialize(_keyed(rows, spark.createDataFrame(table, schema), words), "simhash-keys")
+        keyed = materialize(_keyed(rows, table, words), "simhash-keys")
         large = broadcast_if_small(
             keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > BUCKET_ROWS).select("key"),
             "simhash-large",
