@@ -50,7 +50,7 @@ HASH_SEED = 42
 PIVOTS = 16
 BUCKET_ROWS = 2048  # a larger bucket is divided
 MISS = 0.001
-FORESTS = 4
+FORESTS = 2
 SHINGLES_AT_ONCE = 255 * 64
 
 
