@@ -15,15 +15,17 @@ share one with probability ``1 - MISS``.
 Inside a bucket the distances of every fingerprint to ``PIVOTS`` reference
 fingerprints are tabulated. By the triangle inequality a pair whose distances to
 any reference differ by more than the radius is no link and is discarded; the
-others are verified. Only a spanning forest of a bucket's links leaves the task, the
-closest pairs first, so a dense group gives as many rows as it has members, and no
-link between classes is lost to the components.
-
-With ``least`` the links that are left are held against the texts: both sets of
-distinct shingles are compared, and a link stays if their Jaccard index is at least
-that much. As fewer bits apart is not always more alike, ``FORESTS`` spanning forests
-leave the task then, each of the closest links the ones before don't hold, so that
-two parts of a group hang together by several links.
+others are verified. Only a spanning forest of a bucket's links leaves the task, so a
+dense group gives as many rows as it has members, and no link between classes is lost
+to the components.
+
+``drop_near_copies`` doesn't go by fingerprints but by the texts' sets of distinct
+shingles and their Jaccard index. Shingles are ordered from rare to common; two sets as
+alike as asked share one of the first few of both, so looking under those finds every
+such pair. What many texts share comes last in that order, so boilerplate brings no
+candidates. All classes under a shingle are held against two of them, and then every
+pair that verified links don't join yet, so a pair is left out only where its ends are
+in one group already. Equality of sets and of shingles is that of 64-bit hashes.
 
 Nulls and odd input: a missing or empty text has fingerprint zero, linked like any
 other; repeated rows have equal fingerprints and share their component; rows without
@@ -50,7 +52,9 @@ HASH_SEED = 42
 PIVOTS = 16
 BUCKET_ROWS = 2048  # a larger bucket is divided
 MISS = 0.001
-FORESTS = 2
+SAMPLE_ROWS = 20_000  # at least so many documents, or one in SAMPLED, tell which shingles are common
+SAMPLED = 16
+COMMON = 200_000
 SHINGLES_AT_ONCE = 255 * 64
 
 
@@ -204,42 +208,32 @@ def pivot_table(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return out
 
 
-class Forests:
-    """Spanning forests of the links added, each link in the first one that lacks it."""
+class Forest:
+    """Spanning forest of the links added."""
 
-    def __init__(self, nodes: int, count: int):
-        self.parents = [list(range(nodes)) for _ in range(count)]
-        self.links: list[tuple[int, int]] = []
+    def __init__(self, nodes: int):
+        self.parent = list(range(nodes))
 
-    @staticmethod
-    def _root(parent: list[int], i: int) -> int:
+    def _root(self, i: int) -> int:
+        parent = self.parent
         while parent[i] != i:
             parent[i] = parent[parent[i]]
             i = parent[i]
         return i
 
     def add(self, i: int, j: int) -> None:
-        for parent in self.parents:
-            a, b = self._root(parent, i), self._root(parent, j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                self.links.append((j, i))
-                return
+        a, b = self._root(i), self._root(j)
+        self.parent[max(a, b)] = min(a, b)
 
     def roots(self) -> np.ndarray:
-        """Of all nodes in the last forest."""
-        last = self.parents[-1]
-        return np.array([self._root(last, i) for i in range(len(last))])
+        return np.array([self._root(i) for i in range(len(self.parent))])
 
 
-def bucket_links(
-    key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: int, forests: int = 1
-) -> np.ndarray:
-    """Row pairs of spanning forests of the links inside each bucket.
+def bucket_links(key: np.ndarray, fp: np.ndarray, pivots: np.ndarray, radius: int) -> np.ndarray:
+    """Row pairs of a spanning forest of the links inside each bucket.
 
     Rows are sorted by key. Pairs are compared by their distance in that order, so
-    that one pass of array operations handles all buckets, and joined by their
-    Hamming distance, the closest first.
+    that one pass of array operations handles all buckets.
     """
     n = len(key)
     table = pivot_table(fp, pivots)
@@ -253,30 +247,27 @@ def bucket_links(
         for j in range(len(pivots)):
             left = left[np.abs(table[left, j] - table[left + step, j]) <= radius]
         away = np.bitwise_count(fp[left] ^ fp[left + step]).sum(axis=1, dtype=np.int32)
-        left, away = left[away <= radius], away[away <= radius]
+        left = left[away <= radius]
         if len(left):
-            found.append(np.stack([away, left, left + step], axis=1).astype(np.int32))
+            found.append(np.stack([left, left + step], axis=1).astype(np.int32))
     if not found:
         return np.empty((0, 2), dtype=int)
-    links, spanning = np.concatenate(found), Forests(n, forests)
-    links = links[np.argsort(links[:, 0], kind="stable")]
+    links, spanning = np.concatenate(found), Forest(n)
     for start in range(0, len(links), 65536):
         part, top = links[start : start + 65536], spanning.roots()
-        for _, i, j in part[top[part[:, 1]] != top[part[:, 2]]].tolist():  # those already joined are most
+        for i, j in part[top[part[:, 0]] != top[part[:, 1]]].tolist():  # those already joined are most
             spanning.add(i, j)
-    if forests == 1:  # each member with its root: as well connected, and by shorter paths
-        root = spanning.roots()
-        member = np.nonzero(root != np.arange(n))[0]
-        return np.stack([member, root[member]], axis=1)
-    return np.array(spanning.links, dtype=int).reshape(-1, 2)
+    root = spanning.roots()  # each member with its root: as well connected, and by shorter paths
+    member = np.nonzero(root != np.arange(n))[0]
+    return np.stack([member, root[member]], axis=1)
 
 
-def _links(buckets: DataFrame, words: int, radius: int, forests: int) -> DataFrame:
+def _links(buckets: DataFrame, words: int, radius: int) -> DataFrame:
     names = [f"f{i}" for i in range(words)]
     pivots = np.random.default_rng(3).integers(0, 2**64, (PIVOTS, words), dtype=np.uint64)
 
     def found(key, head, fp) -> pa.RecordBatch:
-        pairs = bucket_links(key, fp, pivots, radius, forests)
+        pairs = bucket_links(key, fp, pivots, radius)
         return pa.RecordBatch.from_arrays(
             [pa.array(head[pairs[:, 0]]), pa.array(head[pairs[:, 1]])], names=["a", "b"]
         )
@@ -301,8 +292,8 @@ def _links(buckets: DataFrame, words: int, radius: int, forests: int) -> DataFra
     return sorted_rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def class_links(classes: DataFrame, words: int, radius: int, family, forests: int = 1) -> DataFrame:
-    """Links between classes (``head`` and fingerprint): spanning forests of each bucket."""
+def class_links(classes: DataFrame, words: int, radius: int, family) -> DataFrame:
+    """Links between classes (``head`` and fingerprint): a spanning forest of each bucket."""
     rows, links, numbered = classes.withColumn("parent", F.lit(0)), None, 0
     known: dict[int, np.ndarray] = {}
     parents = {0: family.roots()}
@@ -320,7 +311,7 @@ def class_links(classes: DataFrame, words: int, radius: int, family, forests: in
         )
         any_large = not large.isEmpty()
         small = keyed.join(large, "key", "left_anti") if any_large else keyed
-        part = materialize(_links(small, words, radius, forests), "simhash-links")
+        part = materialize(_links(small, words, radius), "simhash-links")
         links = part if links is None else links.unionByName(part)
         if not any_large:
             return links
@@ -331,42 +322,161 @@ def class_links(classes: DataFrame, words: int, radius: int, family, forests: in
         parents = {p: family.children(known[p]) for p in used}
 
 
-def alike(docs: DataFrame, links: DataFrame, size: int, least: float) -> DataFrame:
-    """The links whose texts have a Jaccard index of distinct shingles of at least ``least``."""
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
+    blocks = list(hash_blocks(split(text), size, False))
+    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, np.uint64)
+
+
+def common_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of shingles that stand in several documents of a sample, and in how many.
+
+    They only set the order in which shingles count as rare; any order gives the same links.
+    """
+    every = max(1, min(SAMPLED, docs.count() // SAMPLE_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets, held = [], 0
+            for i, text in enumerate(batch.column(0)):
+                sets.append(shingle_set(text.as_py(), size))
+                held += len(sets[-1])
+                if held > 1 << 20 or i == batch.num_rows - 1:
+                    token, n = np.unique(np.concatenate(sets), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], names=["token", "n"])
+                    sets, held = [], 0
+
+    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    found = (
+        chosen.mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+        .filter(F.col("n") > 2).orderBy(F.col("n").desc(), "token").limit(COMMON).toArrow()
+    )
+    token = found.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(token)
+    return token[order], found.column("n").to_numpy()[order]
+
+
+def rarest(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """The rarest shingles of a set, so many that another set as alike as ``least`` has one of them among its own."""
+    n = len(tokens)
+    if not n:
+        return tokens
+    known, counts = common
+    count = np.zeros(n, dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        count = np.where(known[at] == tokens, counts[at], 0)
+    return tokens[np.lexsort((tokens, count))[: n - math.ceil(least * n - 1e-9) + 1]]
+
+
+def shingle_classes(docs: DataFrame, size: int, least: float) -> DataFrame:
+    """doc_id, text hash ``t``, class of equal shingle sets, set size ``n`` and rarest shingles of every row."""
     ship(docs.sparkSession)
+    common = common_shingles(docs, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls, n, prefix = [], [], []
+            for text in batch.column(2):
+                tokens = shingle_set(text.as_py(), size)
+                cls.append(xxhash.xxh64_intdigest(tokens.tobytes(), HASH_SEED))
+                n.append(len(tokens))
+                prefix.append(rarest(tokens, common, least).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.array(cls, np.uint64).view(np.int64)),
+                 pa.array(n, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
+                names=["doc_id", "t", "cls", "n", "prefix"],
+            )
+
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text"
+    ).mapInArrow(run, "doc_id bigint, t bigint, cls bigint, n bigint, prefix array<bigint>")
+
+
+def alike(docs: DataFrame, classes: DataFrame, links: DataFrame, size: int, least: float) -> DataFrame:
+    """The links whose texts have a Jaccard index of distinct shingles of at least ``least``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            for text in batch.column(1):
-                blocks = list(hash_blocks(split(text.as_py()), size, False))
-                made.append((np.unique(np.concatenate(blocks)).astype("<u4") if blocks else np.empty(0, "<u4")).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "set"])
+            made = [shingle_set(text.as_py(), size).tobytes() for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["t", "set"])
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), "<u4"), np.frombuffer(y.as_py(), "<u4")
-                both = len(np.intersect1d(x, y))
-                either = len(np.unique(x)) + len(np.unique(y)) - both
-                keep.append(either == 0 or both >= least * either - 1e-9)
+                x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    links = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "simhash-pairs")
-    ids = links.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    linked = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(
-        broadcast_if_small(ids, "simhash-ids"), F.col("id") == F.col("_id"), "left_semi"
+    ids = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    used = classes.select("cls", "t").join(broadcast_if_small(ids, "copies-ids"), "cls", "left_semi")
+    used = materialize(used, "copies-used")
+    texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text").join(
+        broadcast_if_small(used.select("t"), "copies-texts"), "t", "left_semi"
     )
-    # a repeated id stands for the text whose set comes first
-    made = linked.mapInArrow(sets, "id bigint, set binary").groupBy("id").agg(F.min("set").alias("set"))
-    made = materialize(made, "simhash-sets")
-    one = made.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    other = made.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    near = F.least(F.length("x"), F.length("y")) >= F.greatest(F.length("x"), F.length("y")) * least
+    made = texts.mapInArrow(sets, "t bigint, set binary").groupBy("t").agg(F.min("set").alias("set"))
+    made = materialize(used.join(made, "t").select("cls", "set"), "copies-sets")
+    one = made.select(F.col("cls").alias("a"), F.col("set").alias("x"))
+    other = made.select(F.col("cls").alias("b"), F.col("set").alias("y"))
+    near = F.least(F.length("x"), F.length("y")) >= F.greatest(F.length("x"), F.length("y")) * least - 1e-6
     pairs = links.join(one, "a").join(other, "b").filter(near).select("a", "b", "x", "y")
-    return pairs.mapInArrow(enough, "a bigint, b bigint")
+    return materialize(pairs.mapInArrow(enough, "a bigint, b bigint"), "copies-alike")
+
+
+def _pairs(links: DataFrame) -> DataFrame:
+    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
+
+
+def copy_groups(docs: DataFrame, size: int, least: float) -> DataFrame:
+    """doc_id, text hash ``t``, class and group of every row: groups hang together by pairs as alike as ``least``.
+
+    Two sets that alike have one of their rarest shingles in common, so the classes under
+    each rare shingle hold every such pair. First all classes of a shingle are held against
+    its smallest and largest one; then every pair whose ends no verified links join yet.
+    """
+    rows = materialize(shingle_classes(docs, size, least), "copies-rows")
+    classes = materialize(
+        rows.groupBy("cls").agg(F.min("t").alias("t"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
+        "copies-classes",
+    )
+    keys = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+    ends = keys.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo != hi")
+    shared = materialize(keys.join(broadcast_if_small(ends, "copies-ends"), "token"), "copies-shared")
+    first = materialize(_pairs(shared.select(F.col("cls").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))), "copies-first")
+    good = alike(docs, classes, first, size, least)
+
+    joined = components(good)
+    marked = materialize(
+        shared.join(broadcast_if_small(joined, "copies-joined"), F.col("cls") == F.col("node"), "left")
+        .select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp")),
+        "copies-marked",
+    )
+    apart = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
+    marked = materialize(
+        marked.join(broadcast_if_small(apart.select("token"), "copies-apart"), "token", "left_semi"), "copies-open"
+    )
+    main = (
+        marked.groupBy("token", "comp").count().groupBy(F.col("token").alias("_token"))
+        .agg(F.max(F.struct("count", "comp"))["comp"].alias("main"))
+    )
+    # of two in different components at most one is in the shingle's largest
+    minor = marked.join(broadcast_if_small(main, "copies-main"), F.col("token") == F.col("_token")).filter("comp != main")
+    x, y = minor.alias("x"), marked.alias("y")
+    overlap = F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))  # at most, if this is the first one in common
+    rest = x.join(
+        y,
+        F.expr("x.token = y.token AND x.comp != y.comp AND (y.comp = x.main OR x.cls < y.cls)")
+        & (overlap * (1 + least) >= F.expr("x.n + y.n") * least - 1e-6),
+    ).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    rest = materialize(_pairs(rest).join(first, ["a", "b"], "left_anti"), "copies-rest")
+    if not rest.isEmpty():
+        joined = components(good.unionByName(alike(docs, classes, rest, size, least)))
+    return rows.select("doc_id", "t", "cls").join(
+        broadcast_if_small(joined, "copies-groups"), F.col("cls") == F.col("node"), "left"
+    ).select("doc_id", "t", "cls", F.coalesce("component", "cls").alias("group"))
 
 
 def as_hex(words: int) -> Column:
@@ -374,15 +484,13 @@ def as_hex(words: int) -> Column:
 
 
 def near_groups(
-    docs: DataFrame, size: int = 3, words: int = 1, radius: int = 3, repeats: bool = True,
-    least: float | None = None,
+    docs: DataFrame, size: int = 3, words: int = 1, radius: int = 3, repeats: bool = True
 ) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (smallest id reachable) of every document.
 
     ``size`` words make a shingle; a fingerprint has 64 * ``words`` bits, and counts
     repeated shingles each time if ``repeats``. Up to a radius of three the search
-    is exact; a wider one takes ``Bands``. ``least`` is the Jaccard index that links
-    need beyond the radius.
+    is exact; a wider one takes ``Bands``.
     """
     names = [f"f{i}" for i in range(words)]
     made = materialize(fingerprints(docs, size, words, repeats), "simhash")
@@ -390,8 +498,7 @@ def near_groups(
         made.filter(F.col("doc_id").isNotNull()).groupBy(*names).agg(F.min("doc_id").alias("head")), "simhash-classes"
     )
     family = Quarters(words) if radius <= 3 else Bands(words, radius, classes.count())
-    links = class_links(classes, words, radius, family, 1 if least is None else FORESTS)
-    found = components(links if least is None else alike(docs, links, size, least))
+    found = components(class_links(classes, words, radius, family))
     groups = materialize(
         classes.join(found, F.col("head") == F.col("node"), "left").select(
             *[F.col(n).alias(f"_{n}") for n in names], F.coalesce("component", "head").alias("component_id")
@@ -406,18 +513,16 @@ def near_groups(
     )
 
 
-def drop_near_copies(
-    docs: DataFrame, size: int = 5, words: int = 4, radius: int = 60, least: float = 0.8
-) -> DataFrame:
+def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """The documents with one left of each group: the one with the smallest id.
 
-    By default shingles have five words and count once, and 256 bits are compared.
-    Two texts with a Jaccard index of 0.8 differ in 39 bits on average; 60 leaves
-    room for the spread of that number, and the exact check takes out what isn't
-    alike enough. Of rows that repeat an id one stays; rows without an id
-    can't be told apart and stay.
+    Texts are alike if their sets of distinct shingles of ``size`` words have a Jaccard
+    index of ``least`` or more; the search for such pairs is exact. Of rows that repeat
+    an id one stays; rows without an id can't be told apart and stay.
     """
-    groups = materialize(near_groups(docs, size, words, radius, False, least), "simhash-members")
+    made = materialize(copy_groups(docs, size, least), "copies-members")
+    first = made.groupBy(F.col("group").alias("_group")).agg(F.min("doc_id").alias("component_id"))
+    groups = made.join(broadcast_if_small(first, "copies-heads"), F.col("group") == F.col("_group"))
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     repeated = (
         groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count()

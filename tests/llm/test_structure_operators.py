@@ -149,6 +149,33 @@ def test_texts_less_alike_stay(spark):
     assert simhash.drop_near_copies(docs).count() == 4  # 30 changed words leave less than 0.8
 
 
+def family(pairs, singles):
+    """Texts of 300 shingles, 0.70 alike; each two of the first are 0.82 alike."""
+    words = iter(f"w{i}" for i in range(10**7))
+    take = lambda n: [next(words) for _ in range(n)]
+    shared, data = take(251), []
+    for _ in range(pairs):
+        both = take(24)
+        data += [" ".join(shared + both + take(29)) for _ in range(2)]
+    return data + [" ".join(shared + take(53)) for _ in range(singles)]
+
+
+def test_copies_inside_a_family_with_boilerplate(spark):
+    docs = spark.createDataFrame(list(enumerate(family(100, 1800))), "doc_id bigint, text string").repartition(8)
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(docs).select("doc_id").collect()}
+    assert kept == set(range(2000)) - set(range(1, 200, 2))
+
+
+def test_copies_are_found_in_any_order_of_shingles(spark, monkeypatch):
+    data = family(40, 20)
+    tokens, n = np.unique(np.concatenate([simhash.shingle_set(t, 5) for t in data]), return_counts=True)
+    # boilerplate counts as rarest, so that all texts stand under the same shingles
+    monkeypatch.setattr(simhash, "common_shingles", lambda docs, size: (tokens[n < 3], np.full((n < 3).sum(), 9)))
+    docs = spark.createDataFrame(list(enumerate(data)), "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(docs).select("doc_id").collect()}
+    assert kept == set(range(100)) - set(range(1, 80, 2))
+
+
 def test_long_texts_are_hashed_in_blocks(monkeypatch):
     text = some_text(random.Random(5), 3000)
     whole = simhash.fingerprint(text, 3, 2)
