@@ -5,12 +5,10 @@ the shingle hashes have it set. Documents with equal fingerprints are one class,
 and classes link at ``radius`` or fewer differing bits. Documents that reach each
 other by links are one component.
 
-Classes are compared inside buckets of equal bits under a mask. Two families of
-masks are there. ``Quarters`` is exact up to three differing bits: of four parts of
-the bits one must be equal; a bucket that is too large is divided by the four
-quarters of its other bits, again and again, which loses nothing. ``Bands`` is for
-wide radii: random bit positions, as many bands as a pair at the radius needs to
-share one with probability ``1 - MISS``.
+Classes are compared inside buckets of equal bits under a mask. The bits are cut into
+one part more than ``radius``, so that a linked pair has one part equal (of four parts
+at a radius of three); a bucket that is too large is divided by the parts of its other
+bits, again and again, which loses nothing.
 
 Inside a bucket the distances of every fingerprint to ``PIVOTS`` reference
 fingerprints are tabulated. By the triangle inequality a pair whose distances to
@@ -51,7 +49,6 @@ from rollcall.session import broadcast_if_small, materialize
 HASH_SEED = 42
 PIVOTS = 16
 BUCKET_ROWS = 2048  # a larger bucket is divided
-MISS = 0.001
 SAMPLE_ROWS = 20_000  # at least so many documents, or one in SAMPLED, tell which shingles are common
 SAMPLED = 16
 COMMON = 200_000
@@ -137,13 +134,11 @@ def _as_words(bits: np.ndarray, words: int) -> tuple[int, ...]:
     return tuple(int(x) for x in np.packbits(flags, bitorder="little").view("<i8"))
 
 
-class Quarters:
-    """Masks that are exact for up to three differing bits."""
+class Parts:
+    """Masks that are exact: of one part more than bits may differ, one is equal."""
 
-    parts = 4
-
-    def __init__(self, words: int):
-        self.words = words
+    def __init__(self, words: int, radius: int):
+        self.words, self.parts = words, radius + 1
 
     def roots(self) -> list[np.ndarray]:
         return self.children(np.array([], dtype=int))
@@ -153,31 +148,6 @@ class Quarters:
         return [np.concatenate([mask, p]) for p in np.array_split(left, self.parts)]
 
 
-class Bands:
-    """Masks of random bit positions for a wide radius; ``rows`` sets their width."""
-
-    def __init__(self, words: int, radius: int, rows: int, seed: int = 5):
-        self.words, self.rng = words, np.random.default_rng(seed)
-        self.same = 1 - radius * 0.75 / (64 * words)  # of one bit, for a pair well inside the radius
-        self.width = max(12, math.ceil(math.log2(max(rows, 2))) - 6)
-
-    def _count(self, width: int) -> int:
-        return math.ceil(math.log(MISS) / math.log(1 - self.same**width))
-
-    def _draw(self, left: np.ndarray, width: int, mask: np.ndarray) -> list[np.ndarray]:
-        width = min(width, len(left))
-        return [
-            np.concatenate([mask, self.rng.choice(left, width, replace=False)])
-            for _ in range(self._count(width))
-        ]
-
-    def roots(self) -> list[np.ndarray]:
-        return self._draw(np.arange(64 * self.words), self.width, np.array([], dtype=int))
-
-    def children(self, mask: np.ndarray) -> list[np.ndarray]:
-        return self._draw(np.setdiff1d(np.arange(64 * self.words), mask), 6, mask)
-
-
 def _keyed(rows: DataFrame, masks: list[tuple], words: int) -> DataFrame:
     """The rows under each mask of their parent: bucket key, mask number, class and fingerprint.
 
@@ -489,15 +459,15 @@ def near_groups(
     """doc_id, fingerprint (hex) and component_id (smallest id reachable) of every document.
 
     ``size`` words make a shingle; a fingerprint has 64 * ``words`` bits, and counts
-    repeated shingles each time if ``repeats``. Up to a radius of three the search
-    is exact; a wider one takes ``Bands``.
+    repeated shingles each time if ``repeats``. The search is exact; it is meant for a
+    radius of a few bits, as buckets grow with it.
     """
     names = [f"f{i}" for i in range(words)]
     made = materialize(fingerprints(docs, size, words, repeats), "simhash")
     classes = materialize(
         made.filter(F.col("doc_id").isNotNull()).groupBy(*names).agg(F.min("doc_id").alias("head")), "simhash-classes"
     )
-    family = Quarters(words) if radius <= 3 else Bands(words, radius, classes.count())
+    family = Parts(words, radius)
     found = components(class_links(classes, words, radius, family))
     groups = materialize(
         classes.join(found, F.col("head") == F.col("node"), "left").select(

@@ -176,6 +176,16 @@ def test_copies_are_found_in_any_order_of_shingles(spark, monkeypatch):
     assert kept == set(range(100)) - set(range(1, 80, 2))
 
 
+def test_short_texts_at_the_limit_are_found(spark):
+    data = []
+    for i in range(200):  # 4 of 5 shingles are exactly 0.8; 3 of 4 are less
+        words = [f"s{i}x{k}" for k in range(9)]
+        data += [" ".join(words), " ".join(words[:8]), " ".join(f"t{i}x{k}" for k in range(8)), " ".join(f"t{i}x{k}" for k in range(7))]
+    docs = spark.createDataFrame(list(enumerate(data)), "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(docs).select("doc_id").collect()}
+    assert kept == {i for i in range(800) if i % 4 != 1}
+
+
 def test_long_texts_are_hashed_in_blocks(monkeypatch):
     text = some_text(random.Random(5), 3000)
     whole = simhash.fingerprint(text, 3, 2)
