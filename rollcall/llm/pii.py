@@ -44,10 +44,11 @@ DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
+SPELLED_AT = re.compile(r"[\[(] ?at ?[\])]")  # in every spelled-out address
 SPELLED_EMAIL = re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,63}){1,4}")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,4}\)|[0-9]{2,5})[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])")
 TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.? [A-ZÀ-Þ][a-zß-ÿ]{1,30}(?: [A-ZÀ-Þ][a-zß-ÿ]{1,30})?")
-SECRET = re.compile(r"\b(?:token|password|passwd|secret|api[_-]?key)\b[ ]{0,3}[=:][ ]{0,3}[\"']?([^\s\"']{8,128})", re.I)
+SECRET = re.compile(r"\b(?:token|password|passwd|secret|api[_-]?key)\b[ ]{0,3}[=:][ ]{0,3}[\"']?([^\s\"']{8,}+)", re.I)
 
 DOMAINS = frozenset("com org net edu gov info io de fr es uk eu it nl ch at be ca us".split())
 COUNTRIES = ("1", "33", "34", "39", "41", "43", "44", "49", "31", "32", "351", "352", "353", "45", "46", "47", "48")
@@ -104,7 +105,7 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
 
 
 def loose_spans(text: str) -> Iterator[tuple[int, int, int]]:
-    if "at]" in text or "at)" in text:
+    if SPELLED_AT.search(text):
         yield from ((0, *m.span()) for m in SPELLED_EMAIL.finditer(text))
     yield from ((3, *m.span()) for m in LOCAL_PHONE.finditer(text))
     yield from ((4, *m.span()) for m in TITLED.finditer(text))

@@ -244,6 +244,15 @@ def test_long_runs_take_linear_time():
         pii.candidates(run)
 
 
+def test_loose_patterns_take_long_secrets_and_spaced_addresses():
+    key = "eyJ" + "aB3x" * 75
+    text = f"write to joe.doe [ at ] example [ dot ] com with token={key} or 'password: {key[:40]}' now"
+    spans = {(k, text[a:b]) for k, a, b in pii.loose_spans(text)}
+    assert spans == {(0, "joe.doe [ at ] example [ dot ] com"), (5, key), (5, key[:40])}
+    at = text.index(f"{key} or")
+    assert pii._decoded(pii.votes(text, 5, at, at + len(key), pii.NOTHING))[1][4] == pii.YES  # set off
+
+
 def test_personal_data_of_odd_rows_and_none(odd, none):
     model = pii.learn(odd)
     got = {r["doc_id"]: r["spans"] for r in pii.find(odd, model).collect()}
