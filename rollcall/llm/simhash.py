@@ -487,27 +487,34 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
     """The documents with one left of each group: the one with the smallest id.
 
     Texts are alike if their sets of distinct shingles of ``size`` words have a Jaccard
-    index of ``least`` or more; the search for such pairs is exact. Of rows that repeat
-    an id one stays; rows without an id can't be told apart and stay.
+    index of ``least`` or more; the search for such pairs is exact. A row is told by its id
+    and text, so an id with several texts may stay with some of them, and rows without
+    an id are compared like others and come last. Of rows equal in both one stays.
     """
-    made = materialize(copy_groups(docs, size, least), "copies-members")
-    first = made.groupBy(F.col("group").alias("_group")).agg(F.min("doc_id").alias("component_id"))
-    groups = made.join(broadcast_if_small(first, "copies-heads"), F.col("group") == F.col("_group"))
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    groups = materialize(copy_groups(docs, size, least), "copies-members")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("first_id"), F.col("t").alias("first_t"))
+    first = groups.groupBy(F.col("group").alias("_group")).agg(F.min(order).alias("f")).select("_group", "f.first_id", "f.first_t")
+    gone = (
+        groups.join(broadcast_if_small(first, "copies-heads"), F.col("group") == F.col("_group"))
+        .filter(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("t") == F.col("first_t"))))
+        .select(F.col("doc_id").alias("_gone"), F.col("t").alias("_gone_t")).distinct()
+    )
     repeated = (
-        groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count()
-        .filter(F.col("count") > 1).select("_again")
+        groups.groupBy(F.col("doc_id").alias("_again"), F.col("t").alias("_again_t")).count()
+        .filter(F.col("count") > 1).select("_again", "_again_t")
     )
     names = docs.columns
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("bigint").alias("_id")
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"),
     )
-    kept = rows.join(broadcast_if_small(gone, "simhash-gone"), F.col("_id") == F.col("_gone"), "left_anti")
-    again = broadcast_if_small(repeated, "simhash-again")
+    same = lambda i, t: F.col("_id").eqNullSafe(F.col(i)) & (F.col("_t") == F.col(t))
+    kept = rows.join(broadcast_if_small(gone, "copies-gone"), same("_gone", "_gone_t"), "left_anti")
+    again = broadcast_if_small(repeated, "copies-again")
     if not again.isEmpty():
-        one = kept.join(again, F.col("_id") == F.col("_again"), "left_semi").groupBy("_id").agg(
-            F.min_by("_row", F.xxhash64(F.coalesce("_row.text", F.lit("")))).alias("_row")
+        one = kept.join(again, same("_again", "_again_t"), "left_semi").groupBy("_id", "_t").agg(
+            F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")
         )
-        single = kept.join(again, F.col("_id") == F.col("_again"), "left_anti")
+        single = kept.join(again, same("_again", "_again_t"), "left_anti")
         kept = single.select("_row").unionByName(one.select("_row"))
     return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])

@@ -186,6 +186,15 @@ def test_short_texts_at_the_limit_are_found(spark):
     assert kept == {i for i in range(800) if i % 4 != 1}
 
 
+def test_repeated_ids_lose_only_copies(spark):
+    rng = random.Random(23)
+    a, b, c, d, e = (some_text(rng, 100) for _ in range(5))
+    data = [(1, a), (5, a), (5, b), (7, c), (7, d), (7, d), (None, e), (None, e), (None, c), (None, None), (None, "")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    kept = [(r["doc_id"], r["text"] or "") for r in simhash.drop_near_copies(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (5, b), (7, c), (7, d), (None, e), (None, "")], key=str)
+
+
 def test_long_texts_are_hashed_in_blocks(monkeypatch):
     text = some_text(random.Random(5), 3000)
     whole = simhash.fingerprint(text, 3, 2)
