@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, neighbours, order_minhash, packing, pii, quality, simhash, token_files, toxicity
+from rollcall.llm import (
+    chat, divergence, lexical, mixing, neighbours, order_minhash, packing, pii, quality, simhash, token_files, toxicity,
+    warc,
+)
 from rollcall.llm.common import held_out, table
 from rollcall.llm.tokens import default_path
 
@@ -168,3 +171,103 @@ def token_files_read_back(spark, sf):
 @query("op10_packing")
 def packed_sequences(spark, sf):
     return packing.pack(table(spark, sf, "documents"), default_path())
+
+
+@query("op11_warc_archives", sql="""
+with stored as (
+  select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes
+  from pages
+), placed as (
+  select *, row_number() over (partition by html order by page_id desc nulls last) as place,
+    max(page_id) over (partition by html) as first_page
+  from stored
+)
+select page_id, payload_bytes, sha1(html) as payload_digest,
+  case when payload_bytes >= 1000 and place > 1 then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and place > 1 then first_page end as refers_to
+from placed
+""")
+def warc_archives(spark, sf):
+    return warc.store_pages(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+FOUND_TERMS = "regexp_extract_all(" + LOWERED + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+LETTERS = "regexp_extract_all(" + LOWERED + ", '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op12_lexical_nra", sql=f"""
+with docs as (
+  select row_number() over () as d, doc_id, {FOUND_TERMS.format("text")} as terms from documents
+), sizes as (
+  select d, doc_id, len(terms)::hugeint as n from docs where len(terms) > 0
+), whole as (
+  select count(*)::hugeint as big_n, sum(n)::hugeint as big_l from sizes
+), query as (
+  select item_id, term, count(*) as qtf
+  from (select item_id, unnest({FOUND_TERMS.format("text")}) as term from benchmark) group by all
+), postings as (
+  select d, term, count(*) as tf from (select d, unnest(terms) as term from docs)
+  where term in (select term from query) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * big_n + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from postings, whole group by term, big_n
+), scored as (
+  select q.item_id, p.d,
+    sum(q.qtf * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * s.n * big_n) // big_l))))::bigint as score
+  from postings p join weights w using (term) join query q using (term) join sizes s using (d), whole
+  group by all
+), ranked as (
+  select item_id, doc_id, score,
+    row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank
+  from scored join sizes using (d) where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+""")
+def lexical_nra(spark, sf):
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op13_source_divergence", sql=f"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    {LETTERS.format("coalesce(text, '')")} as terms
+  from documents
+), groups as (
+  select distinct lang, source from docs
+), words as (
+  select lang, source, term, count(*)::hugeint as count, count(distinct d) as docs
+  from (select d, lang, source, unnest(terms) as term from docs) group by all
+), kept as (
+  select lang, term, sum(count)::hugeint as total from words group by lang, term having sum(docs) >= 30
+), of_lang as (
+  select lang, count(*)::hugeint as v, sum(total)::hugeint as lang_n from kept group by lang
+), cells as (
+  select g.lang, g.source, k.term, coalesce(w.count, 0)::hugeint as count, k.total
+  from groups g join kept k on g.lang = k.lang
+  left join words w on w.lang = g.lang and w.source = g.source and w.term = k.term
+), of_group as (
+  select lang, source, sum(count)::hugeint as n from cells group by all
+), priced as (
+  select c.lang, c.source, c.term, c.count,
+    1 + (1000000000::hugeint * (c.count + 5)) // (g.n + 5 * l.v) as p,
+    1 + (1000000000::hugeint * (c.total + 5)) // (l.lang_n + 5 * l.v) as q
+  from cells c join of_group g using (lang, source) join of_lang l using (lang)
+), apart as (
+  select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value
+  from priced x join priced y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join apart on apart.lang = a.lang and apart.source = a.source and apart.item = b.source
+  union all
+  select lang, source, 'term', term, (p - q)::bigint from priced where count > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found
+)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 50
+""")
+def source_divergence(spark, sf):
+    return divergence.divergence(table(spark, sf, "documents"))
