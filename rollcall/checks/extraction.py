@@ -103,6 +103,25 @@ def reply_ingest(spark, sf):
     return found.select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "model_name", "size")
 
 
+@check(
+    "reply_lookalikes",
+    """
+    select conv_id, turn, cast(0 as bigint) as pos, role || ' ' || turn as model_name, turn || 'B' as size from conversations
+    union all select conv_id, turn, 1, 'after', '{"model_name":"in"}' from conversations
+    """,
+)
+def reply_lookalikes(spark, sf):
+    """Texts that look like objects beside objects that repeat a key."""
+    content = F.concat(
+        F.lit('Found: ["{\\"model_name\\":\\"ghost\\"}", {"model_name":"first","size":"0B","model_name":"'),
+        "role", F.lit(" "), "turn", F.lit('","size":"'), "turn",
+        F.lit('B"}, ["{"], "{}", {"name":"other","model_name":"after","size":"{\\"model_name\\":\\"in\\"}"}] done'),
+    )
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", content.alias("content"))
+    found = X.ingest_replies(rows, ["conv_id", "turn"], "content")
+    return found.select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "model_name", "size")
+
+
 @check(
     "mention_lists",
     r"""

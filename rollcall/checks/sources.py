@@ -255,6 +255,31 @@ def damaged_records(spark, sf):
     return rows.join(broken, "file", "left").select("file", "pos", "name", F.coalesce("hit", F.lit(False)).alias("damaged"))
 
 
+@check(
+    "nested_records",
+    """
+    select cast(c_custkey as varchar) as file, cast(pos as bigint) as pos, c_name || pos as name, '{"y":' || c_custkey || '}' as inside
+    from customer, generate_series(0, 2) as g(pos) where c_custkey % 3 <> 1 or pos < 2
+    """,
+)
+def nested_records(spark, sf):
+    """Records that hold objects: whole arrays, arrays cut off after an inner object, keys said twice."""
+    inside = F.concat(F.lit(',"in":{"y":'), F.col("c_custkey"), F.lit("}"))
+    name = lambda i: F.concat(F.lit('{"name":"'), "c_name", F.lit(f'{i}"'), inside, F.lit("}"))
+    twice = lambda i: F.concat(F.lit('{"name":"first","in":{"z":0},"name":"'), "c_name", F.lit(f'{i}"'), inside, F.lit("}"))
+    kind = F.col("c_custkey") % 3
+    text = (
+        F.when(kind == 0, F.concat(F.lit("["), name(0), F.lit(","), name(1), F.lit(","), name(2), F.lit("]")))
+        .when(kind == 1, F.concat(F.lit("["), name(0), F.lit(","), name(1), F.lit(',{"name":"cut"'), inside, F.lit(',"q"')))
+        .otherwise(F.concat(F.lit("["), twice(0), F.lit(","), name(1), F.lit(","), twice(2), F.lit("]")))
+    )
+    files = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("file"), text.alias("text"))
+    record = F.col("record")
+    return R.parse_records(files).select(
+        "file", F.col("pos").cast("bigint").alias("pos"), record["name"].alias("name"), record["in"].alias("inside")
+    )
+
+
 @check(
     "article_persist",
     r"""

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions.text import as_col
-from rollcall.operators.rows import posexplode_rows
-
-_MAP = "map<string,string>"
+from rollcall.operators.jsontext import MAP, object_texts, records_of
+from rollcall.operators.rows import let, posexplode_rows
 
 
 def payload_text(html: Column | str) -> Column:
@@ -39,15 +38,11 @@ def _balanced(text: Column) -> Column:
     return F.when(end > 0, F.left(text, end)).otherwise(text)
 
 
-# an object without objects in it, whatever its texts hold
-FLAT_OBJECT = r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+")*+\}'
-
-
 def recover_objects(text: Column, pattern: str = S.PAYLOAD_OBJECT) -> Column:
     """Flat objects of a broken array that parse on their own; null when none does."""
     pieces = F.regexp_extract_all(text, F.lit(pattern), 0)
     parsed = F.filter(
-        F.transform(pieces, lambda p: F.from_json(p, _MAP)), lambda m: m.isNotNull() & (F.size(m) > 0)
+        F.transform(pieces, lambda p: F.from_json(p, MAP)), lambda m: m.isNotNull() & (F.size(m) > 0)
     )
     return F.when(F.size(parsed) > 0, parsed)
 
@@ -91,17 +86,18 @@ def reply_content(response: Column | str) -> Column:
 def array_objects(array: Column) -> Column:
     """The objects among the elements of a JSON array, as open records; null for no array.
 
-    Elements are taken by their type, so a text that looks like an object is none.
+    A text that looks like an object is none: only where one may stand, quotes and
+    brackets are followed through the array. Of a key that is said twice the last
+    value counts.
     """
-    items = F.from_json(array, "array<string>")
-    kinds = F.transform(
-        F.try_parse_json(array).try_cast("array<variant>"),
-        lambda v: F.schema_of_variant(v),
-    )
-    objects = F.filter(
-        items, lambda s, i: s.startswith("{") & F.coalesce(F.get(kinds, i).startswith("OBJECT"), F.lit(True))
-    )
-    return F.transform(objects, lambda s: F.from_json(s, _MAP))
+
+    def objects(whole: Column) -> Column:
+        items = F.from_json(whole, "array<string>")
+        lookalike = whole.rlike(r'"(?:\{|\\u007[bB])')
+        texts = F.when(lookalike, object_texts(whole)).otherwise(F.filter(items, lambda s: s.startswith("{")))
+        return F.when(items.isNotNull(), records_of(texts))
+
+    return let(array, objects)
 
 
 def reply_objects(content: Column | str) -> Column:

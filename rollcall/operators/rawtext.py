@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rollcall import schema as S
 from rollcall.functions.labels import flag_country
 from rollcall.functions.text import any_contains, strip
-from rollcall.operators.rows import inline_rows
+from rollcall.operators.rows import inline_rows, running
 from rollcall.session import materialize
 
 _MONTHS = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
@@ -45,43 +45,9 @@ def _at(lines: Column, i: Column) -> Column:
     return F.coalesce(F.get(lines, i), F.lit(""))
 
 
-_STRETCH = 256
-
-
-def _scan(values: Column, start: Column, step, kind: str) -> Column:
-    """The state after each element of a fold over integers, as an array.
-
-    A fold copies the array it has built at every step. It runs over stretches of
-    fixed length, and their results are joined once, so the work stays in
-    proportion to the array.
-    """
-    none = F.array().cast(f"array<{kind}>")
-    state = lambda out, last: F.struct(out.alias("out"), last.alias("last"))
-
-    def one(s: Column, v: Column) -> Column:
-        new = step(s["last"], v)
-        return state(F.array_append(s["out"], new), new)
-
-    def many(s: Column, part: Column) -> Column:
-        done = F.aggregate(part, state(none, s["last"]), one)
-        return F.transform(
-            F.array(done), lambda d: state(F.array_append(s["out"], d["out"]), d["last"])
-        )[0]
-
-    def whole(v: Column) -> Column:
-        stretches = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _STRETCH).cast("int")),
-            lambda k: F.slice(v, k * _STRETCH + 1, F.lit(_STRETCH)),
-        )
-        first = state(F.array().cast(f"array<array<{kind}>>"), start)
-        return F.when(F.size(v) > 0, F.flatten(F.aggregate(stretches, first, many)["out"])).otherwise(none)
-
-    return F.transform(F.array(values), whole)[0]  # the values are worked out once
-
-
 def _spaced(indexes: Column, gap: int) -> Column:
     """Greedy choice from left to right: the next index is at least ``gap`` further on."""
-    kept = _scan(indexes, F.lit(-gap), lambda last, i: F.when(i >= last + gap, i).otherwise(last), "int")
+    kept = running(indexes, F.lit(-gap), lambda last, i: F.when(i >= last + gap, i).otherwise(last), "int")
     return F.array_distinct(kept)
 
 
@@ -207,7 +173,7 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
     """
     lines = F.col("_l")
     is_date = lambda line: line.rlike(_DATE_LINE)
-    fill = lambda marks, start: _scan(marks, start, lambda last, i: F.coalesce(i, last), "int")
+    fill = lambda marks, start: running(marks, start, lambda last, i: F.coalesce(i, last), "int")
     cut = (
         files.select(file, _lines(text).alias("_l")).withColumn("_d", _indexes(lines, is_date))
         # for every line the date line up to it, and the next one from it on

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from rollcall import schema as S
 from rollcall.functions.dates import title_date
 from rollcall.functions.text import as_col, strip
-from rollcall.operators.extract import FLAT_OBJECT, array_objects, recover_objects
+from rollcall.operators.jsontext import object_texts, records_of, said_twice
 from rollcall.operators.rows import explode_rows, posexplode_rows
 
 
@@ -42,21 +42,23 @@ def whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def parse_records(files: DataFrame, text: str = "text") -> DataFrame:
     """JSON arrays of open objects, one row per object with its position.
 
-    Elements of other types are left out. A file that is no whole array gives the
-    flat objects that can be read on their own; :func:`damaged_files` names it.
+    Elements of other types are left out, and of a key that is said twice the last value
+    counts. A file that is no whole array gives the objects it holds whole, and
+    :func:`damaged_files` names it; objects inside an object are part of it, never records.
     """
     whole = F.from_json(text, S.RECORDS)
-    # only a file that is no array of objects is looked at again, element by element
-    loose = F.coalesce(array_objects(F.col(text)), recover_objects(F.col(text), FLAT_OBJECT))
+    # only a file that is no array of objects with keys of their own is looked at again, piece by piece
+    loose = records_of(object_texts(F.col(text)))
     parsed = files.select("file", text, whole.alias("_w"))
-    found = parsed.select("file", F.when(F.col("_w").isNotNull(), F.col("_w")).otherwise(loose).alias("_r"))
+    fine = F.col("_w").isNotNull() & ~F.coalesce(said_twice(F.col("_w")), F.lit(False))
+    found = parsed.select("file", F.when(fine, F.col("_w")).otherwise(loose).alias("_r"))
     return posexplode_rows(found, "_r", "pos", "record")
 
 
 def damaged_files(files: DataFrame, text: str = "text") -> DataFrame:
     """Files that hold no JSON array of objects alone: ``file`` and the ``objects`` read from each."""
     broken = files.filter(F.from_json(text, S.RECORDS).isNull())
-    found = F.coalesce(array_objects(F.col(text)), recover_objects(F.col(text), FLAT_OBJECT))
+    found = records_of(object_texts(F.col(text)))
     return broken.select("file", F.coalesce(F.size(found), F.lit(0)).cast("bigint").alias("objects"))
 
 
