@@ -7,5 +7,5 @@ table, raw texts and pages are composed from its rows and parsed back.
 
 from rollcall.checks.base import ORACLE, QUERIES  # noqa: F401
 from rollcall.checks import (  # noqa: F401
-    columns, extraction, filters, jobs, matching, merging, quality, reports, sources, upserts,
+    columns, extraction, filters, incremental, jobs, matching, merging, quality, reports, sources, upserts,
 )

@@ -1,8 +1,11 @@
 from pyspark.sql import functions as F
 
 from rollcall.checks.base import CATALOG_SQL, catalog, check, geography, names_in, table
+from rollcall.operators import dictionary as D
 from rollcall.operators import enrich as E
 from rollcall.operators import match as M
+from rollcall.operators.rows import let
+from rollcall.session import materialize
 
 BASE_URL = "http://example.com/models"
 
@@ -259,3 +262,42 @@ def unmatched_names(spark, sf):
     )
     index = M.loose_index(records, ["name"], "pos", ["balance"])
     return M.match_records(rows.select("row_id", "name"), "name", index).filter("matched is null").select("row_id")
+
+
+_ENTRIES = r"""
+entries as (
+  select distinct unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) as word
+  from (select string_split(html, ' ') as w from pages)
+  union
+  select distinct lower(unnest(regexp_extract_all(text, '[A-Z][a-z]{2,}'))) from documents
+)"""
+
+
+@check(
+    "dictionary_table",
+    f"""
+    with {_ENTRIES},
+    kept as (select word from entries where length(word) between 3 and 24 and trim(word) <> ''),
+    turns as (select conv_id || '/' || turn as turn_id, text from conversations),
+    hits as (select turn_id, count(*) as n from turns join kept on contains(text, word) group by turn_id)
+    select t.turn_id, h.n is not null as matched, coalesce(h.n, 0) as n from turns t left join hits h on t.turn_id = h.turn_id
+    """,
+)
+def dictionary_table(spark, sf):
+    """Word pairs of all pages and words of all documents, looked for anywhere in all turns."""
+    next_to = lambda w: F.zip_with(
+        F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b)
+    )
+    pairs = let(F.split("html", " ", -1), next_to)
+    words = F.transform(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{2,})"), 1), F.lower)
+    entries = (
+        table(spark, sf, "pages").select(F.explode(pairs).alias("word"))
+        .unionByName(table(spark, sf, "documents").select(F.explode(words).alias("word")))
+        .filter(F.length("word").between(3, 24))
+    )
+    turns = table(spark, sf, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("turn_id"), "text")
+    hits = materialize(D.dictionary_hits(turns, entries, "turn_id"), "hits")
+    counts = hits.groupBy(F.col("turn_id").alias("_id")).agg(F.count("*").alias("n"))
+    return D.flag_hits(turns, hits, "turn_id").join(counts, F.col("turn_id") == F.col("_id"), "left").select(
+        "turn_id", "matched", F.coalesce("n", F.lit(0)).alias("n")
+    )

@@ -1,8 +1,12 @@
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from rollcall.checks.base import catalog, check, table
 from rollcall.operators import merge as M
 from rollcall.operators import snapshots as D
+from rollcall.session import scratch_path
+from rollcall.sources.buckets import write_buckets
 
 TAGS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -159,17 +163,24 @@ def _sides(spark, sf):
     return new, old
 
 
-@check(
-    "snapshot_diff",
-    """
+_DIFF = """
     select c_name as key, case when c_acctbal >= 8000 then 'added' when c_acctbal >= 0 then 'kept' else 'missing' end as status
     from customer
-    """,
-)
+    """
+
+
+@check("snapshot_diff", _DIFF)
 def snapshot_diff(spark, sf):
     return D.diff_snapshots(*_sides(spark, sf))
 
 
+@check("snapshot_diff_buckets", _DIFF)
+def snapshot_diff_buckets(spark, sf):
+    """The same of two snapshots in buckets."""
+    stored = [write_buckets(df, f"side_{uuid4().hex}", scratch_path(spark, "side")) for df in _sides(spark, sf)]
+    return D.diff_buckets(*stored)
+
+
 @check(
     "snapshot_diff_counts",
     """

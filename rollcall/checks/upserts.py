@@ -1,10 +1,16 @@
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.checks.base import CATALOG_SQL, catalog, check, table
+from rollcall.functions.text import plain_key
 from rollcall.operators import review as R
+from rollcall.operators import upsert as U
 from rollcall.operators.upsert import upsert_fill as upsert
 from rollcall.operators.upsert import usable_mentions as usable
+from rollcall.session import scratch_path
+from rollcall.sources.buckets import write_buckets
 
 
 def _incoming(spark, sf):
@@ -58,9 +64,7 @@ def usable_mentions_fallback(spark, sf):
     return usable(_incoming(spark, sf), ["pos"], 19960101, 19991231, date_fallback=True).select("pos", "release_date")
 
 
-@check(
-    "upsert_fill",
-    f"""
+_UPSERT = f"""
     with {CATALOG_SQL}, {_USABLE},
     known as (
       select c.row_id, c.name,
@@ -81,8 +85,10 @@ def usable_mentions_fallback(spark, sf):
     select * from known
     union all
     select null, model_name, company, '国外', '开源', ' 9B ', website, 'from order', release_date, 'New', 'insert' from usable where fresh
-    """,
-)
+    """
+
+
+@check("upsert_fill", _UPSERT)
 def upsert_fill(spark, sf):
     rows = catalog(spark, sf).drop("balance")
     incoming = usable(_incoming(spark, sf), ["pos"], 19960101, 19991231)
@@ -92,6 +98,17 @@ def upsert_fill(spark, sf):
     )
 
 
+@check("upsert_buckets", _UPSERT)
+def upsert_buckets(spark, sf):
+    """The same from a catalog in buckets, which stays where it is."""
+    rows = catalog(spark, sf).drop("balance")
+    stored = write_buckets(rows, f"catalog_{uuid4().hex}", scratch_path(spark, "catalog"), plain_key("name"))
+    done = U.upsert_buckets(stored, usable(_incoming(spark, sf), ["pos"], 19960101, 19991231), created_at="2024-02-01")
+    return done.select(
+        "row_id", "name", "company", "region", "openness", "size", "website", "note", "released_at", "is_new", "change"
+    )
+
+
 def reviewed_rows(spark, sf):
     """All documents as catalog rows; the label of a document is its verdict."""
     n = F.col("n_chars")

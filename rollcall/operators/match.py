@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import labels
 from rollcall.functions.text import blank_to_null, fold_key, loose_key, plain_key
+from rollcall.operators.bitmap import join_keys
 from rollcall.operators.dedupe import drop_blank, first_wins
 from rollcall.operators.rows import explode_rows
 from rollcall.session import broadcast_if_small, materialize
@@ -30,7 +31,7 @@ def _grams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return _pieces(df, key, F.filter(F.split(text, ""), lambda c: c != ""), n)
 
 
-SIZES = (5, 8, 12, 18, 27, 40, 60, 90, 135, 200)
+SIZES = (1, 2, 3, 4, 5, 8, 12, 18, 27, 40, 60, 90, 135, 200)
 
 
 def _size_of(text: str, min_len: int) -> Column:
@@ -79,10 +80,10 @@ def _hold(pieces: DataFrame, anchors: DataFrame, key: str, entry: str) -> DataFr
     """Distinct (key, entry) pairs whose pieces meet.
 
     There is one anchor row per entry but a piece for every few characters of
-    text: when the anchors are small the pieces never leave their task.
+    text: when the anchors are small the pieces never leave their task, and when
+    they are not, only pieces the anchors' bitmap lets through do.
     """
-    anchors = broadcast_if_small(anchors, "anchors")
-    return pieces.join(anchors, "piece").select(key, entry).distinct()
+    return join_keys(pieces, anchors, "piece", "anchors").select(key, entry).distinct()
 
 
 def contained_names(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN) -> DataFrame:

@@ -29,7 +29,7 @@ def concat_rows(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def _source_list(tags: list[str]) -> Column:
+def source_list(tags: list[str]) -> Column:
     """How often each source held the entity, in priority order; sources without a tag count as one."""
     named = enumerate([*tags, S.OTHER_SOURCE])
     entries = [F.struct(F.lit(t).alias("source"), F.col(f"_n{i}").alias("n")) for i, t in named]
@@ -82,7 +82,7 @@ def merge_records(
     return merged.select(
         key,
         *[pick(f).alias(f) for f in fields],
-        _source_list(tags).alias("sources"),
+        source_list(tags).alias("sources"),
         F.col("_first").alias("first_seen"),
     )
 
@@ -133,5 +133,5 @@ def merge_open_records(
         kept, lambda c: F.struct(c["field"], F.coalesce(F.when(held(c), c["_last"]), c["value"]).alias("value"))
     )
     return merged.select(
-        key, F.map_from_entries(entries).alias(record), _source_list(tags).alias("sources"), "first_seen"
+        key, F.map_from_entries(entries).alias(record), source_list(tags).alias("sources"), "first_seen"
     )

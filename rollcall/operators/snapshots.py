@@ -9,6 +9,7 @@ from rollcall import schema as S
 from rollcall.functions.text import exact_key
 from rollcall.operators.dedupe import drop_blank, first_wins
 from rollcall.session import broadcast_if_small
+from rollcall.sources.buckets import has_key
 
 ADDED, KEPT, MISSING = "added", "kept", "missing"
 
@@ -30,6 +31,15 @@ def diff_snapshots(new: DataFrame, old: DataFrame, key: Column | str = "name") -
     )
 
 
+def diff_buckets(new: DataFrame, old: DataFrame, key: str = "_key") -> DataFrame:
+    """:func:`diff_snapshots` of two snapshots in buckets: each bucket is compared where it lies."""
+    side = lambda df, n: df.filter(has_key(key)).groupBy(F.col(key).alias("key")).agg(F.count("*").alias(n))
+    in_new, in_old = F.col("n_new").isNotNull(), F.col("n_old").isNotNull()
+    return side(new, "n_new").join(side(old, "n_old"), "key", "full").select(
+        "key", F.when(in_new & in_old, KEPT).when(in_new, ADDED).otherwise(MISSING).alias("status")
+    )
+
+
 def diff_counts(diff: DataFrame) -> DataFrame:
     return diff.agg(
         F.count_if(F.col("status") != MISSING).alias("new_total"),

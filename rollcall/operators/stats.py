@@ -103,6 +103,11 @@ def coverage(df: DataFrame, columns: list[str], mode: str = "not_null") -> DataF
         F.count("*").alias("total"),
         *[F.count_if(filled(c, mode)).alias(f"_{i}") for i, c in enumerate(columns)],
     )
+    return coverage_rows(wide, columns)
+
+
+def coverage_rows(wide: DataFrame, columns: list[str]) -> DataFrame:
+    """A row for each column from ``total`` and the filled cells of the columns, ``_0`` and so on."""
     cells = F.array(
         *[F.struct(F.lit(c).alias("field"), F.col(f"_{i}").alias("filled")) for i, c in enumerate(columns)]
     )

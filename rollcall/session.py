@@ -103,6 +103,13 @@ def row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def measured(df: DataFrame, label: str) -> tuple[DataFrame, int, bool]:
+    """The frame written out, its rows, and whether it is small enough to broadcast."""
+    table = materialize(df, label)
+    rows, size = table.agg(F.count("*"), F.sum(row_bytes(table))).first()
+    return table, rows, rows <= BROADCAST_ROWS and (size or 0) + 32 * rows <= BROADCAST_BYTES
+
+
 def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     """The frame written out and measured, with a broadcast hint when it is small.
 
@@ -110,7 +117,5 @@ def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     texts: known before the join starts, a small side spares the large one its
     shuffle. A side above the limits is joined by shuffle as usual.
     """
-    table = materialize(df, label)
-    rows, size = table.agg(F.count("*"), F.sum(row_bytes(table))).first()
-    small = rows <= BROADCAST_ROWS and (size or 0) + 32 * rows <= BROADCAST_BYTES
+    table, _, small = measured(df, label)
     return F.broadcast(table) if small else table

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +41,19 @@ def snapshots(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
+def snapshot_dates(spark: SparkSession, table: str) -> list[str]:
+    """Dates of the stored snapshots, oldest first, from the names of their folders alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(unquote(n.split("=", 1)[1]) for n in names if n.startswith("snapshot_date="))
+
+
 def previous_snapshot(spark: SparkSession, table: str, before: str) -> DataFrame:
-    """Rows of the newest snapshot older than ``before``."""
-    older = snapshots(spark, table).filter(F.col("snapshot_date") < before)
-    day = older.agg(F.max("snapshot_date")).first()[0]
-    return older.filter(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")
+    """Rows of the newest snapshot older than ``before``; no other one is read."""
+    older = [d for d in snapshot_dates(spark, table) if d < before]
+    day = F.lit(older[-1]) if older else F.lit(None).cast("string")
+    return snapshots(spark, table).filter(F.col("snapshot_date") == day).drop("snapshot_date")
 
 
 def write_records(df: DataFrame, path: str) -> None:
