@@ -2,8 +2,8 @@
 
 Strict patterns find the base spans (email, ip, card, phone), which always stay. They
 and looser patterns propose candidates. Five labelers vote on each candidate, yes, no
-or nothing: the strict format, a gazetteer (top-level domains, country codes, titles
-and given names), words before it, words around it that speak against it, and the way
+or nothing: the strict format, a gazetteer (top-level domains, country codes, forms of
+address), words before it, words around it that speak against it, and the way
 it is set off from its neighbours. Expectation-maximisation over the counts of all
 vote patterns in the whole corpus estimates how reliable each labeler is, and its
 posteriors train a logistic classifier of spans. A loose candidate with a probability
@@ -45,9 +45,9 @@ DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 SPELLED_AT = re.compile(r"[\[(] ?at ?[\])]")  # in every spelled-out address
-SPELLED_EMAIL = re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,63}){1,4}")
+SPELLED_EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]++)++")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,4}\)|[0-9]{2,5})[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])")
-TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.? [A-ZÀ-Þ][a-zß-ÿ]{1,30}(?: [A-ZÀ-Þ][a-zß-ÿ]{1,30})?")
+TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.? [A-ZÀ-Þ][a-zß-ÿ]++(?: [A-ZÀ-Þ][a-zß-ÿ]++)?")
 SECRET = re.compile(r"\b(?:token|password|passwd|secret|api[_-]?key)\b[ ]{0,3}[=:][ ]{0,3}[\"']?([^\s\"']{8,}+)", re.I)
 
 DOMAINS = frozenset("com org net edu gov info io de fr es uk eu it nl ch at be ca us".split())
@@ -88,7 +88,7 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
         parts, start = m.group().split("."), m.start()
         for i in range(0, len(parts) - 3, 4):
             end = start + sum(map(len, parts[i : i + 4])) + 3
-            fine = all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in parts[i : i + 4])
+            fine = all(len(p := part.lstrip("0")) < 4 and int(p or 0) <= 255 for part in parts[i : i + 4])
             (good if fine else failed).append((1, start, end))
             start = end + 1
     for m in DIGITS.finditer(text):
