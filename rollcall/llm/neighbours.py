@@ -19,7 +19,9 @@ that finds fewer neighbours than it should have is compared with all vectors, in
 blocks too.
 
 Nulls and odd input: vectors that are null, zero, of another length than most, or
-hold a null or non-finite component take no part, nor do rows without an id; rows
+hold a null or non-finite component take no part, nor do rows without an id; finite
+components of any size do, and a score beyond what a double holds is infinite (lowest, if
+its parts overflow to both sides); rows
 that repeat an id are one candidate, with the better score, and a query that repeats
 is one query, with its best scores; an empty table gives an empty result. Columns
 other than vec_id and embedding are not read.
@@ -73,12 +75,24 @@ def _orthonormal(rng: np.random.Generator, dims: int, count: int) -> np.ndarray:
     return np.stack(made, axis=1)
 
 
+def scaled(x: np.ndarray, exponent: int | None = None) -> np.ndarray:
+    """Vectors times a power of two, so that products neither overflow nor vanish.
+
+    Rows take the one of all vectors; a query takes its own, which changes the order of its
+    candidates as little as its length does. Without under- or overflow nothing is rounded.
+    """
+    if exponent is None:
+        exponent = np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None]
+    return np.ldexp(x, -exponent)
+
+
 class Hashes:
     """The tables' projections, and buckets and probes of vectors."""
 
     def __init__(self, dims: int, count: int, longest: float, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.longest, self.count = longest, min(count, dims + 1)
+        self.exponent = 0  # vectors are scaled by this power of two before anything is squared
         self.directions = [_orthonormal(rng, dims + 1, self.count) for _ in range(TABLES)]
         self.shifts = rng.random((TABLES, self.count))
         self.width, self.probes = np.ones(TABLES), 1
@@ -117,7 +131,7 @@ class Hashes:
         return self.key(np.floor(places)[:, None, :] + self.steps[order])
 
     def floors(self, ids: list[int], x: np.ndarray) -> np.ndarray:
-        """Of each query, a score that its k-th best candidate reaches at least."""
+        """Of each scaled query, a scaled score that its k-th best candidate reaches at least."""
         own_ids, sample, k = self.sample
         score = np.einsum("ij,kj->ik", x, sample)
         score[np.array(ids)[:, None] == own_ids] = -np.inf
@@ -127,14 +141,14 @@ class Hashes:
         return least - 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
 
     def fit(self, ids: np.ndarray, sample: np.ndarray, total: int, k: int) -> None:
-        """Cell width and number of probes, from a sample of the vectors."""
+        """Cell width and number of probes, from a sample of the vectors as they are."""
+        some, sample = scaled(sample[:SAMPLE_QUERIES]), scaled(sample, self.exponent)
         once = np.unique(ids, return_index=True)[1]  # rows that repeat an id are one candidate
         self.sample = (ids[once], sample[once], k)
         rows = self.rows(sample)
         for t in range(TABLES):
             spread = np.einsum("ij,jk->ik", rows, self.directions[t]).std()
             self.width[t] = WIDTH * max(float(spread), 1e-12)
-        some = sample[:SAMPLE_QUERIES]
         score = np.einsum("ij,kj->ik", some, sample)
         score[np.arange(len(some)), np.arange(len(some))] = -np.inf
         near = min(len(sample) - 1, max(1, math.ceil(k * len(sample) / total)))
@@ -174,7 +188,7 @@ def _keyed(vectors: DataFrame, hashes: Hashes | None, is_query: bool) -> DataFra
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                x = _matrix(part.column(1))
+                x = scaled(_matrix(part.column(1)), None if is_query else hashes.exponent)
                 floor = hashes.floors(part.column(0).to_pylist(), x) if is_query else np.zeros(len(x))
                 for t in range(TABLES):
                     keys = hashes.visits(x, t) if is_query else hashes.key(np.floor(hashes.places(hashes.rows(x), t)))[:, None]
@@ -189,22 +203,36 @@ def _keyed(vectors: DataFrame, hashes: Hashes | None, is_query: bool) -> DataFra
 
 
 def best_pairs(
-    q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
+    q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, exponent: int = 0
 ) -> pd.DataFrame:
-    """The k best candidates of every query among these rows, ties to smaller ids, none below its floor."""
-    parts = []
+    """The k best candidates of every query among these rows, ties to smaller ids, none below its floor.
+
+    Candidates are told apart by scaled products; those near the k-th get their exact score.
+    Where exact scores may be infinite, all are worked out, as scaled ones would part equals.
+    """
+    parts, small = [], scaled(x, exponent)
+    most = float(np.abs(x).max(initial=0))
+
+    def exactly(q: np.ndarray, y: np.ndarray) -> np.ndarray:
+        total = np.zeros(np.broadcast_shapes(q.shape[:-1], y.shape[:-1]))
+        with np.errstate(over="ignore", invalid="ignore"):
+            for j in range(x.shape[1]):  # summed in one order everywhere, so that equal pairs score equally
+                total += q[..., j] * y[..., j]
+        return np.where(np.isnan(total), -np.inf, total)  # overflow to both sides
+
     for at in range(0, len(q_ids), 512):
         own, some = q_ids[at : at + 512], q[at : at + 512]
-        rough = some @ x.T
-        rough[own[:, None] == ids] = -np.inf
+        huge = math.log2(max(most, 1)) + math.log2(max(float(np.abs(some).max(initial=0)), 1)) + x.shape[1].bit_length() > 1023
+        rough = exactly(some[:, None], x[None]) if huge else scaled(some) @ small.T
+        others = own[:, None] != ids
+        rough[~others] = -np.inf
         keep = min(k, len(ids))
         least = np.partition(rough, len(ids) - keep, axis=1)[:, len(ids) - keep]
         least = least - 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
-        least = np.maximum(least, floor[at : at + 512] - 1e-9)
-        qi, xi = np.nonzero((rough >= least[:, None]) & np.isfinite(rough))
-        exact = np.zeros(len(qi))
-        for j in range(x.shape[1]):  # summed in one order everywhere, so that equal pairs score equally
-            exact += some[qi, j] * x[xi, j]
+        if not huge:
+            least = np.maximum(least, floor[at : at + 512] - 1e-9)
+        qi, xi = np.nonzero((rough >= least[:, None]) & others)
+        exact = exactly(some[qi], x[xi])
         order = np.lexsort((ids[xi], -exact, qi))
         qi, xi, exact = qi[order], xi[order], exact[order]
         rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
@@ -213,7 +241,7 @@ def best_pairs(
     return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
-def _search(rows: DataFrame, queries: DataFrame, hashes: Hashes | None, k: int) -> DataFrame:
+def _search(rows: DataFrame, queries: DataFrame, hashes: Hashes | None, k: int, exponent: int) -> DataFrame:
     """Best candidates of each query in each block of each bucket it visits."""
     indexed = materialize(_keyed(rows, hashes, False), "ann-rows")
     asked = materialize(_keyed(queries, hashes, True), "ann-queries")
@@ -235,7 +263,7 @@ def _search(rows: DataFrame, queries: DataFrame, hashes: Hashes | None, k: int)
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return best_pairs(
             q["vec_id"].to_numpy(), np.stack(q["embedding"].to_numpy()), q["floor"].to_numpy(),
-            x["vec_id"].to_numpy(), np.stack(x["embedding"].to_numpy()), k,
+            x["vec_id"].to_numpy(), np.stack(x["embedding"].to_numpy()), k, exponent,
         )
 
     groups = [*key, "rb", "qb"]
@@ -257,20 +285,26 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     spark = vectors.sparkSession
     ship(spark)
     rows, asked = usable(vectors), usable(queries)
-    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    total, longest, dims = rows.agg(F.count("*"), F.sqrt(F.max(square)), F.max(F.size("embedding"))).first()
+    largest = F.array_max(F.transform("embedding", F.abs))
+    total, biggest, dims = rows.agg(F.count("*"), F.max(largest), F.max(F.size("embedding"))).first()
     if not total:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    exponent = math.frexp(biggest)[1]
+    # in two steps, as one factor may be beyond what a double holds
+    half = F.lit(2.0 ** -(exponent // 2)), F.lit(2.0 ** -(exponent - exponent // 2))
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + F.pow(x * half[0] * half[1], 2))
+    longest = rows.agg(F.sqrt(F.max(square))).first()[0]
     count = math.ceil(math.log(max(total / BUCKET_ROWS, 1.01)) / math.log(CELLS))
     hashes = Hashes(dims, min(max(count, 1), MAX_HASHES), longest)
+    hashes.exponent = exponent
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     hashes.fit(np.array([r["vec_id"] for r in sample]), np.array([r["embedding"] for r in sample]), total, k)
-    first = materialize(_ranked(_search(rows, asked, hashes, k), k), "ann-found")
+    first = materialize(_ranked(_search(rows, asked, hashes, k, exponent), k), "ann-found")
     enough = min(k, total - 1)
     full = first.filter(F.col("rank") == enough).select(F.col("query_id").alias("vec_id"))
     short = materialize(asked.join(broadcast_if_small(full, "ann-full"), "vec_id", "left_anti"), "ann-short")
     if enough < 1 or short.isEmpty():
         return first
-    again = _ranked(_search(rows, short, None, k), k)
+    again = _ranked(_search(rows, short, None, k, exponent), k)
     asked_again = short.select(F.col("vec_id").alias("query_id"))
     return first.join(asked_again, "query_id", "left_anti").unionByName(again)
