@@ -165,7 +165,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> bytes |
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = [chosen.filter(F.col("_class") == c).orderBy(*order).limit(PER_CLASS) for c in sorted(counts)]
     sample = picked[0] if len(picked) == 1 else picked[0].unionByName(picked[1])
-    texts = training_texts(docs, sample.select("_id", "_label"))
+    texts = training_texts(docs, sample)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
