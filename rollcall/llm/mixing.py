@@ -8,7 +8,8 @@ row for each source comes out of this, so the documents are never shuffled.
 
 Nulls and odd input: a missing text has size 0 and is never taken; a missing
 source is a source of its own, last in order; rows with the same id (or none) have
-the same key and, at the cut, share what is left evenly, rounded down; an empty
+keys of their own by their texts, and only rows equal in both, at the cut, share what is
+left evenly, rounded down; an empty
 table gives an empty result. Columns other than id, text and
 source are not read.
 """
@@ -89,6 +90,11 @@ def cuts(sized: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+def row_key(seed: int) -> Column:
+    """Hash-random key of a row, by its id and text."""
+    return hash_key(F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), seed=seed)
+
+
 def mix_plan(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
@@ -96,7 +102,7 @@ def mix_plan(
     sized = materialize(
         docs.select(
             "doc_id", "source", word_count(F.col("text")).alias("size"),
-            hash_key(F.col("doc_id"), seed=seed).alias("key"),
+            row_key(seed).alias("key"),
         ),
         "mix-sizes",
     )
@@ -153,7 +159,7 @@ def mix_documents(
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(
         row, F.col("source").alias("_src"), word_count(F.col("text")).alias("_size"),
-        hash_key(F.col("doc_id"), seed=seed).alias("_key"),
+        row_key(seed).alias("_key"),
     )
     chosen = rows.join(plan, F.col("_src").eqNullSafe(F.col("_source"))).select(
         "_row", "_size", taken(F.col("_size"), F.col("_key")).alias("_taken")

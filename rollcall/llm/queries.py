@@ -32,7 +32,7 @@ def query(name: str, sql: str | None = None):
 with sized as (
   select doc_id, source,
     coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
-    ('0x' || substr(md5('17:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as key
+    ('0x' || substr(md5('17:' || coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))), 1, 15))::bigint as key
   from documents
 ), sources as (
   select source, sum(size)::bigint as source_size,
