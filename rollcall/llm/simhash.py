@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import ship
 from rollcall.llm.components import components
+from rollcall.operators.bitmap import join_keys
 from rollcall.session import broadcast_if_small, materialize
 
 HASH_SEED = 42
@@ -360,7 +361,9 @@ def shingle_classes(docs: DataFrame, size: int, least: float) -> DataFrame:
 
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text"
-    ).mapInArrow(run, "doc_id bigint, t bigint, cls bigint, n bigint, prefix array<bigint>")
+    ).mapInArrow(run, "doc_id bigint, t bigint, cls bigint, n bigint, prefix array<bigint>").withColumn(
+        "row", F.monotonically_increasing_id()  # fixed by being written
+    )
 
 
 def alike(docs: DataFrame, classes: DataFrame, links: DataFrame, size: int, least: float) -> DataFrame:
@@ -409,13 +412,22 @@ def copy_groups(docs: DataFrame, size: int, least: float) -> DataFrame:
     """
     rows = materialize(shingle_classes(docs, size, least), "copies-rows")
     classes = materialize(
-        rows.groupBy("cls").agg(F.min("t").alias("t"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
-        "copies-classes",
+        rows.groupBy("cls").agg(F.min("t").alias("t"), F.min("n").alias("n"), F.min("row").alias("row")), "copies-classes"
+    )
+    heads = broadcast_if_small(classes.select("row"), "copies-heads")  # the prefixes stay where they are
+    keys = rows.select("row", "cls", "n", "prefix").join(heads, "row", "left_semi").select(
+        "cls", "n", F.posexplode("prefix").alias("pos", "token")
     )
-    keys = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
     ends = keys.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo != hi")
-    shared = materialize(keys.join(broadcast_if_small(ends, "copies-ends"), "token"), "copies-shared")
-    first = materialize(_pairs(shared.select(F.col("cls").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))), "copies-first")
+    shared = materialize(join_keys(keys, ends, "token", "copies-ends"), "copies-shared")
+    sizes = broadcast_if_small(classes.select(F.col("cls").alias("b"), F.col("n").alias("_n")), "copies-sizes")
+    # sets whose sizes, or what is left of them after the shingle, are too far apart are not alike
+    most = F.least(F.col("n") - F.col("pos"), F.col("_n")) * (1 + least)
+    first = (
+        shared.select("cls", "n", "pos", F.explode(F.array("lo", "hi")).alias("b")).filter("cls != b")
+        .join(sizes, "b").filter(most >= (F.col("n") + F.col("_n")) * least - 1e-6)
+    )
+    first = materialize(_pairs(first.select(F.col("cls").alias("a"), "b")), "copies-first")
     good = alike(docs, classes, first, size, least)
 
     joined = components(good)
