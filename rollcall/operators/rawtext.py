@@ -18,6 +18,7 @@ from rollcall.functions.text import any_contains, strip
 from rollcall.operators.rows import inline_rows, running
 from rollcall.session import materialize
 
+# fixed values: month and date forms, licence words and the columns of the layouts
 _MONTHS = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
 _DATE_LINE = rf"^{_MONTHS}\s+\d{{1,2}},\s+\d{{4}}$"
 _RELEASED = rf"^{_MONTHS}\.\s*\d{{4}}"
@@ -173,14 +174,7 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
     """
     lines = F.col("_l")
     is_date = lambda line: line.rlike(_DATE_LINE)
-    fill = lambda marks, start: running(marks, start, lambda last, i: F.coalesce(i, last), "int")
-    cut = (
-        files.select(file, _lines(text).alias("_l")).withColumn("_d", _indexes(lines, is_date))
-        # for every line the date line up to it, and the next one from it on
-        .withColumn("_m", F.transform(lines, lambda line, i: F.when(is_date(line), i)))
-        .withColumn("_before", fill(F.col("_m"), F.lit(-1)))
-        .withColumn("_after", F.reverse(fill(F.reverse("_m"), F.size("_m"))))
-    )
+    cut = files.select(file, _lines(text).alias("_l")).withColumn("_d", _indexes(lines, is_date))
 
     opens = F.filter(
         F.transform(
@@ -202,16 +196,25 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
     # company, model, type, licence, company again, dot and age: no block is shorter
     cut = cut.withColumn("_s", F.when(F.size("_d") > 0, _spaced(opens, 7)))
     ends = F.concat(F.slice("_s", F.lit(2), F.greatest(F.size("_s") - 1, F.lit(0))), F.array(F.size("_l")))
+    # the date line before every start and the one after it, from dates and starts alone, in their order
+    event = lambda date: lambda i: F.struct(i.alias("at"), F.lit(date).alias("date"))
+    cut = cut.withColumn("_e", F.array_sort(F.concat(F.transform("_d", event(True)), F.transform("_s", event(False)))))
+    last = lambda at, e: F.when(e["date"], e["at"]).otherwise(at)
+    cut = cut.withColumns({
+        "_before": running(F.col("_e"), F.lit(-1), last, "int"),
+        "_after": F.reverse(running(F.reverse("_e"), F.size("_l"), last, "int")),
+    })
+    around = F.arrays_zip(F.col("_e").alias("e"), F.col("_before").alias("before"), F.col("_after").alias("after"))
+    cut = cut.withColumn("_w", F.filter(around, lambda w: ~w["e"]["date"]))
 
     def block(s: Column) -> Column:
         i, end = s["a"], s["b"]
-        stop = F.get("_after", i)
-        rest = F.slice(lines, i + 5, F.least(F.least(end, stop) - i - 4, F.lit(5)))
+        rest = F.slice(lines, i + 5, F.least(F.least(end, s["w"]["after"]) - i - 4, F.lit(5)))
         scores = F.filter(rest, lambda line: line.contains("GPQA:"))
         lic = _at(lines, i + 3)
         return F.struct(
             i.alias("line"),
-            _at(lines, F.get("_before", i)).alias("date"),
+            _at(lines, s["w"]["before"]).alias("date"),
             _at(lines, i + 1).alias("model"),
             _at(lines, i).alias("company"),
             _at(lines, i + 2).alias("release_type"),
@@ -221,7 +224,7 @@ def parse_timeline(files: DataFrame, file: str = "file", text: str = "text") ->
             ).alias("gpqa"),
         )
 
-    spans = F.arrays_zip(F.col("_s").alias("a"), ends.alias("b"))
+    spans = F.arrays_zip(F.col("_s").alias("a"), ends.alias("b"), F.col("_w").alias("w"))
     found = cut.select(file, F.when(F.size("_s") > 0, F.transform(spans, block)).alias("_b"))
     return inline_rows(found, "_b", "line")
 
