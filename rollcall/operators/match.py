@@ -42,12 +42,16 @@ def _size_of(text: str, min_len: int) -> Column:
     return size
 
 
-def _name_runs(df: DataFrame, key: str, text: str, sizes: Column) -> DataFrame:
-    """All character runs of a short text, in each of the sizes, as ``(key, piece)`` hashes."""
+def _name_runs(df: DataFrame, key: str, text: str, sizes: Column, side: Column | None = None) -> DataFrame:
+    """All character runs of a short text, in each of the sizes, as ``(key, piece)`` hashes.
+
+    Runs of different ``side`` have different hashes.
+    """
+    more = [] if side is None else [side]
     runs = F.flatten(F.transform(
         F.filter(sizes, lambda n: F.length(text) >= n),
         lambda n: F.transform(
-            F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.xxhash64(F.substr(F.col(text), i, n))
+            F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.xxhash64(F.substr(F.col(text), i, n), *more)
         ),
     ))
     return explode_rows(df.select(F.col(key), runs.alias("_r")), "_r", "piece")
@@ -112,27 +116,45 @@ def name_candidates(longs: DataFrame, shorts: DataFrame, min_len: int = MIN_LEN)
     return _hold(_name_runs(longs, "long", "long", wanted), anchors, "long", "short")
 
 
-def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
+def _either_way(keys: DataFrame, index: DataFrame, min_len: int) -> DataFrame:
+    """Distinct (key, index_key) pairs of which one contains the other.
+
+    Both directions are one search: each name is looked up by its rarest run among the runs
+    of the other side's names.
+    """
+    names = keys.select(F.lit(True).alias("is_key"), F.col("key").alias("name")).unionByName(
+        index.select(F.lit(False).alias("is_key"), F.col("index_key").alias("name"))
+    )
+    names = names.withColumns({"_n": _size_of("name", min_len), "entry": F.struct("is_key", "name")})
+    sizes = sorted(r["_n"] for r in names.select("_n").distinct().collect())  # at most one for each of SIZES
+    wanted = F.array(*[F.lit(n) for n in sizes]).cast("array<int>")
+    anchors = _rarest(_name_runs(names, "entry", "name", F.array("_n"), F.col("is_key")), "entry")
+    runs = _name_runs(names.withColumnRenamed("name", "long"), "long", "long", wanted, ~F.col("is_key"))
+    short, long = F.col("entry")["name"], F.col("long")
+    found = _hold(runs, anchors, "long", "entry").filter(long.contains(short))
+    is_key = F.col("entry")["is_key"]
+    return found.select(
+        F.when(is_key, short).otherwise(long).alias("key"), F.when(is_key, long).otherwise(short).alias("index_key")
+    )
+
+
+def containment_match(left: DataFrame, index: DataFrame, min_len: int = MIN_LEN, written: bool = False) -> DataFrame:
     """First index entry, by position, that contains a left key or is contained in it.
 
     ``left`` has ``key``; ``index`` has ``index_key`` (unique) and ``index_pos``.
     Returns ``key, index_key, index_pos``. Both directions are joined through
     grams, and the winner is a partial aggregate, so neither a name contained in
     a large part of the index nor its mirror image gathers in one task.
+    ``written`` says that both sides are read from tables and cheap to read again.
     """
-    # both sides are read several times below
-    keys = materialize(left.select("key").distinct().filter(F.length("key") >= min_len), "keys")
+    keys = left.select("key").distinct().filter(F.length("key") >= min_len)
+    index = index.select("index_key", "index_pos").filter(F.length("index_key") >= min_len)
+    if not written:  # both sides are read several times below
+        keys, index = materialize(keys, "keys"), materialize(index, "index")
     if keys.isEmpty():
         return index.select(F.col("index_key").alias("key"), "index_key", "index_pos").filter(F.lit(False))
-    index = materialize(index.select("index_key", "index_pos").filter(F.length("index_key") >= min_len), "index")
-    inside = contained_names(
-        keys.select(F.col("key").alias("long")), index.select(F.col("index_key").alias("short")), min_len
-    ).select(F.col("long").alias("key"), F.col("short").alias("index_key"))
-    around = contained_names(
-        index.select(F.col("index_key").alias("long")), keys.select(F.col("key").alias("short")), min_len
-    ).select(F.col("short").alias("key"), F.col("long").alias("index_key"))
     return (
-        inside.unionByName(around)
+        _either_way(keys, index, min_len)
         .join(index, "index_key")
         .groupBy("key")
         .agg(F.min_by(F.struct("index_key", "index_pos"), "index_pos").alias("_hit"))
@@ -200,7 +222,7 @@ def match_records(mentions: DataFrame, name: str, index: DataFrame) -> DataFrame
     )
     keys = materialize(keys, "matched")
     missed = keys.filter(F.col("matched").isNull()).select("key")
-    close = containment_match(missed, index).join(records, "index_key").select("key", "matched")
+    close = containment_match(missed, index, written=True).join(records, "index_key").select("key", "matched")
     found = broadcast_if_small(keys.filter(F.col("matched").isNotNull()).unionByName(close), "found")
     return keyed.join(found, "key", "left").drop("key")
 
@@ -239,7 +261,7 @@ def split_tracked(mentions: DataFrame, catalog: DataFrame, name: str = "model_na
     keys = materialize(keyed.select("key").distinct().join(exact, "key", "left"), "tracked")
     missed = keys.filter(F.col("_exact").isNull()).select("key")
     # any partner will do, so all entries share one position
-    close = containment_match(missed, names.withColumn("index_pos", F.lit(0))).select("key")
+    close = containment_match(missed, names.withColumn("index_pos", F.lit(0)), written=True).select("key")
     # a key is in one of the two only
     found = keys.filter("_exact").select("key").unionByName(close).withColumn("_hit", F.lit(True))
     found = broadcast_if_small(found, "found")
