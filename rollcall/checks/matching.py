@@ -201,9 +201,7 @@ def anti_dedupe(spark, sf):
     return M.new_only(rows, known, ["o_orderkey"])
 
 
-@check(
-    "candidate_enrich",
-    """
+_ENRICHED = """
     with rows as (
       select s_suppkey as row_id, s_name, n_name, case when s_acctbal < 7000 then '开源' else '闭源' end as openness,
         case when s_acctbal < 1000 then '1B' else '' end as size
@@ -218,10 +216,10 @@ def anti_dedupe(spark, sf):
       case when id is null then 'seen' when login then 'seen · registry login required(' || id || ')'
         else 'registry verified(' || id || ') · 参数量=' || (row_id + 1) || 'B · mit · text' end as verification
     from hit
-    """,
-)
-def candidate_enrich(spark, sf):
-    """Suppliers registered under company/name, under the bare name, or not at all."""
+    """
+
+
+def _enriched(spark, sf, early_stop):
     rows = table(spark, sf, "supplier").join(geography(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"))
     rows = rows.withColumn("company", F.replace("n_name", F.lit("_"), F.lit(" ")))
     catalog_rows = rows.select(
@@ -243,10 +241,22 @@ def candidate_enrich(spark, sf):
     later = entries.filter(F.col("repo_id").contains("/")).withColumns(
         {"repo_id": F.get(F.split("repo_id", "/"), F.lit(1)), "login_required": F.lit(True)}
     )
-    done = E.enrich_by_candidates(catalog_rows, entries.unionByName(later))
+    done = E.enrich_by_candidates(catalog_rows, entries.unionByName(later), early_stop=early_stop)
     return done.select("row_id", "size", "verification")
 
 
+@check("candidate_enrich", _ENRICHED)
+def candidate_enrich(spark, sf):
+    """Suppliers registered under company/name, under the bare name, or not at all."""
+    return _enriched(spark, sf, False)
+
+
+@check("candidate_rounds", _ENRICHED)
+def candidate_rounds(spark, sf):
+    """The same in rounds, each for the rows that are still open."""
+    return _enriched(spark, sf, True)
+
+
 @check(
     "unmatched_names",
     f"""

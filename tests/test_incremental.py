@@ -6,6 +6,7 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.operators import enrich
 from rollcall.operators import maintain as K
 from rollcall.operators import merge as M
 from rollcall.operators import merge_state as MS
@@ -175,3 +176,25 @@ def test_a_broken_batch_is_repeated_and_each_row_stored_once(spark):
     run()
     assert stored() == [(" X ", 0), ("w", 9), ("y", 5), ("z", 7)]
     assert A.stored_rows(spark, f"{base}/none-{uuid4().hex}", schema).count() == 0
+
+
+def test_rounds_ask_less_each_time(spark, monkeypatch):
+    rng = random.Random(4)
+    ids = [(i, [f"r{rng.randrange(60)}" for _ in range(rng.randrange(7))]) for i in range(200)]
+    registry = spark.createDataFrame([(f"r{i}", i) for i in range(40)], "repo_id string, n int")
+    asked = []
+    measure = enrich.broadcast_if_small
+
+    def watched(df, label):
+        if label == "asked":
+            asked.append(df.count())
+        return measure(df, label)
+
+    monkeypatch.setattr(enrich, "broadcast_if_small", watched)
+    hits = enrich.hits_in_rounds(spark.createDataFrame(ids, "row_id int, _ids array<string>"), registry, "row_id")
+    known = {f"r{i}" for i in range(40)}
+    want = {i: next(c for c in row if c in known) for i, row in ids if known & set(row)}
+    assert {r["row_id"]: r["_hit"]["repo_id"] for r in hits.collect()} == want
+    assert asked == sorted(asked, reverse=True) and sum(asked) < sum(len(row) for _, row in ids)
+    none = spark.createDataFrame([], "row_id int, _ids array<string>")
+    assert enrich.hits_in_rounds(none, registry, "row_id").count() == 0
