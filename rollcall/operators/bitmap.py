@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.session import materialize, measured
+from rollcall.session import materialize, measured, shuffled
 
 BITS_EACH = 16
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27  # 8 KB to 16 MB
@@ -51,4 +51,4 @@ def join_keys(rows: DataFrame, keys: DataFrame, key: str, label: str) -> DataFra
     if small:
         return rows.join(F.broadcast(table), key)
     words, bits = bitmap_of(table.select(key).distinct(), key, count)
-    return rows.filter(may_be_in(F.col(key), materialize(words, f"{label}-bitmap"), bits)).join(table, key)
+    return rows.filter(may_be_in(F.col(key), materialize(words, f"{label}-bitmap"), bits)).join(shuffled(table), key)

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 
 BROADCAST_ROWS = 5_000_000
-BROADCAST_BYTES = 128 << 20
+BROADCAST_BYTES = 64 << 20  # of the table the driver builds, in which a row stands twice: as key and whole
+ROW_BYTES = 32
 
 
 def local_session(
@@ -107,7 +108,7 @@ def measured(df: DataFrame, label: str) -> tuple[DataFrame, int, bool]:
     """The frame written out, its rows, and whether it is small enough to broadcast."""
     table = materialize(df, label)
     rows, size = table.agg(F.count("*"), F.sum(row_bytes(table))).first()
-    return table, rows, rows <= BROADCAST_ROWS and (size or 0) + 32 * rows <= BROADCAST_BYTES
+    return table, rows, rows <= BROADCAST_ROWS and 2 * (size or 0) + ROW_BYTES * rows <= BROADCAST_BYTES
 
 
 def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
@@ -115,7 +116,16 @@ def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
 
     For the computed side of a join whose other side is a whole catalog or all
     texts: known before the join starts, a small side spares the large one its
-    shuffle. A side above the limits is joined by shuffle as usual.
+    shuffle. A side above the limits is joined by shuffle.
     """
     table, _, small = measured(df, label)
-    return F.broadcast(table) if small else table
+    return F.broadcast(table) if small else shuffled(table)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """The frame as a side of a join that Spark must not broadcast.
+
+    Spark goes by the bytes of files, of which a few columns of a wide table, or repetitive
+    ones, are a small part; the rows they unpack to need not fit the driver.
+    """
+    return df.hint("merge")
