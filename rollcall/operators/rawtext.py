@@ -16,7 +16,7 @@ from rollcall import schema as S
 from rollcall.functions.labels import flag_country
 from rollcall.functions.text import any_contains, strip
 from rollcall.operators.rows import inline_rows, running
-from rollcall.session import materialize
+from rollcall.session import materialize, shuffled
 
 # fixed values: month and date forms, licence words and the columns of the layouts
 _MONTHS = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
@@ -287,9 +287,12 @@ def parse_raw(files: DataFrame, file: str = "file", text: str = "text") -> DataF
         return df.select(file, F.col("line").cast("bigint").alias("line"), *[field(f).alias(f) for f in RAW_FIELDS])
 
     blocks = materialize(reduce(DataFrame.unionByName, map(tidy, parsed)), "raw-blocks")
-    kinds_of = classed.select(file, "kind")
-    found = blocks.join(kinds_of, file)
-    rest = classed.join(blocks.select(file).distinct(), file, "left_anti")
+    # as many names as there are files, which no node can hold
+    named = shuffled(classed.filter(F.col("kind").isNotNull()).select(file, "kind"))
+    found = blocks.join(named, file)
+    held = shuffled(blocks.select(file).distinct())
+    empty = classed.filter(F.col("kind").isNotNull()).join(held, file, "left_anti")
+    rest = classed.filter(F.col("kind").isNull()).unionByName(empty.select(*classed.columns))
     mined = mine_names(rest, file, text).select(
         file, F.lit("mined").alias("kind"), F.lit(None).cast("bigint").alias("line"),
         *[F.lit(None).cast("string").alias(f) for f in RAW_FIELDS], F.array_join("names", "\n").alias("mined"),

@@ -29,3 +29,10 @@ def test_what_is_not_small_is_not_broadcast(spark, monkeypatch):
     rows = spark.range(50).withColumnRenamed("id", "key")
     joined = rows.join(session.broadcast_if_small(rows, "keys"), "key")
     assert "BroadcastHashJoin" not in plan_of(joined) and joined.count() == 50
+
+
+def test_raw_files_are_joined_without_a_broadcast_of_their_names(spark):
+    texts = [("a", "Code Arena\nChat Arena\n1\nc\nm\nc\nx\t9\nOpen Source"), ("b", "Version Timeline\nno block"), ("c", "a name\nof a line"), ("d", None)]
+    found = rawtext.parse_raw(spark.createDataFrame(texts, "file string, text string"))
+    assert "BroadcastHashJoin" not in plan_of(found)
+    assert sorted((r["file"], r["kind"], r["model"]) for r in found.collect()) == [("a", "code_chat", "m"), ("b", "mined", None), ("c", "mined", None)]
