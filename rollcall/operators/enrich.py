@@ -25,7 +25,8 @@ def enrich_by_candidates(
 ) -> DataFrame:
     """Check open rows against the registry; the first candidate that exists decides.
 
-    ``registry`` has one row per ``repo_id``, ``rows`` one per ``row_id``.
+    ``rows`` has one row per ``row_id``; of registry rows with one ``repo_id`` the one with the
+    smallest text decides.
     A blank size is filled from the registry and the verification text replaced.
     An entry that needs a login also ends the search, and only adds a remark.
     Other rows pass unchanged. ``matched_id`` tells which entry was used. With
@@ -36,6 +37,7 @@ def enrich_by_candidates(
     ids = rows.filter(F.col("openness") == S.OPEN).select(
         row_id, labels.candidate_ids(name, company, org).alias("_ids")
     )
+    entry = F.struct(*registry.columns)
     if early_stop:
         hit = hits_in_rounds(ids, registry, row_id)
     else:
@@ -43,7 +45,7 @@ def enrich_by_candidates(
         hit = (
             registry.join(candidates, "repo_id")
             .groupBy(row_id)
-            .agg(F.min_by(F.struct(*registry.columns), "_pos").alias("_hit"))
+            .agg(F.min_by(entry, F.struct("_pos", F.to_json(entry))).alias("_hit"))
         )
     wide = rows.join(hit, row_id, "left")
     h = F.col("_hit")
@@ -74,12 +76,14 @@ def hits_in_rounds(ids: DataFrame, registry: DataFrame, row_id: str) -> DataFram
     rounds as the longest list has candidates, at most, each a written table.
     """
     open_rows = materialize(ids.filter(F.size("_ids") > 0), "open-rows")
-    entry = F.struct(*registry.columns).alias("_hit")
+    entry = F.struct(*registry.columns)
     found, at = open_rows.select(row_id, F.lit(None).cast(registry.schema).alias("_hit")).limit(0), 0
     while not open_rows.isEmpty():
         asked = open_rows.select(row_id, F.get("_ids", F.lit(at)).alias("repo_id"))
         hits = materialize(
-            registry.join(broadcast_if_small(asked, "asked"), "repo_id").select(row_id, entry), "hits"
+            registry.join(broadcast_if_small(asked, "asked"), "repo_id")
+            .groupBy(row_id).agg(F.min_by(entry, F.to_json(entry)).alias("_hit")),
+            "hits",
         )
         found, at = found.unionByName(hits), at + 1
         left = open_rows.filter(F.size("_ids") > at)

@@ -36,3 +36,17 @@ def test_raw_files_are_joined_without_a_broadcast_of_their_names(spark):
     found = rawtext.parse_raw(spark.createDataFrame(texts, "file string, text string"))
     assert "BroadcastHashJoin" not in plan_of(found)
     assert sorted((r["file"], r["kind"], r["model"]) for r in found.collect()) == [("a", "code_chat", "m"), ("b", "mined", None), ("c", "mined", None)]
+
+
+@pytest.mark.parametrize("early_stop", [False, True])
+def test_a_registry_that_repeats_an_id_gives_one_row(spark, early_stop):
+    rows = spark.createDataFrame([(1, "m", "c", S.OPEN, "", "")], "row_id int, name string, company string, openness string, size string, verification string")
+    entries = [("m", n * 10**9, ["license:mit"], "text", False) for n in (3, 2, 3)]
+    registry = spark.createDataFrame(entries, "repo_id string, params_total bigint, tags array<string>, pipeline_tag string, login_required boolean")
+    got = enrich.enrich_by_candidates(rows, registry.repartition(3), early_stop=early_stop).collect()
+    assert [r["size"] for r in got] == ["2B"]
+
+
+def test_sizes_of_a_thousand_billions_and_more(spark):
+    got = spark.createDataFrame([(999 * 10**9,), (10**12,)], "n bigint").select(labels.size_label("n")).collect()
+    assert [r[0] for r in got] == ["999B", "1T"]
