@@ -11,6 +11,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+SPLIT_ROWS = 100_000
+
+
 def check(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -24,12 +27,18 @@ def check(name: str, sql: str | None = None):
 def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table; ``spread`` is for queries that work long on every row.
 
-    A table of one small file is one task. It is spread over the cores then; a
-    table with enough splits is left as it is.
+    A table of one small file is one task. It is spread over the cores then, and by its
+    key if a task would still have more than ``SPLIT_ROWS`` rows, which a few row groups of
+    narrow columns easily have; a table with enough splits is left as it is.
     """
     df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+    if not spread:
+        return df
+    cores, splits = spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    tasks = -(-df.count() // SPLIT_ROWS)
+    if tasks > splits:
+        return df.repartition(max(tasks, cores), df.columns[0])
+    return df.repartition(cores) if splits < cores else df
 
 
 def geography(spark: SparkSession, sf: str) -> DataFrame:

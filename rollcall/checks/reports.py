@@ -168,7 +168,7 @@ def records(spark, sf):
         "is_moe": F.when(size > 40, "true").when(size > 35, "false"),
     }
     pairs = lambda kv: F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v.cast("string"))])
-    part = table(spark, sf, "part")
+    part = table(spark, sf, "part", spread=True)
     row = lambda df, prio, step, kv: df.select(
         F.lit(prio).alias("_prio"), (F.col("p_partkey") * 10 + step).alias("pos"), pairs({"model_id": key} | kv).alias("record")
     )

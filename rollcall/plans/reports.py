@@ -67,7 +67,8 @@ def leaderboard_tables(records: DataFrame, as_of: str, months: int = 3, top: int
     any, give the records per source.
     """
     lacking = [c for c in [*COVERED, "output_price"] if c not in records.columns]
-    records = records.withColumns({c: F.lit(None).cast("string") for c in lacking})
+    # read by every section below
+    records = materialize(records.withColumns({c: F.lit(None).cast("string") for c in lacking}), "leaderboard")
     day = first_date("announcement_date", "release_date")
     df = records.withColumns({"_day": day, "_recent": recent(day, as_of, months)})
     newest = K.rank_rows(df.filter("_recent"), [F.col("_day").desc(), F.col("pos")], "_newest", "recent")

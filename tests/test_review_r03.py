@@ -50,3 +50,19 @@ def test_a_registry_that_repeats_an_id_gives_one_row(spark, early_stop):
 def test_sizes_of_a_thousand_billions_and_more(spark):
     got = spark.createDataFrame([(999 * 10**9,), (10**12,)], "n bigint").select(labels.size_label("n")).collect()
     assert [r[0] for r in got] == ["999B", "1T"]
+
+
+def test_tables_of_a_leaderboard_read_the_records_once(spark, tmp_path):
+    rows = [(1, "a", "o", "2024-06-01", None, True, 0.5, 8), (2, "b", "o", None, None, False, None, None)]
+    path = f"{tmp_path}/records"
+    spark.createDataFrame(rows, "pos int, name string, organization string, announcement_date string, release_date string, is_open boolean, gpqa_score double, context bigint").write.parquet(path)
+    tables = reports.leaderboard_tables(spark.read.parquet(path), "2024-06-30")
+    assert not [f for f in tables.inputFiles() if f"{tmp_path}/records" in f]
+    assert {(r["section"], r["key"]) for r in tables.collect()} >= {("recent", "a"), ("open_top", "a"), ("organizations", "o")}
+
+
+def test_long_splits_are_spread_by_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(base, "SPLIT_ROWS", 50)
+    spark.range(500).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spread = base.table(spark, str(tmp_path), "part", spread=True)
+    assert spread.rdd.getNumPartitions() == 10 and spread.distinct().count() == 500
