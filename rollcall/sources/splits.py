@@ -7,7 +7,7 @@ for both ways it may begin, and then over the stretches, one row for each, give
 every piece its state, and the pieces of one object have the same count of finished objects before
 them.
 
-Bounds: no task holds more than a stretch, or one object. The text is shuffled twice, by
+Bounds: no task holds more than a stretch, which has a bounded number of pieces, or one object. The text is shuffled twice, by
 stretch and by object, whatever the length of the file.
 """
 
@@ -20,16 +20,19 @@ from rollcall.operators.jsontext import depth_of_records, lexed, own_text, recor
 from rollcall.session import broadcast_if_small, materialize
 
 _STRETCH = ["path", "stretch"]
+STRETCH_BITS = 17  # a stretch has at most so many pieces, as a power of two
 
 
 def read_pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Pieces of the files with their place, written out: path, file, stretch, id, text and what they do."""
     rows = spark.read.option("lineSep", "}").text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("stretch"), F.col("_metadata.file_size").alias("_size"),
-        # grows along the rows of a stretch, which one task reads from its start
+        F.col("_metadata.file_block_start").alias("_block"), F.col("_metadata.file_size").alias("_size"),
+        # grows along the rows of a block, which one task reads from its start
         F.monotonically_increasing_id().alias("id"), F.concat("value", F.lit("}")).alias("text"),
     )
+    # a block is cut again, since a window holds a stretch in memory, and a block has the reader's size
+    rows = rows.withColumn("stretch", F.struct("_block", F.shiftright("id", STRETCH_BITS).alias("_run"))).drop("_block")
     return materialize(rows.withColumn("_l", lexed(F.col("text"))).select("*", "_l.*").drop("_l"), "json-pieces")
 
 
@@ -87,7 +90,7 @@ def _begun(pieces: DataFrame, stretches: DataFrame) -> DataFrame:
 
 
 def read_large_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of JSON arrays, or of objects after each other: ``file``, ``pos``, ``record``.
+    """Records of JSON arrays, or of objects after each other: ``path``, ``file``, ``pos``, ``record``.
 
     As :func:`readers.read_records` gives them for files of any size, with ``pos`` the count of whole
     objects before. An object that can't be read is left out and keeps its number; one that the
@@ -103,5 +106,5 @@ def read_large_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("stretch", "id", "text"))).alias("_p"), F.bool_or("done").alias("_done")
     )
     text = F.array_join(F.transform("_p", lambda p: p["text"]), "")
-    found = runs.filter("_done").select("file", "pos", record(own_text(text)).alias("record"))
+    found = runs.filter("_done").select("path", "file", "pos", record(own_text(text)).alias("record"))
     return found.filter(F.col("record").isNotNull())

@@ -66,3 +66,13 @@ def test_long_splits_are_spread_by_key(spark, tmp_path, monkeypatch):
     spark.range(500).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     spread = base.table(spark, str(tmp_path), "part", spread=True)
     assert spread.rdd.getNumPartitions() == 10 and spread.distinct().count() == 500
+
+
+def test_blocks_are_cut_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(splits, "STRETCH_BITS", 3)
+    rows = [{"id": str(i), "t": '}{"[' * (i % 3), "in": {"n": [i]}} for i in range(100)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    pieces = splits.read_pieces(spark, str(tmp_path))
+    assert pieces.groupBy("path", "stretch").count().agg(F.max("count")).first()[0] <= 8
+    found = splits.read_large_records(spark, str(tmp_path)).orderBy("pos").collect()
+    assert [r["record"]["id"] for r in found] == [r["id"] for r in rows] and [r["pos"] for r in found] == list(range(100))
