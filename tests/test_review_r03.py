@@ -76,3 +76,18 @@ def test_blocks_are_cut_again(spark, tmp_path, monkeypatch):
     assert pieces.groupBy("path", "stretch").count().agg(F.max("count")).first()[0] <= 8
     found = splits.read_large_records(spark, str(tmp_path)).orderBy("pos").collect()
     assert [r["record"]["id"] for r in found] == [r["id"] for r in rows] and [r["pos"] for r in found] == list(range(100))
+
+
+def test_parts_do_not_grow_in_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parts, "MOST_PARTS", 20)
+    path = f"{tmp_path}/parts"
+    rows = spark.range(1000).select(F.col("id").alias("row_id"), F.lit("old").alias("v"))
+    parts.write_parts(rows, path, part_rows=1)
+    assert len(parts._stored_parts(spark, path)) <= 20
+    changed = spark.createDataFrame([(3, "new"), (1500, "new")], "row_id bigint, v string")
+    update = parts.upsert_parts(spark, path, changed, part_rows=1, removed=rows.filter("row_id = 7"))
+    assert update.parts == [0, 1500 // 64]
+    got = {r["row_id"]: r["v"] for r in parts.read_parts(spark, path).collect()}
+    assert got == {i: "old" for i in range(1000) if i != 7} | {3: "new", 1500: "new"}
+    parts.write_parts(rows.filter("row_id < 5"), path, part_rows=1)  # other parts, and none of the old ones
+    assert sorted(r["row_id"] for r in parts.read_parts(spark, path).collect()) == [0, 1, 2, 3, 4]
