@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import labels
-from rollcall.functions.text import blank_to_null, fold_key, loose_key, plain_key
+from rollcall.functions.text import blank_to_null, fold_key, loose_key, plain_key, strip
 from rollcall.operators.bitmap import join_keys
 from rollcall.operators.dedupe import drop_blank, first_wins
 from rollcall.operators.rows import explode_rows
@@ -171,7 +171,8 @@ def passages_in_texts(
     Every word of a passage but its first and last is a whole word of any text
     that contains it. The passage's rarest run of ``run`` such words is looked
     up among the runs of all texts, and ``contains`` decides on the candidates.
-    Passages with fewer words are found through character runs in the same way.
+    Passages with fewer words are looked for among the distinct units of all texts
+    (:func:`dictionary.dictionary_hits`), blank ones through character runs.
     Equal passages are matched once.
     """
     entries = passages.select(passage_id, F.col(passage).alias("_text"), F.xxhash64(passage).alias("_hash"))
@@ -180,6 +181,14 @@ def passages_in_texts(
     anchors = _rarest(_word_runs(unique, "_uid", "_text", run, inner=True), "_uid")
     found = _hold(_word_runs(texts, text_id, text, run), anchors, text_id, "_uid")
     short = unique.filter(F.size(F.split("_text", r"\s+")) < run + 2)
+    sure = None
+    worded = short.filter(strip("_text") != "")
+    if not worded.isEmpty():
+        from rollcall.operators.dictionary import dictionary_hits  # which imports this module
+
+        hits = dictionary_hits(texts, worded, text_id, text, "_text")
+        sure = hits.join(broadcast_if_small(worded.select("_uid", F.col("_text").alias("word")), "short"), "word").select(text_id, "_uid")
+    short = short.filter(strip("_text") == "")
     if not short.isEmpty():
         anchors = _rarest(_grams(short, "_uid", "_text", min_len), "_uid")
         found = found.unionByName(_hold(_grams(texts, text_id, text, min_len), anchors, text_id, "_uid"))
@@ -191,6 +200,7 @@ def passages_in_texts(
         .filter(F.col("_whole").contains(F.col("_text")))
         .select(text_id, "_uid")
     )
+    held = held if sure is None else held.unionByName(sure)
     copies = entries.join(unique, ["_hash", "_text"]).select(passage_id, "_uid")
     return held.join(copies, "_uid").select(text_id, passage_id)
 

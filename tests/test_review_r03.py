@@ -91,3 +91,22 @@ def test_parts_do_not_grow_in_number(spark, tmp_path, monkeypatch):
     assert got == {i: "old" for i in range(1000) if i != 7} | {3: "new", 1500: "new"}
     parts.write_parts(rows.filter("row_id < 5"), path, part_rows=1)  # other parts, and none of the old ones
     assert sorted(r["row_id"] for r in parts.read_parts(spark, path).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_short_passages_need_no_character_runs(spark, monkeypatch):
+    monkeypatch.setattr(match, "_grams", None)
+    texts = {1: "xalpha beta gammay", 2: "alpha  beta", 3: "a\talpha beta\n", 4: "alphabet", 5: "one two three four five six"}
+    passages = {10: "alpha beta", 11: "alpha", 12: "beta gamma", 13: "alpha  beta", 14: "two three four five six", 15: "alpha"}
+    got = match.passages_in_texts(
+        spark.createDataFrame(list(texts.items()), "doc int, text string"),
+        spark.createDataFrame(list(passages.items()), "item int, text string"), "doc", "item",
+    )
+    assert sorted(tuple(r) for r in got.collect()) == sorted((d, i) for d, t in texts.items() for i, p in passages.items() if p in t)
+
+
+def test_blank_passages_are_found(spark):
+    got = match.passages_in_texts(
+        spark.createDataFrame([(1, "a      b"), (2, "a b")], "doc int, text string"),
+        spark.createDataFrame([(10, "     ")], "item int, text string"), "doc", "item",
+    )
+    assert [tuple(r) for r in got.collect()] == [(1, 10)]
