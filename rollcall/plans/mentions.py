@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,16 @@ from rollcall.operators.upsert import upsert_fill, usable_mentions
 from rollcall.session import broadcast_if_small, materialize
 
 
-class MentionRun(NamedTuple):
-    articles: DataFrame  # mentioned and untracked names per article
-    mentions: DataFrame  # every mention with its tracked flag
-    catalog: DataFrame  # catalog after the upsert, with the change per row
+class MentionRun:
+    """Mentioned and untracked names per article, every mention with its tracked flag, and the
+    catalog after the upsert with the change per row, which is made when it is first asked for."""
+
+    def __init__(self, articles: DataFrame, mentions: DataFrame, upserted: Callable[[], DataFrame]):
+        self.articles, self.mentions, self._upserted = articles, mentions, upserted
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return self._upserted()
 
 
 def articles_in_window(articles: DataFrame, since: int | None, until: int | None) -> DataFrame:
@@ -59,12 +66,16 @@ def mention_run(
     # parsed replies and split mentions feed several results each
     mentions = materialize(split_tracked(materialize(found, "replies"), catalog), "mentions")
     lists = mention_lists(kept.select("file", "seq", "title"), mentions, "file")
-    chosen = mentions.filter(~F.col("tracked"))
-    if fill_tracked:
-        names = broadcast_if_small(catalog.select(plain_key("name").alias("_known")).distinct(), "names")
-        own = mentions.filter("tracked").join(names, plain_key("model_name") == F.col("_known"), "left_semi")
-        chosen = chosen.unionByName(own)
-    first = first_mention(chosen, plain_key("model_name"), ["file", "pos"])
-    checked = cross_verify(first.drop("mention_key"), records, base_url)
-    usable = usable_mentions(checked, ["file", "pos"], since, until, date_fallback)
-    return MentionRun(lists, mentions, upsert_fill(catalog, usable, created_at=created_at))
+
+    def upserted() -> DataFrame:
+        chosen = mentions.filter(~F.col("tracked"))
+        if fill_tracked:
+            names = broadcast_if_small(catalog.select(plain_key("name").alias("_known")).distinct(), "names")
+            own = mentions.filter("tracked").join(names, plain_key("model_name") == F.col("_known"), "left_semi")
+            chosen = chosen.unionByName(own)
+        first = first_mention(chosen, plain_key("model_name"), ["file", "pos"])
+        checked = cross_verify(first.drop("mention_key"), records, base_url)
+        usable = usable_mentions(checked, ["file", "pos"], since, until, date_fallback)
+        return upsert_fill(catalog, usable, created_at=created_at)
+
+    return MentionRun(lists, mentions, upserted)

@@ -120,3 +120,12 @@ def test_an_arrival_of_many_files_is_one_batch(spark, monkeypatch):
     ordered = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_custkey").alias("c_custkey")).distinct()
     want = customers.join(ordered, "c_custkey").select("c_name").distinct().count()
     assert [r["stored"] for r in rows.collect()] == [1] * want
+
+
+def test_article_lists_need_no_catalog(spark, monkeypatch):
+    monkeypatch.setattr(mentions, "cross_verify", None)
+    docs, replies, catalog, records = _mention_inputs(spark, "/root/testdata/sf0.001")
+    run = mentions.mention_run(docs, replies, catalog, records, 20240103, 20240110, "2024-01-31", "http://example.com")
+    assert run.articles.count() > 0
+    with pytest.raises(TypeError):
+        run.catalog  # made when it is asked for
