@@ -109,8 +109,10 @@ def fingerprint(text: str | None, size: int = 3, words: int = 1, repeats: bool =
     return np.packbits(counts * 2 > total, bitorder="little").view("<u8").astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, size: int = 3, words: int = 1, repeats: bool = True) -> DataFrame:
-    """doc_id and the fingerprint's words as long columns f0, f1, .."""
+def fingerprints(
+    docs: DataFrame, size: int = 3, words: int = 1, repeats: bool = True, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id and the fingerprint's words as long columns f0, f1, ..; ``keep`` are longs passed on."""
     ship(docs.sparkSession)
     names = [f"f{i}" for i in range(words)]
 
@@ -121,10 +123,11 @@ def fingerprints(docs: DataFrame, size: int = 3, words: int = 1, repeats: bool =
             for i in range(len(texts)):
                 made[i] = fingerprint(texts[i].as_py(), size, words, repeats)
             columns = [pa.array(made[:, j].view(np.int64)) for j in range(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
+            kept = [batch.column(2 + j) for j in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *kept], names=["doc_id", *names, *keep])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, " + ", ".join(f"{n} bigint" for n in names)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *keep).mapInArrow(
+        run, "doc_id bigint, " + ", ".join(f"{n} bigint" for n in [*names, *keep])
     )
 
 
@@ -495,6 +498,25 @@ def near_groups(
     )
 
 
+def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
+    """doc_id, text hash ``t`` and group of every row, those without an id included: groups hang together by links of
+    64-bit fingerprints."""
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"))
+    rows = materialize(fingerprints(hashed, size, keep=("t",)), "simhash-rows")
+    classes = materialize(rows.select(F.col("f0").alias("head"), "f0").distinct(), "simhash-classes")
+    found = components(class_links(classes, 1, radius, Parts(1, radius)))
+    joined = rows.join(broadcast_if_small(found, "simhash-groups"), F.col("f0") == F.col("node"), "left")
+    return joined.select("doc_id", "t", F.coalesce("component", "f0").alias("group"))
+
+
+def drop_fingerprint_copies(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
+    """The documents with one left of each component of :func:`near_groups`: the one with the smallest id.
+
+    Rows are told as by :func:`drop_near_copies`, and rows without an id are compared like others.
+    """
+    return _first_of_groups(docs, fingerprint_groups(docs, size, radius))
+
+
 def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """The documents with one left of each group: the one with the smallest id.
 
@@ -503,7 +525,11 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
     and text, so an id with several texts may stay with some of them, and rows without
     an id are compared like others and come last. Of rows equal in both one stays.
     """
-    groups = materialize(copy_groups(docs, size, least), "copies-members")
+    return _first_of_groups(docs, copy_groups(docs, size, least))
+
+
+def _first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    groups = materialize(groups.select("doc_id", "t", "group"), "copies-members")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("first_id"), F.col("t").alias("first_t"))
     first = groups.groupBy(F.col("group").alias("_group")).agg(F.min(order).alias("f")).select("_group", "f.first_id", "f.first_t")
     gone = (

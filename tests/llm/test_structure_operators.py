@@ -499,3 +499,14 @@ def test_query_on_driver_tables(spark, name):
         columns = [d[0] for d in cur.description]
         assert sorted(columns) == sorted(df.columns)
         assert rows_of(df.columns, got) == rows_of(columns, cur.fetchall())
+
+
+def test_the_pipeline_drops_by_fingerprints(spark):
+    rng, data = random.Random(31), []
+    for g in range(40):
+        base = some_text(rng, 2000)
+        data += [(3 * g, base), (3 * g + 1, base), (3 * g + 2, near(rng, base, 1 + g % 20))]
+    docs = spark.createDataFrame([*data, (200, None), (201, ""), (None, data[0][1])], "doc_id bigint, text string").repartition(3)
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_groups(docs).collect()}
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(kept) == sorted({c for c in groups.values() if c is not None}) and 41 < len(kept) < 81
