@@ -23,7 +23,9 @@ alike as asked share one of the first few of both, so looking under those finds
 such pair. What many texts share comes last in that order, so boilerplate brings no
 candidates. All classes under a shingle are held against two of them, and then every
 pair that verified links don't join yet, so a pair is left out only where its ends are
-in one group already. Equality of sets and of shingles is that of 64-bit hashes.
+in one group already. Sketches, of about a bit a shingle, tell most pairs apart before
+their sets are moved. Equality of sets and of shingles is that of 64-bit hashes.
+``drop_copies`` joins the links of both searches.
 
 Nulls and odd input: a missing or empty text has fingerprint zero, linked like any
 other; repeated rows have equal fingerprints and share their component; rows without
@@ -44,7 +46,6 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import ship
 from rollcall.llm.components import components
-from rollcall.operators.bitmap import join_keys
 from rollcall.session import broadcast_if_small, materialize
 
 HASH_SEED = 42
@@ -54,6 +55,9 @@ SAMPLE_ROWS = 20_000  # at least so many documents, or one in SAMPLED, tell whic
 SAMPLED = 16
 COMMON = 200_000
 SHINGLES_AT_ONCE = 255 * 64
+SKETCH_BITS = 1 << 16  # at most; a sketch of fewer bits than shingles only tells less
+COMPARED_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 20
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -343,39 +347,102 @@ def rarest(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: flo
     return tokens[np.lexsort((tokens, count))[: n - math.ceil(least * n - 1e-9) + 1]]
 
 
-def shingle_classes(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """doc_id, text hash ``t``, class of equal shingle sets, set size ``n`` and rarest shingles of every row."""
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each of some bits, of which a set has about as many as shingles, whether an odd number of its shingles falls to it.
+
+    Two sketches differ in no more bits than their sets in shingles. The halves of a sketch
+    xored make the sketch of half as many bits.
+    """
+    bits = 64
+    while bits < min(len(tokens), SKETCH_BITS):
+        bits *= 2
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def folded(made: np.ndarray, words: int) -> np.ndarray:
+    while len(made) > words:
+        made = made[: len(made) // 2] ^ made[len(made) // 2 :]
+    return made
+
+
+def may_be_alike(
+    sketches: list[np.ndarray], n: np.ndarray, a: np.ndarray, b: np.ndarray, least: float
+) -> np.ndarray:
+    """Whether the sets at ``a`` and ``b`` can have a Jaccard index of ``least``, by their sketches; never wrongly no."""
+    width = np.array([len(x) for x in sketches], dtype=np.int64)
+    both, keep = np.minimum(width[a], width[b]), np.zeros(len(a), dtype=bool)
+    most = (n[a] + n[b]) * ((1 - least) / (1 + least)) + 1e-6  # shingles that alike sets may differ in
+    for words in np.unique(both).tolist():
+        at = np.flatnonzero(both == words)
+        used = np.unique(np.concatenate([a[at], b[at]]))
+        table = np.stack([folded(sketches[i], words) for i in used.tolist()])
+        for part in np.array_split(at, 1 + len(at) * words // COMPARED_AT_ONCE):
+            x, y = table[np.searchsorted(used, a[part])], table[np.searchsorted(used, b[part])]
+            keep[part] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most[part]
+    return keep
+
+
+def shingle_classes(docs: DataFrame, size: int, least: float, prints: int = 0) -> DataFrame:
+    """doc_id, text hash ``t``, class of equal shingle sets and set size ``n`` of every row.
+
+    The first row of a class in a task has the set's sketch and rarest shingles as well. With ``prints``
+    there is ``f0``, the fingerprint of shingles of so many words.
+    """
     ship(docs.sparkSession)
     common = common_shingles(docs, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            cls, n, prefix = [], [], []
+            cls, n, made, prefix = [], [], [], []
             for text in batch.column(2):
                 tokens = shingle_set(text.as_py(), size)
                 cls.append(xxhash.xxh64_intdigest(tokens.tobytes(), HASH_SEED))
                 n.append(len(tokens))
-                prefix.append(rarest(tokens, common, least).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(cls, np.uint64).view(np.int64)),
-                 pa.array(n, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "t", "cls", "n", "prefix"],
-            )
+                new = cls[-1] not in seen
+                seen.add(cls[-1])
+                made.append(sketch(tokens).tobytes() if new else None)
+                prefix.append(rarest(tokens, common, least).view(np.int64) if new else None)
+            columns = {
+                "doc_id": batch.column(0), "t": batch.column(1), "cls": pa.array(np.array(cls, np.uint64).view(np.int64)),
+                "n": pa.array(n, pa.int64()), "sketch": pa.array(made, pa.binary()),
+                "prefix": pa.array(prefix, pa.list_(pa.int64())),
+            }
+            if prints:
+                f0 = [fingerprint(text.as_py(), prints)[0] for text in batch.column(2)]
+                columns["f0"] = pa.array(np.array(f0, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text"
-    ).mapInArrow(run, "doc_id bigint, t bigint, cls bigint, n bigint, prefix array<bigint>").withColumn(
-        "row", F.monotonically_increasing_id()  # fixed by being written
+    ).mapInArrow(
+        run, "doc_id bigint, t bigint, cls bigint, n bigint, sketch binary, prefix array<bigint>" + ", f0 bigint" * bool(prints)
     )
 
 
 def alike(docs: DataFrame, classes: DataFrame, links: DataFrame, size: int, least: float) -> DataFrame:
-    """The links whose texts have a Jaccard index of distinct shingles of at least ``least``."""
+    """The links whose texts have a Jaccard index of distinct shingles of at least ``least``.
+
+    Sets are built and moved only for links that the sketches leave.
+    """
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            made = [np.frombuffer(x.as_py(), "<u8") for c in (2, 4) for x in batch.column(c)]
+            n = np.concatenate([batch.column(c).to_numpy() for c in (3, 5)])
+            at = np.arange(batch.num_rows)
+            kept = batch.filter(pa.array(may_be_alike(made, n, at, at + batch.num_rows, least)))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            made = [shingle_set(text.as_py(), size).tobytes() for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["t", "set"])
+            new = [i for i, cls in enumerate(batch.column(0).to_pylist()) if not (cls in seen or seen.add(cls))]
+            made = [shingle_set(batch.column(1)[i].as_py(), size).tobytes() for i in new]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(new, pa.int64())), pa.array(made, pa.binary())], names=["cls", "set"])
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -387,76 +454,173 @@ def alike(docs: DataFrame, classes: DataFrame, links: DataFrame, size: int, leas
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
+    of = lambda end, made, n: classes.select(F.col("cls").alias(end), F.col("sketch").alias(made), F.col("n").alias(n))
+    sketched = links.join(of("a", "x", "nx"), "a").join(of("b", "y", "ny"), "b").select("a", "b", "x", "nx", "y", "ny")
+    links = materialize(sketched.mapInArrow(near, "a bigint, b bigint"), "copies-near")
     ids = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     used = classes.select("cls", "t").join(broadcast_if_small(ids, "copies-ids"), "cls", "left_semi")
-    used = materialize(used, "copies-used")
     texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text").join(
-        broadcast_if_small(used.select("t"), "copies-texts"), "t", "left_semi"
+        broadcast_if_small(used, "copies-used"), "t"
     )
-    made = texts.mapInArrow(sets, "t bigint, set binary").groupBy("t").agg(F.min("set").alias("set"))
-    made = materialize(used.join(made, "t").select("cls", "set"), "copies-sets")
+    made = texts.select("cls", "text").mapInArrow(sets, "cls bigint, set binary").groupBy("cls").agg(F.min("set").alias("set"))
+    made = materialize(made, "copies-sets")
     one = made.select(F.col("cls").alias("a"), F.col("set").alias("x"))
     other = made.select(F.col("cls").alias("b"), F.col("set").alias("y"))
-    near = F.least(F.length("x"), F.length("y")) >= F.greatest(F.length("x"), F.length("y")) * least - 1e-6
-    pairs = links.join(one, "a").join(other, "b").filter(near).select("a", "b", "x", "y")
+    pairs = links.join(one, "a").join(other, "b").select("a", "b", "x", "y")
     return materialize(pairs.mapInArrow(enough, "a bigint, b bigint"), "copies-alike")
 
 
-def _pairs(links: DataFrame) -> DataFrame:
-    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by their first column, cut anew so that rows of one key are in one batch."""
+    rest = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut or (rest and rest[0].column(0)[0].as_py() != key[0]):
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)]).combine_chunks().to_batches()[0] if rest else batch.slice(0, cut)
+            rest = []
+        rest.append(batch.slice(cut))
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+
+
+def _could_overlap(n: np.ndarray, pos: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """Whether sizes, and what is left of the sets after a shingle that is the first they share, are near enough."""
+    return np.minimum(n[i] - pos[i], n[j] - pos[j]) * (1 + least) >= (n[i] + n[j]) * least - 1e-6
+
+
+def _groups_of(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the first and the last row of its token."""
+    start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    count = np.diff(np.append(start, len(token)))
+    return np.repeat(start, count), np.repeat(start + count - 1, count)
+
+
+def _gathered(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes, two columns, as batches without the repeats among those held at once."""
+    held, rows = [], 0
+    for pairs in found:
+        held.append(pairs)
+        rows += len(pairs)
+        if rows > PAIRS_AT_ONCE:
+            held = [np.unique(np.concatenate(held), axis=0)]
+            rows = len(held[0])
+            if rows > PAIRS_AT_ONCE // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(held[0][:, 0]), pa.array(held[0][:, 1])], names=["a", "b"])
+                held, rows = [], 0
+    if rows:
+        once = np.unique(np.concatenate(held), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], names=["a", "b"])
+
+
+def end_pairs(keys: DataFrame, least: float) -> DataFrame:
+    """The classes under each shingle against its smallest and largest one, as ``a`` and ``b``; and, as rows with
+    ``token``, class ``a`` and place ``b``, the classes under shingles that have other pairs."""
+    names = ["token", "a", "b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = []
+
+        def pairs() -> Iterator[np.ndarray]:
+            for batch in _whole_keys(batches):
+                token, cls, place = (c.to_numpy() for c in batch.columns)
+                new = np.concatenate([[True], (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])])
+                token, cls, place = token[new], cls[new], place[new]
+                first, last = _groups_of(token)
+                n, pos, at = place >> 32, place & 0xFFFFFFFF, np.arange(len(token))
+                more = np.flatnonzero(last - first >= 3)
+                if len(more):
+                    members.append(pa.RecordBatch.from_arrays([pa.array(x[more]) for x in (token, cls, place)], names=names))
+                inner = at[at != first]
+                outer = at[(at != first) & (at != last)]
+                i, j = np.concatenate([inner, last[outer]]), np.concatenate([first[inner], outer])
+                near = _could_overlap(n, pos, i, j, least)
+                yield np.stack([cls[i[near]], cls[j[near]]], axis=1)
+
+        for found in _gathered(pairs()):
+            none = pa.nulls(found.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, *found.columns], names=names)
+            yield from members
+            members.clear()
+        yield from members
+
+    sorted_keys = keys.repartition("token").sortWithinPartitions("token", "cls")
+    return sorted_keys.mapInArrow(run, "token bigint, a bigint, b bigint")
+
+
+def inner_pairs(members: DataFrame, least: float) -> DataFrame:
+    """The other pairs of classes under each shingle that are in different components and whose sketches are near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[np.ndarray]:
+            for batch in _whole_keys(batches):
+                token, cls, place, comp = (batch.column(i).to_numpy() for i in range(4))
+                made = [np.frombuffer(x.as_py(), "<u8") for x in batch.column(4)]
+                first, last = _groups_of(token)
+                n, pos = place >> 32, place & 0xFFFFFFFF
+                for start in np.unique(first).tolist():
+                    inner = np.arange(start + 1, last[start])
+                    if not len(inner):
+                        continue
+                    _, comps, count = np.unique(comp[inner], return_inverse=True, return_counts=True)
+                    minor = np.flatnonzero(comps != count.argmax())  # of two in different components one is in a minor one
+                    for part in np.array_split(minor, 1 + len(minor) * len(inner) // COMPARED_AT_ONCE):
+                        x, y = np.repeat(part, len(inner)), np.tile(np.arange(len(inner)), len(part))
+                        other = (comps[x] != comps[y]) & ((comps[y] == count.argmax()) | (x > y))
+                        i, j = inner[x[other]], inner[y[other]]
+                        near = _could_overlap(n, pos, i, j, least)
+                        i, j = i[near], j[near]
+                        near = may_be_alike(made, n, i, j, least)
+                        i, j = i[near], j[near]
+                        yield np.stack([np.maximum(cls[i], cls[j]), np.minimum(cls[i], cls[j])], axis=1)
+
+        yield from _gathered(pairs())
+
+    sorted_rows = members.repartition("token").sortWithinPartitions("token", "cls")
+    return sorted_rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def copy_groups(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """doc_id, text hash ``t``, class and group of every row: groups hang together by pairs as alike as ``least``.
+def copy_groups(docs: DataFrame, size: int, least: float, prints: int = 0, radius: int = 0) -> DataFrame:
+    """doc_id, text hash ``t``, class and group of every row: groups hang together by pairs as alike as ``least``
+    and, with ``prints``, by links of fingerprints of shingles of so many words.
 
     Two sets that alike have one of their rarest shingles in common, so the classes under
     each rare shingle hold every such pair. First all classes of a shingle are held against
     its smallest and largest one; then every pair whose ends no verified links join yet.
     """
-    rows = materialize(shingle_classes(docs, size, least), "copies-rows")
+    rows = materialize(shingle_classes(docs, size, least, prints), "copies-rows")
     classes = materialize(
-        rows.groupBy("cls").agg(F.min("t").alias("t"), F.min("n").alias("n"), F.min("row").alias("row")), "copies-classes"
-    )
-    heads = broadcast_if_small(classes.select("row"), "copies-heads")  # the prefixes stay where they are
-    keys = rows.select("row", "cls", "n", "prefix").join(heads, "row", "left_semi").select(
-        "cls", "n", F.posexplode("prefix").alias("pos", "token")
+        rows.filter(F.col("sketch").isNotNull()).groupBy("cls")
+        .agg(F.min("t").alias("t"), F.min("n").alias("n"), F.min("sketch").alias("sketch")),
+        "copies-classes",
     )
-    ends = keys.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo != hi")
-    shared = materialize(join_keys(keys, ends, "token", "copies-ends"), "copies-shared")
-    sizes = broadcast_if_small(classes.select(F.col("cls").alias("b"), F.col("n").alias("_n")), "copies-sizes")
-    # sets whose sizes, or what is left of them after the shingle, are too far apart are not alike
-    most = F.least(F.col("n") - F.col("pos"), F.col("_n")) * (1 + least)
-    first = (
-        shared.select("cls", "n", "pos", F.explode(F.array("lo", "hi")).alias("b")).filter("cls != b")
-        .join(sizes, "b").filter(most >= (F.col("n") + F.col("_n")) * least - 1e-6)
-    )
-    first = materialize(_pairs(first.select(F.col("cls").alias("a"), "b")), "copies-first")
+    placed = rows.select("cls", F.shiftleft("n", 32).alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    keys = placed.select("token", "cls", (F.col("n") + F.col("pos")).alias("place"))
+    met = materialize(end_pairs(keys, least), "copies-met")
+    first = materialize(met.filter(F.col("token").isNull()).select("a", "b").distinct(), "copies-first")
     good = alike(docs, classes, first, size, least)
-
+    if prints:
+        heads = materialize(rows.groupBy("f0").agg(F.min("cls").alias("head")), "copies-prints")
+        same = rows.select("cls", "f0").distinct().join(heads, "f0").select(F.col("cls").alias("a"), F.col("head").alias("b"))
+        good = materialize(
+            good.unionByName(same.filter("a != b")).unionByName(class_links(heads, 1, radius, Parts(1, radius))).distinct(),
+            "copies-good",
+        )
     joined = components(good)
+
+    members = met.filter(F.col("token").isNotNull()).select("token", F.col("a").alias("cls"), F.col("b").alias("place"))
     marked = materialize(
-        shared.join(broadcast_if_small(joined, "copies-joined"), F.col("cls") == F.col("node"), "left")
-        .select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp")),
+        members.join(broadcast_if_small(joined, "copies-joined"), F.col("cls") == F.col("node"), "left")
+        .select("token", "cls", "place", F.coalesce("component", "cls").alias("comp")),
         "copies-marked",
     )
     apart = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-    marked = materialize(
-        marked.join(broadcast_if_small(apart.select("token"), "copies-apart"), "token", "left_semi"), "copies-open"
-    )
-    main = (
-        marked.groupBy("token", "comp").count().groupBy(F.col("token").alias("_token"))
-        .agg(F.max(F.struct("count", "comp"))["comp"].alias("main"))
-    )
-    # of two in different components at most one is in the shingle's largest
-    minor = marked.join(broadcast_if_small(main, "copies-main"), F.col("token") == F.col("_token")).filter("comp != main")
-    x, y = minor.alias("x"), marked.alias("y")
-    overlap = F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))  # at most, if this is the first one in common
-    rest = x.join(
-        y,
-        F.expr("x.token = y.token AND x.comp != y.comp AND (y.comp = x.main OR x.cls < y.cls)")
-        & (overlap * (1 + least) >= F.expr("x.n + y.n") * least - 1e-6),
-    ).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    rest = materialize(_pairs(rest).join(first, ["a", "b"], "left_anti"), "copies-rest")
+    apart = marked.join(broadcast_if_small(apart.select("token"), "copies-apart"), "token", "left_semi")
+    open_rows = apart.join(classes.select("cls", "sketch"), "cls").select("token", "cls", "place", "comp", "sketch")
+    rest = inner_pairs(open_rows, least).distinct().join(first, ["a", "b"], "left_anti")
+    rest = materialize(rest, "copies-rest")
     if not rest.isEmpty():
         joined = components(good.unionByName(alike(docs, classes, rest, size, least)))
     return rows.select("doc_id", "t", "cls").join(
@@ -528,6 +692,12 @@ def drop_near_copies(docs: DataFrame, size: int = 5, least: float = 0.8) -> Data
     return _first_of_groups(docs, copy_groups(docs, size, least))
 
 
+def drop_copies(docs: DataFrame, size: int = 5, least: float = 0.8, prints: int = 3, radius: int = 3) -> DataFrame:
+    """The documents with one left of each group that links of :func:`drop_near_copies` and of
+    :func:`drop_fingerprint_copies` join together, so that all goes that either of them drops."""
+    return _first_of_groups(docs, copy_groups(docs, size, least, prints, radius))
+
+
 def _first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
     groups = materialize(groups.select("doc_id", "t", "group"), "copies-members")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("first_id"), F.col("t").alias("first_t"))
