@@ -50,5 +50,5 @@ def join_keys(rows: DataFrame, keys: DataFrame, key: str, label: str) -> DataFra
     table, count, small = measured(keys, label)
     if small:
         return rows.join(F.broadcast(table), key)
-    words, bits = bitmap_of(table.select(key).distinct(), key, count)
+    words, bits = bitmap_of(table, key, count)
     return rows.filter(may_be_in(F.col(key), materialize(words, f"{label}-bitmap"), bits)).join(shuffled(table), key)

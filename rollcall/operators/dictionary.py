@@ -4,7 +4,9 @@ Texts and entries are cut at single spaces. An entry without a space lies inside
 a text; of an entry with spaces the first unit ends a unit of the text, the last begins one,
 and those between are units of it. So entries meet the distinct units of all texts, not the texts: a run
 index over the entries finds the units that hold an entry, and only these units are
-looked for among the texts again. Entries with spaces come in through their rarest
+looked for among the texts again. An entry with one space is an end of a unit and a beginning
+of the next one; those that some entry has are put together for each two neighbours of a
+text, and looked up whole. Entries with more spaces come in through their rarest
 unit, and ``contains`` decides on those.
 
 Nothing of the dictionary stands in the plan, whatever its size; blank and null entries and
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import strip
-from rollcall.operators.bitmap import join_keys
+from rollcall.operators.bitmap import bitmap_of, join_keys, may_be_in
 from rollcall.operators.match import contained_names
 from rollcall.operators.rows import explode_rows
 from rollcall.session import broadcast_if_small, materialize
@@ -50,11 +52,11 @@ def _inside_units(vocabulary: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def _anchor_units(vocabulary: DataFrame, entries: DataFrame) -> DataFrame:
-    """(unit, word) of the entries with spaces and the units one of which any text holds that has the entry.
+    """(unit, word) of the entries with several spaces and the units one of which any text holds that has the entry.
 
     Of an entry's units the one counts that the fewest texts have.
     """
-    spaced = entries.filter(F.col("word").contains(" ")).select("word", F.split("word", " ", -1).alias("_u"))
+    spaced = entries.select("word", F.split("word", " ", -1).alias("_u")).filter(F.size("_u") > 2)
     last = F.size("_u") - 1
     parts = materialize(
         spaced.select("word", last.alias("_last"), F.posexplode("_u").alias("_pos", "part"))
@@ -86,6 +88,41 @@ def _anchor_units(vocabulary: DataFrame, entries: DataFrame) -> DataFrame:
     return keyed.select("unit", "key").join(broadcast_if_small(rarest, "rarest"), "key").select("unit", "word")
 
 
+def _may_be(rows: DataFrame, pieces: DataFrame, piece: str, label: str) -> DataFrame:
+    """The rows whose piece may be one of the distinct pieces, by their bitmap."""
+    table = materialize(pieces.select(piece).distinct(), label)
+    words, bits = bitmap_of(table, piece, table.count())
+    return rows.filter(may_be_in(F.col(piece), materialize(words, f"{label}-bitmap"), bits))
+
+
+def _pair_hits(texts: DataFrame, entries: DataFrame, text_id: str, text: str) -> DataFrame:
+    """Distinct (``text_id``, ``word``) of the entries with one space.
+
+    Ends and beginnings that no entry has go before they are put together, and what is no
+    entry goes before it leaves its task.
+    """
+    paired = entries.select("word", F.split("word", " ", -1).alias("_u")).filter(F.size("_u") == 2)
+    paired = paired.select("word", F.get("_u", F.lit(0)).alias("end"), F.get("_u", F.lit(1)).alias("start"))
+    sizes = paired.agg(F.collect_set(F.length("end")), F.collect_set(F.length("start"))).first()  # one for each length
+    if not sizes[0]:
+        return texts.select(text_id, F.lit("").alias("word")).limit(0)
+
+    def pieces(of: str, lengths: list[int], cut) -> Column:
+        wanted = F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")
+        return F.transform(F.filter(wanted, lambda n: n <= F.length(of)), cut)
+
+    units = texts.select(text_id, F.split(F.col(text), " ", -1).alias("_u")).filter(F.size("_u") > 1)
+    one, other = F.slice("_u", F.lit(1), F.size("_u") - 1), F.slice("_u", F.lit(2), F.size("_u") - 1)
+    near = F.array_distinct(F.zip_with(one, other, lambda a, b: F.struct(a.alias("x"), b.alias("y"))))
+    rows = explode_rows(units.select(text_id, near.alias("_p")), "_p", "_n").select(text_id, "_n.x", "_n.y")
+    ends = rows.select(text_id, "y", pieces("x", sizes[0], lambda n: F.right("x", n)).alias("_e"))
+    rows = _may_be(explode_rows(ends, "_e", "end"), paired, "end", "pair-ends")
+    starts = rows.select(text_id, "end", pieces("y", sizes[1], lambda n: F.left("y", n)).alias("_s"))
+    rows = _may_be(explode_rows(starts, "_s", "start"), paired, "start", "pair-starts")
+    whole = rows.select(text_id, F.concat_ws(" ", "end", "start").alias("word"))
+    return join_keys(whole, paired.select("word"), "word", "pair-words").select(text_id, "word").distinct()
+
+
 def dictionary_hits(
     texts: DataFrame, dictionary: DataFrame, text_id: str, text: str = "text", word: str = "word"
 ) -> DataFrame:
@@ -103,7 +140,7 @@ def dictionary_hits(
         .filter(F.col("_whole").contains(F.col("word")))
         .select(text_id, "word")
     )
-    return sure.distinct().unionByName(held)
+    return sure.distinct().unionByName(held).unionByName(_pair_hits(texts, entries, text_id, text))
 
 
 def matches_any(

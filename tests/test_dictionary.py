@@ -77,3 +77,20 @@ def test_pairs_are_the_same_above_the_broadcast_limit(spark, monkeypatch):
     monkeypatch.setattr(B, "may_be_in", lambda *a, test=B.may_be_in: seen.append(a) or test(*a))
     assert found() == small and seen
     assert small[0] == sorted({(a, b) for a in names for b in names[:200] if len(b) > 4 and b in a})
+
+
+def test_entries_of_one_space_make_no_candidates(spark, monkeypatch):
+    """Units that very many entries and texts share cost nothing where no two neighbours are an entry."""
+    rng = random.Random(9)
+    ends, starts = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
+    texts = [(i, " ".join(f"x{rng.choice(ends)} {rng.choice(starts)}y" for _ in range(20))) for i in range(60)]
+    texts += [(60, "a1  b1"), (61, " b1"), (62, "a1 "), (63, "été b1 a1 b2"), (64, None), (65, ""), (66, "xa1\tb1 b2y")]
+    entries = [f"{e} {s}" for e in ends for s in starts if rng.random() < 0.5] + [" b1", "a1 ", "té b", "a1  b1", "y xa3"]
+    seen = []
+    monkeypatch.setattr(D, "broadcast_if_small", lambda df, label, of=D.broadcast_if_small: (
+        seen.append(df.count()) if label == "candidates" else None, of(df, label))[1])
+    df = spark.createDataFrame(texts, TEXT).repartition(3)
+    words = spark.createDataFrame([(e,) for e in entries], "word string")
+    want = {(i, e) for i, t in texts if t for e in entries if e in t}
+    assert {tuple(r) for r in D.dictionary_hits(df, words, "doc_id").collect()} == want
+    assert len(want) > 300 and seen and max(seen) < 100  # of the entry with two spaces only
