@@ -96,7 +96,7 @@ def _may_be(rows: DataFrame, pieces: DataFrame, piece: str, label: str) -> DataF
 
 
 def _pair_hits(texts: DataFrame, entries: DataFrame, text_id: str, text: str) -> DataFrame:
-    """Distinct (``text_id``, ``word``) of the entries with one space.
+    """(``text_id``, ``word``) of the entries with one space, once for each row of the texts that holds it.
 
     Ends and beginnings that no entry has go before they are put together, and what is no
     entry goes before it leaves its task.
@@ -111,22 +111,27 @@ def _pair_hits(texts: DataFrame, entries: DataFrame, text_id: str, text: str) ->
         wanted = F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")
         return F.transform(F.filter(wanted, lambda n: n <= F.length(of)), cut)
 
-    units = texts.select(text_id, F.split(F.col(text), " ", -1).alias("_u")).filter(F.size("_u") > 1)
+    split = F.split(F.col(text), " ", -1).alias("_u")
+    units = texts.select(text_id, F.monotonically_increasing_id().alias("_row"), split).filter(F.size("_u") > 1)
     one, other = F.slice("_u", F.lit(1), F.size("_u") - 1), F.slice("_u", F.lit(2), F.size("_u") - 1)
     near = F.array_distinct(F.zip_with(one, other, lambda a, b: F.struct(a.alias("x"), b.alias("y"))))
-    rows = explode_rows(units.select(text_id, near.alias("_p")), "_p", "_n").select(text_id, "_n.x", "_n.y")
-    ends = rows.select(text_id, "y", pieces("x", sizes[0], lambda n: F.right("x", n)).alias("_e"))
+    rows = explode_rows(units.select(text_id, "_row", near.alias("_p")), "_p", "_n").select(text_id, "_row", "_n.x", "_n.y")
+    ends = rows.select(text_id, "_row", "y", pieces("x", sizes[0], lambda n: F.right("x", n)).alias("_e"))
     rows = _may_be(explode_rows(ends, "_e", "end"), paired, "end", "pair-ends")
-    starts = rows.select(text_id, "end", pieces("y", sizes[1], lambda n: F.left("y", n)).alias("_s"))
+    starts = rows.select(text_id, "_row", "end", pieces("y", sizes[1], lambda n: F.left("y", n)).alias("_s"))
     rows = _may_be(explode_rows(starts, "_s", "start"), paired, "start", "pair-starts")
-    whole = rows.select(text_id, F.concat_ws(" ", "end", "start").alias("word"))
-    return join_keys(whole, paired.select("word"), "word", "pair-words").select(text_id, "word").distinct()
+    whole = rows.select(text_id, "_row", F.concat_ws(" ", "end", "start").alias("word"))
+    held = join_keys(whole, paired.select("word"), "word", "pair-words").select("_row", text_id, "word").distinct()
+    return held.select(text_id, "word")
 
 
 def dictionary_hits(
     texts: DataFrame, dictionary: DataFrame, text_id: str, text: str = "text", word: str = "word"
 ) -> DataFrame:
-    """Distinct (``text_id``, ``word``): all entries that a text contains."""
+    """(``text_id``, ``word``), distinct where ``text_id`` is unique: all entries that a text contains.
+
+    Rows that share an id give its entries with spaces once each.
+    """
     entries = materialize(
         dictionary.select(F.col(word).alias("word")).filter(strip("word") != "").distinct(), "entries"
     )

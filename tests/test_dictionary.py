@@ -94,3 +94,10 @@ def test_entries_of_one_space_make_no_candidates(spark, monkeypatch):
     want = {(i, e) for i, t in texts if t for e in entries if e in t}
     assert {tuple(r) for r in D.dictionary_hits(df, words, "doc_id").collect()} == want
     assert len(want) > 300 and seen and max(seen) < 100  # of the entry with two spaces only
+
+
+def test_rows_that_share_an_id_count_each_for_entries_with_spaces(spark):
+    rows = [(1, "a cat sat"), (1, "a cat sat"), (1, "no cat"), (2, "cat sat cat sat")]
+    words = spark.createDataFrame([(e,) for e in ("cat", "cat sat", "a cat sat")], "word string")
+    got = sorted(tuple(r) for r in D.dictionary_hits(spark.createDataFrame(rows, TEXT), words, "doc_id").collect())
+    assert got == [(1, "a cat sat")] * 2 + [(1, "cat")] + [(1, "cat sat")] * 2 + [(2, "cat"), (2, "cat sat")]
